@@ -118,10 +118,254 @@ def _strip(c: str) -> str:
     return f"string_split({c}, 's3://')[2]"
 
 
+def _hms(s: str) -> str:
+    return (f"lpad(CAST(({s}) // 3600 AS VARCHAR), 2, '0') || ':' || "
+            f"lpad(CAST((({s}) % 3600) // 60 AS VARCHAR), 2, '0') || ':' || "
+            f"lpad(CAST(({s}) % 60 AS VARCHAR), 2, '0')")
+
+
+_BANDS7 = "['VV', 'VH', 'B02', 'B03', 'B04', 'B08', 'reference_map']"
+_S2_ALL = "[" + ", ".join(f"'{b}'" for b in S2_ALL_BANDS) + "]"
+_FRAC = (f"CASE split WHEN 'train' THEN {P.SAMPLE_FRACTIONS['train']!r} "
+         f"WHEN 'test' THEN {P.SAMPLE_FRACTIONS['test']!r} ELSE 0.0 END")
+
+# Train/test elements in hash order with their shard.
+ELEMS = f"""{META},
+tt AS (SELECT patch_id, split FROM meta WHERE split IN ('train', 'test')),
+ordered AS (
+  SELECT patch_id, split,
+    row_number() OVER (PARTITION BY split ORDER BY {hash32('patch_id')}, patch_id) - 1 AS idx
+  FROM tt
+),
+elems AS (
+  SELECT patch_id, split, idx, CAST(idx % {P.N_SHARDS} AS INTEGER) AS shard,
+    idx // {P.N_SHARDS} AS shard_pos
+  FROM ordered
+),
+sized AS (SELECT *, count(*) OVER (PARTITION BY split, shard) AS n_shard FROM elems),
+rep AS (
+  SELECT patch_id, split, shard, rep, rep * n_shard + shard_pos AS pos
+  FROM (SELECT *, unnest(range(0, {P.N_REPEATS})) AS rep FROM sized)
+)"""
+
+# Per-patch band presence over the raw embeddings rows.
+PATCHES = f"""{EMB},
+patches AS (
+  SELECT k, {_patch_id('k')} AS patch_id, count(DISTINCT b) AS nb, max(CASE WHEN b = 5 THEN 1 ELSE 0 END) AS has_label
+  FROM emb GROUP BY k
+)"""
+
+
+def _nearest_src(o: str, in_size: int, out_size: int) -> str:
+    return (f"least(CAST(floor((CAST({o} AS FLOAT) + CAST(0.5 AS FLOAT)) * "
+            f"(CAST({in_size} AS FLOAT) / CAST({out_size} AS FLOAT))) AS BIGINT), {in_size - 1})")
+
+
+def _bilinear_in(o: str, in_size: int, out_size: int) -> str:
+    return (f"((CAST({o} AS FLOAT) + CAST(0.5 AS FLOAT)) * (CAST({in_size} AS FLOAT) / "
+            f"CAST({out_size} AS FLOAT)) - CAST(0.5 AS FLOAT))")
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    T = 8
+    O = P.RESIZE_OUT
 
+    q["scan_pruned"] = f"WITH {META} SELECT split, s1_path, s2_path, label_path FROM meta"
+    q["filter_isin"] = f"WITH {META} SELECT patch_id, split FROM meta WHERE split IN ('train', 'test')"
+    q["split_counts"] = (f"WITH {META} SELECT split, count(*) AS n FROM meta "
+                         f"WHERE split IN ('train', 'test') GROUP BY split")
+    q["project"] = (f"WITH {META} SELECT patch_id, split, country, contains_seasonal_snow, "
+                    f"contains_cloud_or_shadow FROM meta")
+    q["derive_paths"] = (f"WITH {META} SELECT patch_id, patch_id_path, patch_id_path_s1, s1_path, "
+                         f"s2_path, label_path, path_error FROM meta")
+    q["strip_scheme"] = (f"WITH {META} SELECT patch_id, {_strip('s1_path')} AS s1, "
+                         f"{_strip('s2_path')} AS s2, {_strip('label_path')} AS label FROM meta")
+    q["path_string"] = (f"WITH {META} SELECT patch_id, split, "
+                        f"s1_path || ' ' || s2_path || ' ' || label_path AS paths FROM meta")
+    q["paths_array"] = f"""WITH {META}
+SELECT patch_id, CAST(pos AS INTEGER) AS pos, path FROM (
+  SELECT patch_id, 0 AS pos, {_strip('s1_path')} AS path FROM meta
+  UNION ALL SELECT patch_id, 1, {_strip('s2_path')} FROM meta
+  UNION ALL SELECT patch_id, 2, {_strip('label_path')} FROM meta
+  UNION ALL SELECT patch_id, 3, patch_id FROM meta
+)"""
+    bf = "CASE WHEN regexp_matches({d}, '/$') THEN regexp_replace({d}, '([^/]+)/$', '\\1/\\1_{b}.tif') END"
+    parts = []
+    for sensor, d, bands in (("s1", "s1_path", ["VV", "VH"]), ("s2", "s2_path", ["B02", "B03", "B04", "B08"]),
+                             ("label", "label_path", ["reference_map"])):
+        for b in bands:
+            parts.append(f"SELECT patch_id, '{sensor}' AS sensor, '{b}' AS band, "
+                         f"{bf.format(d=d, b=b)} AS path FROM meta")
+    # Paths are NULL for every band when any of the three directories is NULL
+    # (the path string is NULL then).
+    q["band_paths"] = f"""WITH {META},
+b AS ({' UNION ALL '.join(parts)}),
+nullrow AS (SELECT patch_id, (s1_path IS NULL OR s2_path IS NULL OR label_path IS NULL) AS anynull FROM meta)
+SELECT b.patch_id, sensor, band, CASE WHEN anynull THEN NULL ELSE path END AS path
+FROM b JOIN nullrow USING (patch_id)"""
+    q["band_filter"] = f"""WITH {META},
+listing AS (SELECT patch_id, s2_path || patch_id || '_' || unnest({_S2_ALL}) || '.tif' AS path FROM meta)
+SELECT patch_id, nullif(regexp_extract(path, '_([A-Za-z0-9]+)\\.tif$', 1), '') AS band, path
+FROM listing WHERE regexp_matches(path, '_B0[2348]\\.tif$')"""
+
+    q["stratified_sample"] = f"""WITH {META}
+SELECT patch_id, split FROM meta
+WHERE split IN ('train', 'test') AND {hash32('patch_id')} < ({_FRAC}) * 4294967296.0"""
+    q["exact_sample"] = f"""WITH {ELEMS},
+sizes AS (SELECT split, CAST(round_even(count(*) * {P.EXACT_FRACTION!r}, 0) AS BIGINT) AS n FROM tt GROUP BY split)
+SELECT o.patch_id, o.split FROM ordered o JOIN sizes s USING (split) WHERE o.idx < s.n"""
+    q["limit_k"] = (f"WITH {META} SELECT patch_id, split FROM meta WHERE split IN ('train', 'test') "
+                    f"ORDER BY patch_id LIMIT {P.LIMIT_K}")
+
+    q["bands_pivot"] = f"""WITH {PATCHES}
+SELECT p.patch_id,
+  CAST(p.nb + p.has_label AS INTEGER) AS n_bands,
+  CAST(nullif(count(*) FILTER (WHERE e.b = 0), 0) AS INTEGER) AS vv_size,
+  CASE WHEN p.has_label = 1 THEN 64 END AS label_size,
+  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 2) AS b_sum,
+  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 3) AS g_sum,
+  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 4) AS r_sum,
+  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 5) AS nir_sum,
+  max(CAST(e.v AS DOUBLE)) FILTER (WHERE e.b = 0) AS vv_max,
+  min(CAST(e.v AS DOUBLE)) FILTER (WHERE e.b = 1) AS vh_min
+FROM patches p JOIN emb e USING (k)
+GROUP BY p.patch_id, p.nb, p.has_label"""
+    q["missing_bands"] = f"""WITH {PATCHES},
+expected AS (SELECT k, patch_id, unnest({_BANDS7}) AS band FROM patches),
+present AS (
+  SELECT DISTINCT k, ['VV', 'VH', 'B02', 'B03', 'B04', 'B08'][b + 1] AS band FROM emb
+  UNION SELECT DISTINCT k, 'reference_map' FROM emb WHERE b = 5
+)
+SELECT patch_id, band FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.k = e.k AND p.band = e.band)"""
+    q["explode_pixels"] = f"WITH {PX} SELECT patch_id, pos, VV, VH, B, G, R, NIR, label FROM px"
     q["indices"] = f"""WITH {IDX}
 SELECT patch_id, pos, NDVI, EVI, NDWI, BVI, RRadio, RDiff, RSum, RVI FROM idx"""
+    q["ndwi_normalized"] = f"WITH {PX} SELECT patch_id, pos, (G - NIR) / nullif(G + NIR, 0) AS NDWI FROM px"
+
+    q["label_recode"] = f"""WITH {PX}, {DICT}
+SELECT patch_id, pos, CAST(d.ID_NEW AS BIGINT) AS label FROM px JOIN dict d ON px.label = d.ID"""
+    q["label_unmatched"] = f"""WITH {PX}, {DICT}
+SELECT label AS code, count(*) AS n_pixels, count(DISTINCT patch_id) AS n_patches
+FROM px WHERE label NOT IN (SELECT ID FROM dict) GROUP BY label"""
+    q["label_encode_dense"] = f"""WITH {EMB}, {DICT},
+lab AS (
+  SELECT {_patch_id('k')} AS patch_id, CAST(pos AS INTEGER) AS pos,
+    CAST({_RULE}[((k * 64 + pos) % 46) + 1] AS BIGINT) AS code
+  FROM emb WHERE b = 5
+)
+SELECT patch_id, pos, code, d.CLASS AS class_id FROM lab LEFT JOIN dict d ON lab.code = d.ID"""
+    q["features"] = f"""WITH {IDX}, {DICT}
+SELECT patch_id, pos, VV, VH, CAST(B AS DOUBLE) AS B, CAST(G AS DOUBLE) AS G, CAST(R AS DOUBLE) AS R,
+  CAST(NIR AS DOUBLE) AS NIR, NDVI, EVI, NDWI, BVI, RRadio, RDiff, RSum, RVI, CAST(d.CLASS AS BIGINT) AS label
+FROM idx JOIN dict d ON idx.label = d.ID
+WHERE VV IS NOT NULL AND VH IS NOT NULL AND B IS NOT NULL AND G IS NOT NULL AND R IS NOT NULL
+  AND NIR IS NOT NULL AND NDVI IS NOT NULL AND EVI IS NOT NULL AND NDWI IS NOT NULL AND BVI IS NOT NULL
+  AND RRadio IS NOT NULL AND RDiff IS NOT NULL AND RSum IS NOT NULL AND RVI IS NOT NULL
+  AND NOT isnan(VV) AND NOT isnan(VH) AND NOT isnan(NDVI) AND NOT isnan(EVI) AND NOT isnan(NDWI)
+  AND NOT isnan(BVI) AND NOT isnan(RRadio) AND NOT isnan(RDiff) AND NOT isnan(RSum) AND NOT isnan(RVI)"""
+
+    q["stack_bands"] = f"""WITH {PATCHES}
+SELECT patch_id,
+  CASE WHEN nb = 6 AND has_label = 1 THEN 'float64' END AS dtype,
+  CASE WHEN nb = 6 AND has_label = 1 THEN 6 END AS channels,
+  CASE WHEN nb = 6 AND has_label = 1 THEN {T} END AS height,
+  CASE WHEN nb = 6 AND has_label = 1 THEN {T} END AS width,
+  CASE WHEN nb = 6 AND has_label = 1 THEN {6 * T * T * 8} END AS n_bytes
+FROM patches"""
+    q["interleave"] = f"""WITH {PX}
+SELECT patch_id, CAST(pos * 6 + c - 1 AS INTEGER) AS idx, value FROM (
+  SELECT patch_id, pos,
+    unnest([CAST(VV AS FLOAT), CAST(VH AS FLOAT), CAST(B AS FLOAT), CAST(G AS FLOAT), CAST(R AS FLOAT),
+            CAST(NIR AS FLOAT)]) AS value,
+    generate_subscripts([1, 2, 3, 4, 5, 6], 1) AS c
+  FROM px
+)"""
+    q["resize_nearest"] = f"""WITH {EMB}, {DICT},
+lp AS (SELECT DISTINCT k FROM emb WHERE b = 5),
+grid AS (SELECT k, unnest(range(0, {O * O})) AS o FROM lp),
+src AS (
+  SELECT k, o, {_nearest_src(f'o // {O}', T, O)} * {T} + {_nearest_src(f'o % {O}', T, O)} AS s FROM grid
+)
+SELECT {_patch_id('k')} AS patch_id, CAST(o AS INTEGER) AS pos, CAST(d.CLASS AS FLOAT) AS value
+FROM src LEFT JOIN dict d ON d.ID = {_RULE}[((k * 64 + s) % 46) + 1]"""
+    yin, xin = _bilinear_in(f"o // {O}", T, O), _bilinear_in(f"o % {O}", T, O)
+    q["resize_bilinear"] = f"""WITH {EMB},
+tiles AS (
+  SELECT k, b, list(CASE WHEN b < 2 THEN CAST(v AS FLOAT)
+                         ELSE CAST(trunc(CAST(v AS DOUBLE) * 1000 + 2000) AS FLOAT) END ORDER BY pos) AS px
+  FROM emb GROUP BY k, b
+),
+grid AS (SELECT k, b, px, unnest(range(0, {O * O})) AS o FROM tiles),
+c AS (
+  SELECT k, b, px, o, {yin} AS yi, {xin} AS xi FROM grid
+),
+c2 AS (
+  SELECT k, b, px, o,
+    greatest(CAST(floor(yi) AS BIGINT), 0) AS y0, least(CAST(ceil(yi) AS BIGINT), {T - 1}) AS y1,
+    CAST(yi - floor(yi) AS FLOAT) AS yl,
+    greatest(CAST(floor(xi) AS BIGINT), 0) AS x0, least(CAST(ceil(xi) AS BIGINT), {T - 1}) AS x1,
+    CAST(xi - floor(xi) AS FLOAT) AS xl
+  FROM c
+),
+v AS (
+  SELECT k, b, o, xl, yl,
+    px[y0 * {T} + x0 + 1] AS tl, px[y0 * {T} + x1 + 1] AS tr,
+    px[y1 * {T} + x0 + 1] AS bl, px[y1 * {T} + x1 + 1] AS br
+  FROM c2
+),
+w AS (
+  SELECT k, b, o, yl, tl + (tr - tl) * xl AS top, bl + (br - bl) * xl AS bottom FROM v
+)
+SELECT {_patch_id('k')} AS patch_id, ['VV', 'VH', 'B02', 'B03', 'B04', 'B08'][b + 1] AS band,
+  CAST(o AS INTEGER) AS pos, round(CAST(top + (bottom - top) * yl AS DOUBLE), 4) AS value
+FROM w"""
+    q["shape_check"] = f"""WITH {PATCHES}
+SELECT patch_id, CASE WHEN nb = 6 THEN {T * T * 6} END AS n_values, {T * T * 6} AS expected, nb = 6 AS ok
+FROM patches"""
+
+    pred = "SELECT CAST(quality AS BIGINT) AS label, CAST(toxic AS BIGINT) AS prediction FROM labels"
+    q["confusion"] = f"SELECT label, prediction, count(*) AS n FROM ({pred}) GROUP BY label, prediction"
+    q["accuracy"] = (f"SELECT count(*) AS n, coalesce(sum(CAST(label = prediction AS BIGINT)), 0) AS n_correct, "
+                     f"CAST(coalesce(sum(CAST(label = prediction AS BIGINT)), 0) AS DOUBLE) / "
+                     f"nullif(count(*), 0) AS accuracy FROM ({pred})")
+    iou = f"""p AS ({pred}),
+cls AS (SELECT label AS c FROM p UNION SELECT prediction FROM p),
+per AS (
+  SELECT c AS class_id,
+    (SELECT count(*) FROM p WHERE label = c AND prediction = c) AS intersection,
+    (SELECT count(*) FROM p WHERE label = c OR prediction = c) AS "union"
+  FROM cls
+),
+iou AS (
+  SELECT class_id, intersection, "union",
+    (CAST(intersection AS DOUBLE) + {P.SMOOTH!r}) / (CAST("union" AS DOUBLE) + {P.SMOOTH!r}) AS iou
+  FROM per
+)"""
+    q["iou_per_class"] = f'WITH {iou} SELECT class_id, intersection, "union", iou FROM iou'
+    q["iou_mean"] = f"WITH {iou} SELECT count(*) AS n_classes, avg(iou) AS iou_score FROM iou"
+    q["jaccard_loss"] = f"WITH {iou} SELECT count(*) AS n_classes, 1.0 - avg(iou) AS jaccard_loss FROM iou"
+
+    q["best_epoch"] = """WITH h AS (
+  SELECT event_type AS run, value AS loss,
+    CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS INTEGER) AS epoch
+  FROM events
+)
+SELECT run, min({'v': loss, 'e': epoch}) FILTER (WHERE loss IS NOT NULL).e AS best_epoch,
+  min({'v': loss, 'e': epoch}) FILTER (WHERE loss IS NOT NULL).v AS best_loss,
+  count(*) AS n_epochs
+FROM h GROUP BY run"""
+    secs = "(epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000"
+    q["run_metrics"] = f"""SELECT event_type AS run, count(*) AS n_epochs,
+  strftime(min(ts), '%H:%M:%S') AS started, strftime(max(ts), '%H:%M:%S') AS finished,
+  {secs} AS seconds, {_hms(secs)} AS runtime,
+  round(avg(value), 6) AS mean_loss, min(value) AS min_loss
+FROM events GROUP BY event_type"""
 
+    q["shards"] = f"WITH {ELEMS} SELECT patch_id, split, idx, shard, shard_pos FROM elems"
+    q["repeat"] = f"WITH {ELEMS} SELECT patch_id, split, shard, CAST(rep AS INTEGER) AS rep, pos FROM rep"
+    q["batches"] = f"""WITH {ELEMS}
+SELECT patch_id, split, shard, CAST(rep AS INTEGER) AS rep, pos, pos // {P.BATCH_SIZE} AS batch_id,
+  CAST(pos % {P.BATCH_SIZE} AS INTEGER) AS slot FROM rep"""
     return q

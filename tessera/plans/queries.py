@@ -6,15 +6,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import indices as I
+from tessera.functions import paths as PA
+from tessera.operators import batches as BA
+from tessera.operators import labels as L
+from tessera.operators import metrics as M
+from tessera.operators import models as MO
+from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
+from tessera.operators.indexing import time_order_index
+from tessera.operators.transformers import FeatureAssembler, PixelExtractor
+from tessera.plans import params as P
+from tessera.plans import runs as RU
 from tessera.plans import testbed as TB
-from tessera.schemas import INDEX_COLUMNS
+from tessera.schemas import FEATURE_COLUMNS, INDEX_COLUMNS, S2_ALL_BANDS
 
 Query = Callable[[SparkSession, str], DataFrame]
+TILE = TB.TILE_SIZE
+
+# ---------------------------------------------------------------------------
+# Shared sub-plans
+# ---------------------------------------------------------------------------
 
 
 def patch_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +43,343 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TL.explode_pixels(patch_arrays(spark, sf_dir))
 
 
-def q_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_test_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.filter_isin(TB.metadata(spark, sf_dir), "split", P.SPLITS)
+
+
+def ordered_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train/test patches with their hash-order index and worker shard."""
+    meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
+    ordered = BA.element_order(meta, "split", ["patch_id"], seed=P.SEED, n_buckets=P.INDEX_BUCKETS,
+                               n_groups_bound=len(P.SPLITS))
+    return BA.shard(ordered, P.N_SHARDS)
+
+
+# ---------------------------------------------------------------------------
+# Scans, filters, projections
+# ---------------------------------------------------------------------------
+
+
+def q_scan_pruned(spark, sf_dir):
+    return TB.metadata(spark, sf_dir).select("split", "s1_path", "s2_path", "label_path")
+
+
+def q_filter_isin(spark, sf_dir):
+    return train_test_meta(spark, sf_dir).select("patch_id", "split")
+
+
+def q_split_counts(spark, sf_dir):
+    return M.split_counts(train_test_meta(spark, sf_dir)).select("split", "n")
+
+
+def q_project(spark, sf_dir):
+    return TB.metadata(spark, sf_dir).select("patch_id", "split", "country", "contains_seasonal_snow",
+                                             "contains_cloud_or_shadow")
+
+
+# ---------------------------------------------------------------------------
+# Paths
+# ---------------------------------------------------------------------------
+
+
+def q_derive_paths(spark, sf_dir):
+    return TB.metadata(spark, sf_dir).select("patch_id", "patch_id_path", "patch_id_path_s1",
+                                             "s1_path", "s2_path", "label_path", "path_error")
+
+
+def q_strip_scheme(spark, sf_dir):
+    m = TB.metadata(spark, sf_dir)
+    return m.select("patch_id", PA.strip_scheme("s1_path").alias("s1"), PA.strip_scheme("s2_path").alias("s2"),
+                    PA.strip_scheme("label_path").alias("label"))
+
+
+def q_path_string(spark, sf_dir):
+    m = TB.metadata(spark, sf_dir)
+    return m.select("patch_id", "split", PA.paths_string("s1_path", "s2_path", "label_path").alias("paths"))
+
+
+def q_paths_array(spark, sf_dir):
+    m = TB.metadata(spark, sf_dir)
+    arr = PA.paths_array(PA.strip_scheme("s1_path"), PA.strip_scheme("s2_path"), PA.strip_scheme("label_path"),
+                         F.col("patch_id"))
+    return m.select("patch_id", F.posexplode(arr).alias("pos", "path")) \
+        .select("patch_id", F.col("pos").cast("int").alias("pos"), "path")
+
+
+def q_band_paths(spark, sf_dir):
+    m = TB.metadata(spark, sf_dir).select(
+        "patch_id", PA.paths_string("s1_path", "s2_path", "label_path").alias("paths"))
+    return PA.band_file_rows(m, "paths", keep=["patch_id"]).select("patch_id", "sensor", "band", "path")
+
+
+def q_band_filter(spark, sf_dir):
+    m = TB.metadata(spark, sf_dir).select("patch_id", "s2_path")
+    names = F.array(*[F.lit(b) for b in S2_ALL_BANDS])
+    listing = m.select("patch_id", F.explode(F.transform(
+        names, lambda b: F.concat(F.col("s2_path"), F.col("patch_id"), F.lit("_"), b, F.lit(".tif"))))
+        .alias("path"))
+    return listing.filter(PA.is_s2_band_file("path")).select("patch_id", PA.band_name("path").alias("band"), "path")
+
+
+# ---------------------------------------------------------------------------
+# Sampling
+# ---------------------------------------------------------------------------
+
+
+def q_stratified_sample(spark, sf_dir):
+    meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
+    return S.stratified_sample(meta, "split", P.SAMPLE_FRACTIONS, ["patch_id"], seed=P.SEED)
+
+
+def q_exact_sample(spark, sf_dir):
+    meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
+    return S.exact_sample(meta, "split", P.EXACT_FRACTION, ["patch_id"], seed=P.SEED,
+                          n_buckets=P.INDEX_BUCKETS, n_strata_bound=len(P.SPLITS))
+
+
+def q_limit_k(spark, sf_dir):
+    meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
+    return S.limit_k(meta, P.LIMIT_K, ["patch_id"])
+
+
+# ---------------------------------------------------------------------------
+# Tiles and pixels
+# ---------------------------------------------------------------------------
+
+
+def _array_sum(c: str):
+    return F.aggregate(F.col(c), F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def q_bands_pivot(spark, sf_dir):
+    p = patch_arrays(spark, sf_dir)
+    present = sum(F.col(c).isNotNull().cast("int") for c in ("VV", "VH", "B", "G", "R", "NIR", "label"))
+    return p.select("patch_id", present.alias("n_bands"), F.size("VV").alias("vv_size"),
+                    F.size("label").alias("label_size"), _array_sum("B").alias("b_sum"),
+                    _array_sum("G").alias("g_sum"), _array_sum("R").alias("r_sum"),
+                    _array_sum("NIR").alias("nir_sum"), F.array_max("VV").alias("vv_max"),
+                    F.array_min("VH").alias("vh_min"))
+
+
+def q_missing_bands(spark, sf_dir):
+    mb = TL.missing_bands(TB.band_tiles(spark, sf_dir))
+    return mb.select("patch_id", F.explode("missing_bands").alias("band"))
+
+
+def q_explode_pixels(spark, sf_dir):
+    return pixels(spark, sf_dir)
+
+
+def q_indices(spark, sf_dir):
     return I.with_indices(pixels(spark, sf_dir)).select("patch_id", "pos", *INDEX_COLUMNS)
 
 
+def q_ndwi_normalized(spark, sf_dir):
+    return I.with_indices(pixels(spark, sf_dir), I.NDWI_NORMALIZED).select("patch_id", "pos", "NDWI")
+
+
+# ---------------------------------------------------------------------------
+# Labels
+# ---------------------------------------------------------------------------
+
+
+def q_label_recode(spark, sf_dir):
+    out = L.recode_labels(pixels(spark, sf_dir), L.label_dictionary(spark), target="ID_NEW")
+    return out.select("patch_id", "pos", "label")
+
+
+def q_label_unmatched(spark, sf_dir):
+    return L.unmatched_labels(pixels(spark, sf_dir), L.label_dictionary(spark))
+
+
+def q_label_encode_dense(spark, sf_dir):
+    p = patch_arrays(spark, sf_dir).filter(F.col("label").isNotNull())
+    z = F.arrays_zip(F.col("label").alias("code"), L.encode_dense_array("label").alias("class_id"))
+    return p.select("patch_id", F.posexplode(z).alias("pos", "_z")).select(
+        "patch_id", F.col("pos").cast("int").alias("pos"), F.col("_z.code").alias("code"),
+        F.col("_z.class_id").alias("class_id"))
+
+
+def q_features(spark, sf_dir):
+    px = I.with_indices(pixels(spark, sf_dir))
+    rec = L.recode_labels(px, L.label_dictionary(spark), target="CLASS")
+    feats = FeatureAssembler(keepCols=["patch_id", "pos"]).transform(rec)
+    arr = vector_to_array("features")
+    return feats.select("patch_id", "pos", *[arr[i].alias(c) for i, c in enumerate(FEATURE_COLUMNS)], "label")
+
+
+# ---------------------------------------------------------------------------
+# Tile ops: stack, interleave, resize, shape
+# ---------------------------------------------------------------------------
+
+
+def q_stack_bands(spark, sf_dir):
+    st = TL.stack_bytes(patch_arrays(spark, sf_dir), TILE, TILE)
+    return st.select("patch_id", "dtype", "channels", "height", "width",
+                     F.octet_length("bands").alias("n_bytes"))
+
+
+def q_interleave(spark, sf_dir):
+    p = patch_arrays(spark, sf_dir).select("patch_id", TL.interleave().alias("image"))
+    return p.select("patch_id", F.posexplode("image").alias("idx", "value")) \
+        .select("patch_id", F.col("idx").cast("int").alias("idx"), "value")
+
+
+def q_resize_nearest(spark, sf_dir):
+    p = patch_arrays(spark, sf_dir).filter(F.col("label").isNotNull())
+    dense = L.encode_dense_array("label").cast("array<float>")
+    r = p.select("patch_id", TL.resize_nearest(dense, TILE, TILE, P.RESIZE_OUT, P.RESIZE_OUT).alias("r"))
+    return r.select("patch_id", F.posexplode("r").alias("pos", "value")) \
+        .select("patch_id", F.col("pos").cast("int").alias("pos"), "value")
+
+
+def q_resize_bilinear(spark, sf_dir):
+    t = TB.band_tiles(spark, sf_dir).filter(F.col("band") != "reference_map")
+    r = t.select("patch_id", "band", TL.resize_bilinear("pixels", TILE, TILE, P.RESIZE_OUT, P.RESIZE_OUT)
+                 .alias("r"))
+    return r.select("patch_id", "band", F.posexplode("r").alias("pos", "v")).select(
+        "patch_id", "band", F.col("pos").cast("int").alias("pos"),
+        F.round(F.col("v").cast("double"), 4).alias("value"))
+
+
+def q_shape_check(spark, sf_dir):
+    p = patch_arrays(spark, sf_dir).select("patch_id", TL.interleave().alias("image"))
+    n_ch = 6
+    return p.select("patch_id", F.size("image").alias("n_values"),
+                    F.lit(TILE * TILE * n_ch).alias("expected"),
+                    TL.shape_check(F.col("image"), TILE, TILE, n_ch).alias("ok"))
+
+
+# ---------------------------------------------------------------------------
+# Metrics
+# ---------------------------------------------------------------------------
+
+
+def q_confusion(spark, sf_dir):
+    return M.confusion(TB.predictions(spark, sf_dir))
+
+
+def q_accuracy(spark, sf_dir):
+    return M.accuracy(TB.predictions(spark, sf_dir))
+
+
+def q_iou_per_class(spark, sf_dir):
+    return M.iou_per_class(TB.predictions(spark, sf_dir), smooth=P.SMOOTH)
+
+
+def q_iou_mean(spark, sf_dir):
+    return M.iou_mean(TB.predictions(spark, sf_dir), smooth=P.SMOOTH)
+
+
+def q_jaccard_loss(spark, sf_dir):
+    return M.jaccard_loss(TB.predictions(spark, sf_dir), smooth=P.SMOOTH)
+
+
+def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run history with 1-based epoch numbers in start-time order."""
+    h = TB.run_history(spark, sf_dir)
+    idx = time_order_index(h, ["run"], "started", ["event_id"], P.INDEX_BUCKETS, "_i", n_groups_bound=64)
+    return idx.withColumn("epoch", (F.col("_i") + 1).cast("int")).drop("_i")
+
+
+def q_best_epoch(spark, sf_dir):
+    return M.best_epoch(epochs(spark, sf_dir))
+
+
+def q_run_metrics(spark, sf_dir):
+    s = RU.run_summary(TB.run_history(spark, sf_dir))
+    return s.withColumn("mean_loss", F.round("mean_loss", 6))
+
+
+# ---------------------------------------------------------------------------
+# Training-set preparation
+# ---------------------------------------------------------------------------
+
+
+def q_shards(spark, sf_dir):
+    return ordered_elements(spark, sf_dir).select("patch_id", "split", "idx", "shard", "shard_pos")
+
+
+def _repeated(spark, sf_dir):
+    return BA.repeat(ordered_elements(spark, sf_dir), P.N_REPEATS, group_cols=("split", "shard"))
+
+
+def q_repeat(spark, sf_dir):
+    return _repeated(spark, sf_dir).select("patch_id", "split", "shard", "rep", "pos")
+
+
+def q_batches(spark, sf_dir):
+    b = BA.batch(_repeated(spark, sf_dir), P.BATCH_SIZE)
+    return b.select("patch_id", "split", "shard", "rep", "pos", "batch_id", "slot")
+
+
+def q_training_samples(spark, sf_dir):
+    """Rows only: one dense sample per train/test patch with tiles —
+    image (12x12x6, bilinear, channels last) and label map (12x12x1,
+    nearest, dense ids), keyed by split and shard."""
+    elems = ordered_elements(spark, sf_dir)
+    p = patch_arrays(spark, sf_dir).join(elems, "patch_id", "inner")
+    out = P.RESIZE_OUT
+    resized = [TL.resize_bilinear(c, TILE, TILE, out, out).alias(c) for c in ("VV", "VH", "B", "G", "R", "NIR")]
+    lab = TL.resize_nearest(L.encode_dense_array("label").cast("array<float>"), TILE, TILE, out, out)
+    r = p.select("patch_id", "split", "shard", "idx", *resized, lab.alias("label_map"))
+    return r.select("patch_id", "split", "shard", "idx", TL.interleave(("VV", "VH", "B", "G", "R", "NIR"))
+                    .alias("image"), F.col("label_map").alias("label"),
+                    F.lit(out).alias("height"), F.lit(out).alias("width"), F.lit(6).alias("channels"))
+
+
+# ---------------------------------------------------------------------------
+# Pixel classification pipeline
+# ---------------------------------------------------------------------------
+
+
+def q_rf_pipeline(spark, sf_dir):
+    """Rows only: fit the forest on train-split pixels, predict test pixels."""
+    meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
+    tiles = TB.band_tiles(spark, sf_dir)
+    pipeline = MO.build_pipeline(PixelExtractor().with_tiles(tiles), seed=P.SEED)
+    model = MO.fit(pipeline, meta.filter(F.col("split") == "train"))
+    return MO.predict(model, meta.filter(F.col("split") == "test"))
+
+
 QUERIES: dict[str, Query] = {
+    "scan_pruned": q_scan_pruned,
+    "filter_isin": q_filter_isin,
+    "split_counts": q_split_counts,
+    "project": q_project,
+    "derive_paths": q_derive_paths,
+    "strip_scheme": q_strip_scheme,
+    "path_string": q_path_string,
+    "paths_array": q_paths_array,
+    "band_paths": q_band_paths,
+    "band_filter": q_band_filter,
+    "stratified_sample": q_stratified_sample,
+    "exact_sample": q_exact_sample,
+    "limit_k": q_limit_k,
+    "bands_pivot": q_bands_pivot,
+    "missing_bands": q_missing_bands,
+    "explode_pixels": q_explode_pixels,
     "indices": q_indices,
+    "ndwi_normalized": q_ndwi_normalized,
+    "label_recode": q_label_recode,
+    "label_unmatched": q_label_unmatched,
+    "label_encode_dense": q_label_encode_dense,
+    "features": q_features,
+    "stack_bands": q_stack_bands,
+    "interleave": q_interleave,
+    "resize_nearest": q_resize_nearest,
+    "resize_bilinear": q_resize_bilinear,
+    "shape_check": q_shape_check,
+    "confusion": q_confusion,
+    "accuracy": q_accuracy,
+    "iou_per_class": q_iou_per_class,
+    "iou_mean": q_iou_mean,
+    "jaccard_loss": q_jaccard_loss,
+    "best_epoch": q_best_epoch,
+    "shards": q_shards,
+    "repeat": q_repeat,
+    "batches": q_batches,
+    "run_metrics": q_run_metrics,
+    "training_samples": q_training_samples,
+    "rf_pipeline": q_rf_pipeline,
 }
