@@ -154,17 +154,27 @@ def _float_array(values: Sequence[float]) -> Column:
     return F.expr("array(" + ", ".join(f"CAST({float(v)!r}D AS FLOAT)" for v in values) + ")")
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and bind it to a lambda variable for ``body``
+    (an expression used inside a per-element lambda would otherwise be
+    re-evaluated for every element)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def resize_nearest(arr: str | Column, in_h: int, in_w: int, out_h: int, out_w: int) -> Column:
     """Nearest-neighbour resize of a row-major single-band array (class maps).
     NULL when the input does not hold in_h * in_w values."""
     a = F.col(arr) if isinstance(arr, str) else arr
     ys = _int_array(nearest_source_index(in_h, out_h))
     xs = _int_array(nearest_source_index(in_w, out_w))
-    gathered = F.transform(
-        F.sequence(F.lit(0), F.lit(out_h * out_w - 1)),
-        lambda k: F.get(a, F.get(ys, F.floor(k / out_w).cast("int")) * in_w
-                        + F.get(xs, F.pmod(k, F.lit(out_w)))))
-    return F.when(F.size(a) == in_h * in_w, gathered)
+
+    def gather(v: Column) -> Column:
+        return F.when(F.size(v) == in_h * in_w, F.transform(
+            F.sequence(F.lit(0), F.lit(out_h * out_w - 1)),
+            lambda k: F.get(v, F.get(ys, F.floor(k / out_w).cast("int")) * in_w
+                            + F.get(xs, F.pmod(k, F.lit(out_w))))))
+
+    return _let(a, gather)
 
 
 def resize_bilinear(arr: str | Column, in_h: int, in_w: int, out_h: int, out_w: int) -> Column:
@@ -172,7 +182,6 @@ def resize_bilinear(arr: str | Column, in_h: int, in_w: int, out_h: int, out_w:
     top = tl + (tr - tl) * xl; bottom = bl + (br - bl) * xl;
     out = top + (bottom - top) * yl. NULL when the size does not match."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    fa = a.cast(T.ArrayType(T.FloatType()))
     ys = bilinear_source_coords(in_h, out_h)
     xs = bilinear_source_coords(in_w, out_w)
     ylo, yhi, yl = (_int_array([y[0] for y in ys]), _int_array([y[1] for y in ys]),
@@ -180,7 +189,7 @@ def resize_bilinear(arr: str | Column, in_h: int, in_w: int, out_h: int, out_w:
     xlo, xhi, xl = (_int_array([x[0] for x in xs]), _int_array([x[1] for x in xs]),
                     _float_array([x[2] for x in xs]))
 
-    def lerp(k: Column) -> Column:
+    def lerp(fa: Column, k: Column) -> Column:
         oy = F.floor(k / out_w).cast("int")
         ox = F.pmod(k, F.lit(out_w))
         top_row, bot_row = F.get(ylo, oy) * in_w, F.get(yhi, oy) * in_w
@@ -192,8 +201,11 @@ def resize_bilinear(arr: str | Column, in_h: int, in_w: int, out_h: int, out_w:
         bottom = bl + (br - bl) * wx
         return top + (bottom - top) * wy
 
-    return F.when(F.size(a) == in_h * in_w,
-                  F.transform(F.sequence(F.lit(0), F.lit(out_h * out_w - 1)), lerp))
+    def body(fa: Column) -> Column:
+        return F.when(F.size(fa) == in_h * in_w,
+                      F.transform(F.sequence(F.lit(0), F.lit(out_h * out_w - 1)), lambda k: lerp(fa, k)))
+
+    return _let(a.cast(T.ArrayType(T.FloatType())), body)
 
 
 # --------------------------------------------------------------------------
@@ -222,27 +234,29 @@ def stack_bytes(patches: DataFrame, height: int, width: int, key: str = "patch_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            out_bytes, dtypes = [], []
-            band_cols = [rb.column(c) for c in channels]
-            for r in range(rb.num_rows):
-                arrays = []
-                for bc in band_cols:
-                    v = bc[r].values if bc[r].is_valid else None
-                    if v is None or len(v) != n:
-                        arrays = None
-                        break
-                    arrays.append(v.to_numpy(zero_copy_only=False).reshape(1, height, width))
-                if arrays is None:
-                    out_bytes.append(None)
-                    dtypes.append(None)
-                    continue
-                stacked = np.stack(arrays, axis=0)
-                out_bytes.append(stacked.astype(stacked.dtype.newbyteorder("<")).tobytes())
-                dtypes.append(str(stacked.dtype))
-            ok = [b is not None for b in out_bytes]
+            rows = rb.num_rows
+            ok = np.ones(rows, dtype=bool)
+            planes = []
+            for c in channels:
+                col = rb.column(c)
+                lengths = col.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+                ok &= lengths == n
+                # Rows with a missing / wrong-size band get zeros, then NULL.
+                dense = np.zeros((rows, n), dtype=_numpy_dtype(col.type.value_type))
+                if ok.any():
+                    good = np.flatnonzero(lengths == n)
+                    flat = pa.concat_arrays([col.slice(i, 1).flatten() for i in good]) if len(good) != rows \
+                        else col.flatten()
+                    dense[good] = flat.to_numpy(zero_copy_only=False).reshape(len(good), n)
+                planes.append(dense)
+            stacked = np.stack(planes, axis=1).reshape(rows, len(channels), 1, height, width)
+            le = stacked.astype(stacked.dtype.newbyteorder("<"), copy=False)
+            out_bytes = [le[r].tobytes() if ok[r] else None for r in range(rows)]
+            dtype = str(stacked.dtype)
             yield pa.RecordBatch.from_arrays(
                 [rb.column(c) for c in passthrough] + [
-                    pa.array(out_bytes, pa.binary()), pa.array(dtypes, pa.string()),
+                    pa.array(out_bytes, pa.binary()),
+                    pa.array([dtype if o else None for o in ok], pa.string()),
                     pa.array([len(channels) if o else None for o in ok], pa.int32()),
                     pa.array([height if o else None for o in ok], pa.int32()),
                     pa.array([width if o else None for o in ok], pa.int32())],
@@ -251,6 +265,10 @@ def stack_bytes(patches: DataFrame, height: int, width: int, key: str = "patch_i
     return patches.select(*cols).mapInArrow(run, out_schema)
 
 
+def _numpy_dtype(t: pa.DataType) -> np.dtype:
+    return np.dtype(t.to_pandas_dtype())
+
+
 def decode_stack(data: bytes, dtype: str, channels: int, height: int, width: int) -> np.ndarray:
     """Inverse of :func:`stack_bytes` (for consumers and tests)."""
     return np.frombuffer(data, dtype=np.dtype(dtype).newbyteorder("<")).reshape(channels, 1, height, width)
