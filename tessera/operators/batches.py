@@ -23,17 +23,22 @@ from tessera.operators.indexing import hash_order_index
 
 def element_order(df: DataFrame, group_col: str, key_cols: Sequence[str], seed: int = 42,
                   n_buckets: int = 1024, n_groups_bound: int | None = 64) -> DataFrame:
-    """Add ``idx``: 0-based position within ``group_col`` in hash order."""
+    """Add ``idx``: 0-based position within ``group_col`` in hash order, and
+    ``n_group``: the group's size."""
     hashed = df.withColumn("_h", hash32(*key_cols, seed=seed))
     return hash_order_index(hashed, [group_col], "_h", list(key_cols), n_buckets, "idx",
-                            n_groups_bound).drop("_h")
+                            n_groups_bound, total_out="n_group").drop("_h")
 
 
-def shard(df: DataFrame, n_shards: int, idx_col: str = "idx") -> DataFrame:
-    """``shard = idx mod n`` and ``shard_pos = idx div n`` (position inside
-    the worker's shard)."""
-    return df.withColumn("shard", F.pmod(F.col(idx_col), F.lit(n_shards)).cast("int")) \
+def shard(df: DataFrame, n_shards: int, idx_col: str = "idx", total_col: str = "n_group") -> DataFrame:
+    """``shard = idx mod n``, ``shard_pos = idx div n`` (position inside the
+    worker's shard) and, when the group size is known, ``shard_size`` =
+    ceil((N - shard) / n), the number of elements the worker holds."""
+    out = df.withColumn("shard", F.pmod(F.col(idx_col), F.lit(n_shards)).cast("int")) \
         .withColumn("shard_pos", idiv(idx_col, n_shards))
+    if total_col in df.columns:
+        out = out.withColumn("shard_size", idiv(F.col(total_col) - F.col("shard") + (n_shards - 1), n_shards))
+    return out
 
 
 def check_shards(df: DataFrame, n_shards: int, group_col: str | None = None) -> None:
@@ -48,17 +53,22 @@ def check_shards(df: DataFrame, n_shards: int, group_col: str | None = None) ->
 
 
 def repeat(df: DataFrame, k: int, group_cols: Sequence[str] = ("shard",),
-           pos_col: str = "shard_pos", n_groups_bound: int | None = 4096) -> DataFrame:
+           pos_col: str = "shard_pos", size_col: str = "shard_size",
+           n_groups_bound: int | None = 4096) -> DataFrame:
     """Repeat every element k times: ``rep`` in [0, k) and
     ``pos = rep * N_group + pos_col`` (position in the repeated sequence).
-    N per group comes from one small aggregation, broadcast back."""
+    N per group is ``size_col`` when present (narrow, no shuffle), else one
+    small aggregation broadcast back."""
     g = list(group_cols)
-    sizes = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_N"))
-    if n_groups_bound is not None:
-        sizes = F.broadcast(sizes)
-    return (df.join(sizes, g, "inner")
-            .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-            .withColumn("pos", F.col("rep").cast("bigint") * F.col("_N") + F.col(pos_col))
+    if size_col in df.columns:
+        src, n = df, F.col(size_col)
+    else:
+        sizes = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_N"))
+        if n_groups_bound is not None:
+            sizes = F.broadcast(sizes)
+        src, n = df.join(sizes, g, "inner"), F.col("_N")
+    return (src.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+            .withColumn("pos", F.col("rep").cast("bigint") * n + F.col(pos_col))
             .drop("_N"))
 
 

@@ -37,16 +37,18 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
 
 def with_global_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                       bucket: Column, n_buckets: int, out: str = "idx",
-                      n_groups_bound: int | None = None) -> DataFrame:
+                      n_groups_bound: int | None = None, total_out: str | None = None) -> DataFrame:
     """Append ``out`` = 0-based position of the row within its group when
     sorted by ``order_cols`` (which must be a total order, ties broken by
     a unique key). ``bucket`` must be non-decreasing in that order and lie
-    in [0, n_buckets)."""
+    in [0, n_buckets). With ``total_out`` the group's row count is added
+    too, read off the same small table (no extra pass over the data)."""
     g = list(group_cols)
     b = df.withColumn("_bkt", bucket)
     counts = b.groupBy(*g, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*g).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*g, "_bkt", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
+    extra = [F.sum("_n").over(Window.partitionBy(*g)).alias(total_out)] if total_out else []
+    offsets = counts.select(*g, "_bkt", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"), *extra)
     bound = (n_groups_bound or 1) * n_buckets
     if n_groups_bound is not None and bound <= MAX_OFFSET_ROWS:
         offsets = F.broadcast(offsets)
@@ -58,10 +60,12 @@ def with_global_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
 
 
 def hash_order_index(df: DataFrame, group_cols: Sequence[str], hash_col: str, key_cols: Sequence[str],
-                     n_buckets: int, out: str = "idx", n_groups_bound: int | None = None) -> DataFrame:
+                     n_buckets: int, out: str = "idx", n_groups_bound: int | None = None,
+                     total_out: str | None = None) -> DataFrame:
     """Global index in (hash, key) order; buckets are the hash's top bits."""
     return with_global_index(df, group_cols, [hash_col, *key_cols],
-                             hash_bucket(F.col(hash_col), n_buckets), n_buckets, out, n_groups_bound)
+                             hash_bucket(F.col(hash_col), n_buckets), n_buckets, out, n_groups_bound,
+                             total_out)
 
 
 def time_order_index(df: DataFrame, group_cols: Sequence[str], time_col: str, key_cols: Sequence[str],

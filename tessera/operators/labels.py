@@ -15,9 +15,13 @@ MAX_DICTIONARY_ROWS = 10_000   # broadcast guard for user-supplied dictionaries
 
 
 def label_dictionary(spark: SparkSession) -> DataFrame:
-    """(ID int, ID_NEW int, DESC string, CLASS int): sparse and dense ids."""
-    rows = [(c, s, d, DENSE_IDS[c]) for c, s, d in LABEL_DICTIONARY]
-    return spark.createDataFrame(rows, "ID int, ID_NEW int, DESC string, CLASS int")
+    """(ID int, ID_NEW int, DESC string, CLASS int): sparse and dense ids.
+    A local relation (SQL VALUES): no Python-side RDD, known tiny size."""
+    def q(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+    values = ", ".join(f"({c}, {s}, {q(d)}, {DENSE_IDS[c]})" for c, s, d in LABEL_DICTIONARY)
+    return spark.sql(f"SELECT CAST(ID AS INT) AS ID, CAST(ID_NEW AS INT) AS ID_NEW, DESC, "
+                     f"CAST(CLASS AS INT) AS CLASS FROM VALUES {values} AS t(ID, ID_NEW, DESC, CLASS)")
 
 
 def read_label_dictionary(spark: SparkSession, path: str) -> DataFrame:

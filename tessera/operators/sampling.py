@@ -57,23 +57,18 @@ def exact_sample(df: DataFrame, strata_col: str, fraction: float | Mapping[str,
     """Without-replacement sample of exactly n = round_half_even(f * N) rows
     per stratum: the n rows with the smallest (hash32(seed, key), key).
 
-    N comes from one aggregation; ranks from the distributed global index,
-    so a stratum holding most of the rows is still ranked by many tasks.
+    Ranks come from the distributed global index, so a stratum holding most
+    of the rows is still ranked by many tasks; N is read off the index's
+    small per-bucket count table (no extra pass over the data).
     ``fraction=None``-style "take all" is ``fraction=1.0``.
     """
     fractions = fraction if isinstance(fraction, Mapping) else None
-    h = hash32(*key_cols, seed=seed)
-    hashed = df.withColumn("_h", h)
-    sizes = hashed.groupBy(strata_col).agg(F.count(F.lit(1)).alias("_N"))
-    f = _fraction_of(strata_col, fractions) if fractions is not None else F.lit(float(fraction))
-    sizes = sizes.withColumn("_n", F.bround(F.col("_N") * f, 0).cast("bigint"))
-    if n_strata_bound is not None:
-        sizes = F.broadcast(sizes)
+    hashed = df.withColumn("_h", hash32(*key_cols, seed=seed))
     ranked = hash_order_index(hashed, [strata_col], "_h", list(key_cols), n_buckets, "_rank",
-                              n_groups_bound=n_strata_bound)
-    return (ranked.join(sizes, strata_col, "inner")
-            .filter(F.col("_rank") < F.col("_n"))
-            .drop("_h", "_N", "_n", "_rank"))
+                              n_groups_bound=n_strata_bound, total_out="_N")
+    f = _fraction_of(strata_col, fractions) if fractions is not None else F.lit(float(fraction))
+    keep = F.col("_rank") < F.bround(F.col("_N") * f, 0).cast("bigint")
+    return ranked.filter(keep).drop("_h", "_N", "_rank")
 
 
 def limit_k(df: DataFrame, k: int, order_cols: Sequence[str]) -> DataFrame:
