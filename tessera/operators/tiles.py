@@ -24,6 +24,13 @@ PIXEL_FIELD = {"VV": "VV", "VH": "VH", **S2_SHORT, LABEL_BAND: "label"}
 DEFAULT_BANDS = S1_BANDS + S2_BANDS + [LABEL_BAND]
 
 
+def repartition_by_patch(df: DataFrame, n: int | None = None, key: str = "patch_id") -> DataFrame:
+    """Hash-partition on the patch key (one exchange) so later per-patch
+    work is co-located; default 3 x the default parallelism."""
+    n = n or 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key)
+
+
 def pivot_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band",
                 pixels_col: str = "pixels", bands: Sequence[str] = DEFAULT_BANDS,
                 keep: Sequence[str] = ()) -> DataFrame:

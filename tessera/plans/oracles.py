@@ -223,10 +223,10 @@ SELECT p.patch_id,
   CAST(p.nb + p.has_label AS INTEGER) AS n_bands,
   CAST(nullif(count(*) FILTER (WHERE e.b = 0), 0) AS INTEGER) AS vv_size,
   CASE WHEN p.has_label = 1 THEN 64 END AS label_size,
-  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 2) AS b_sum,
-  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 3) AS g_sum,
-  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 4) AS r_sum,
-  sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 5) AS nir_sum,
+  CAST(sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 2) AS BIGINT) AS b_sum,
+  CAST(sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 3) AS BIGINT) AS g_sum,
+  CAST(sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 4) AS BIGINT) AS r_sum,
+  CAST(sum(CAST(trunc(CAST(e.v AS DOUBLE) * 1000 + 2000) AS BIGINT)) FILTER (WHERE e.b = 5) AS BIGINT) AS nir_sum,
   max(CAST(e.v AS DOUBLE)) FILTER (WHERE e.b = 0) AS vv_max,
   min(CAST(e.v AS DOUBLE)) FILTER (WHERE e.b = 1) AS vh_min
 FROM patches p JOIN emb e USING (k)
@@ -327,7 +327,7 @@ FROM patches"""
 
     pred = "SELECT CAST(quality AS BIGINT) AS label, CAST(toxic AS BIGINT) AS prediction FROM labels"
     q["confusion"] = f"SELECT label, prediction, count(*) AS n FROM ({pred}) GROUP BY label, prediction"
-    q["accuracy"] = (f"SELECT count(*) AS n, coalesce(sum(CAST(label = prediction AS BIGINT)), 0) AS n_correct, "
+    q["accuracy"] = (f"SELECT count(*) AS n, CAST(coalesce(sum(CAST(label = prediction AS BIGINT)), 0) AS BIGINT) AS n_correct, "
                      f"CAST(coalesce(sum(CAST(label = prediction AS BIGINT)), 0) AS DOUBLE) / "
                      f"nullif(count(*), 0) AS accuracy FROM ({pred})")
     iou = f"""p AS ({pred}),

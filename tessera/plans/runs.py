@@ -108,3 +108,9 @@ def run_summary(history: DataFrame, run_col: str = "run", started_col: str = "st
                       secs.alias("seconds"), hms_col(secs).alias("runtime"),
                       "mean_loss", "min_loss")
 
+
+
+def partition_report(df: DataFrame) -> DataFrame:
+    """Rows per physical partition (one small aggregation; the partition
+    count is ``df.rdd.getNumPartitions()``)."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))

@@ -55,3 +55,9 @@ def test_band_filter_regex(spark):
     df = spark.createDataFrame([(n,) for n in names], "path string")
     kept = sorted(r[0] for r in rows(df.filter(PA.is_s2_band_file("path")).select(PA.band_name("path"))))
     assert kept == ["B02", "B03", "B04", "B08"]
+
+
+def test_add_scheme_roundtrip(spark):
+    df = spark.createDataFrame([("b/x/",)], "p string")
+    out = df.select(PA.strip_scheme(PA.add_scheme("p")).alias("r")).collect()[0]["r"]
+    assert out == "b/x/"

@@ -45,3 +45,8 @@ def test_run_summary(spark):
                               "run string, started string, loss double")
     r = RU.run_summary(h).collect()[0]
     assert (r["n_epochs"], r["seconds"], r["runtime"], r["min_loss"]) == (2, 3723, "01:02:03", 0.5)
+
+
+def test_partition_report(spark):
+    r = RU.partition_report(spark.range(100).repartition(4)).collect()
+    assert len(r) == 4 and sum(x["rows"] for x in r) == 100

@@ -86,3 +86,11 @@ def test_global_index_avoids_single_partition(spark):
     plan = IX.hash_order_index(df, ["g"], "h", ["id"], 8, n_groups_bound=1)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_split_frames_and_parity_sampler(spark):
+    df = _frame(spark, 300)
+    parts = S.split_frames(df, "split", ["train", "test"])
+    assert parts["train"].count() == 200 and parts["test"].count() == 100
+    s = S.stratified_sample_parity(df, "split", {"train": 0.5}, seed=42)
+    assert s.filter("split = 'test'").count() == 0 and 0 < s.count() < 200

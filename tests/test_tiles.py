@@ -128,3 +128,11 @@ def test_stack_bytes_roundtrip(spark):
     assert a.shape == (6, 1, 2, 2) and a[0, 0].reshape(-1).tolist() == [0.0, 1.0, 2.0, 3.0]
     assert a[2, 0, 1, 1] == 23.0 and st["p1"]["dtype"] == "float64"
     assert st["p2"]["bands"] is None and st["p2"]["channels"] is None
+
+
+def test_label_bytes_and_repartition(spark):
+    p = TL.repartition_by_patch(TL.pivot_bands(_tiles(spark, _full("p1", 4))), 4)
+    assert p.rdd.getNumPartitions() == 4
+    st = TL.stack_bytes(p, 2, 2, channels=("label",)).collect()[0]
+    arr = TL.decode_stack(st["bands"], st["dtype"], 1, 2, 2)
+    assert st["dtype"] == "int64" and arr.reshape(-1).tolist() == [60, 61, 62, 63]
