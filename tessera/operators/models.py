@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.transformers import (FeatureAssembler, IndexCalculator, LabelRecoder, Persist,
-                                            PixelExploder, PixelExtractor)
+from tessera.operators.transformers import (FeatureAssembler, IndexCalculator, LabelRecoder, PixelExploder,
+                                            PixelExtractor)
 
 
 def build_pipeline(extractor: PixelExtractor, key: str = "patch_id", label_target: str = "CLASS",
                    ndwi_variant: str = "as_written", num_trees: int = 20, max_depth: int = 5,
-                   max_bins: int = 32, seed: int = 42, keep_cols: list[str] | None = None,
-                   persist_features: bool = True) -> Pipeline:
-    """extract -> explode -> indices -> recode -> assemble [-> persist] -> forest.
+                   max_bins: int = 32, seed: int = 42, keep_cols: list[str] | None = None) -> Pipeline:
+    """extract -> explode -> indices -> recode -> assemble -> forest.
 
     Forest defaults are the library defaults (20 trees, depth 5, 32 bins);
     the seed makes bagging repeatable on a fixed layout."""
@@ -28,15 +28,29 @@ def build_pipeline(extractor: PixelExtractor, key: str = "patch_id", label_targe
         LabelRecoder(target=label_target),
         FeatureAssembler(keepCols=keep),
     ]
-    if persist_features:
-        stages.append(Persist())
     stages.append(RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees,
                                          maxDepth=max_depth, maxBins=max_bins, seed=seed))
     return Pipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(train)
+def fit(pipeline: Pipeline, train: DataFrame, persist: bool = True) -> PipelineModel:
+    """Fit the pipeline. With ``persist`` the feature stages run once, their
+    output (the forest's input, which it scans several times) is kept in
+    memory and disk for the fit only and released afterwards. The result has
+    the same stages as ``pipeline.fit``'s; forest bagging depends on the
+    physical layout of its input, so individual trees may differ."""
+    *prep, last = pipeline.getStages()
+    if not persist or not all(isinstance(s, Transformer) for s in prep):
+        return pipeline.fit(train)
+    feats = train
+    for s in prep:
+        feats = s.transform(feats)
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = last.fit(feats)
+    finally:
+        feats.unpersist()
+    return PipelineModel(stages=[*prep, model])
 
 
 def predict(model: PipelineModel, test: DataFrame, keep: tuple[str, ...] = ("patch_id", "pos")) -> DataFrame:

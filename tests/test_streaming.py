@@ -52,8 +52,8 @@ def test_assemble_across_batches_and_timeout(spark, tmp_path):
 def test_score_stream_matches_batch(spark, tmp_path):
     meta = train_test_meta(spark, SF001).select("patch_id", "split")
     tiles = TB.band_tiles(spark, SF001)
-    fitted = MO.fit(MO.build_pipeline(PixelExtractor().with_tiles(tiles), seed=5, num_trees=3, max_depth=3,
-                                      persist_features=False), meta.filter("split = 'train'"))
+    fitted = MO.fit(MO.build_pipeline(PixelExtractor().with_tiles(tiles), seed=5, num_trees=3, max_depth=3),
+                    meta.filter("split = 'train'"))
     src = str(tmp_path / "tiles")
     test_ids = [r[0] for r in meta.filter("split = 'test'").collect()]
     tiles.filter(F.col("patch_id").isin(test_ids)).write.parquet(src)
