@@ -36,26 +36,28 @@ def iou_per_class(preds: DataFrame, label_col: str = "label", pred_col: str = "p
                   smooth: float = SMOOTH, num_classes: int | None = None) -> DataFrame:
     """Hard IoU per class c: (|l=c & p=c| + s) / (|l=c | p=c| + s).
 
-    Classes are those seen in labels or predictions, or 0..num_classes-1
-    when given (a class never seen then scores s / s = 1, the smoothed
-    convention)."""
-    cm = confusion(preds, label_col, pred_col)
-    tp = cm.filter(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"),
-                                                                F.col("n").alias("tp"))
-    by_label = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("n_label"))
-    by_pred = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("n_pred"))
-    classes = by_label.select("cls").union(by_pred.select("cls")).distinct()
+    One scan and one aggregation: every prediction contributes to its label
+    class (label count, true positive) and to its predicted class
+    (prediction count); partial aggregation collapses that to <= classes
+    rows per task. Classes are those seen, or 0..num_classes-1 when given
+    (a class never seen scores s / s = 1, the smoothed convention)."""
+    lab = F.col(label_col).cast("bigint")
+    pre = F.col(pred_col).cast("bigint")
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    contrib = F.array(
+        F.struct(lab.alias("cls"), one.alias("l"), zero.alias("p"), (lab == pre).cast("bigint").alias("tp")),
+        F.struct(pre.alias("cls"), zero.alias("l"), one.alias("p"), zero.alias("tp")))
+    per = (preds.select(F.inline(contrib))
+           .groupBy("cls").agg(F.sum("l").alias("n_label"), F.sum("p").alias("n_pred"),
+                               F.sum("tp").alias("tp")))
     if num_classes is not None:
-        classes = cm.sparkSession.range(num_classes).select(F.col("id").alias("cls"))
-    z = F.lit(0).cast("bigint")
-    j = (classes.join(tp, "cls", "left").join(by_label, "cls", "left").join(by_pred, "cls", "left")
-         .select("cls", F.coalesce("tp", z).alias("tp"), F.coalesce("n_label", z).alias("n_label"),
-                 F.coalesce("n_pred", z).alias("n_pred")))
+        every = preds.sparkSession.range(num_classes).select(F.col("id").alias("cls"))
+        per = every.join(per, "cls", "left").na.fill(0, ["n_label", "n_pred", "tp"])
     inter = F.col("tp")
     union = F.col("n_label") + F.col("n_pred") - F.col("tp")
-    return j.select(F.col("cls").alias("class_id"), inter.alias("intersection"), union.alias("union"),
-                    ((inter.cast("double") + F.lit(smooth)) / (union.cast("double") + F.lit(smooth)))
-                    .alias("iou"))
+    return per.select(F.col("cls").alias("class_id"), inter.alias("intersection"), union.alias("union"),
+                      ((inter.cast("double") + F.lit(smooth)) / (union.cast("double") + F.lit(smooth)))
+                      .alias("iou"))
 
 
 def iou_mean(preds: DataFrame, label_col: str = "label", pred_col: str = "prediction",
@@ -86,3 +88,27 @@ def best_epoch(history: DataFrame, run_col: str = "run", epoch_col: str = "epoch
                     (F.col("_b.v") if mode == "min" else -F.col("_b.v")).alias("best_" + metric_col),
                     "n_epochs"))
 
+
+
+def best_epoch_by_time(history: DataFrame, run_col: str = "run", time_col: str = "started",
+                       key_col: str = "event_id", metric_col: str = "loss",
+                       n_runs_bound: int | None = None) -> DataFrame:
+    """Best epoch when epochs are numbered by start time (ties by key):
+    the row with the smallest (metric, time, key) per run, numbered
+    1 + (rows of the run that started before it). Two aggregations and no
+    window, so a run holding most of the history is still spread over all
+    tasks. ``n_runs_bound`` (if known) lets the per-run winners be
+    broadcast."""
+    m = F.col(metric_col)
+    win = F.min(F.when(m.isNotNull(), F.struct(m.alias("v"), F.col(time_col).alias("t"),
+                                                F.col(key_col).alias("k"))))
+    best = history.groupBy(run_col).agg(win.alias("_b"), F.count(F.lit(1)).alias("n_epochs"))
+    marks = best.select(run_col, F.col("_b.t").alias("_t"), F.col("_b.k").alias("_k"))
+    if n_runs_bound is not None:
+        marks = F.broadcast(marks)
+    before = (F.col(time_col) < F.col("_t")) | ((F.col(time_col) == F.col("_t")) & (F.col(key_col) < F.col("_k")))
+    earlier = (history.select(run_col, time_col, key_col).join(marks, run_col, "inner").filter(before)
+               .groupBy(run_col).agg(F.count(F.lit(1)).alias("_before")))
+    return (best.join(earlier, run_col, "left")
+            .select(run_col, F.when(F.col("_b").isNotNull(), (F.coalesce("_before", F.lit(0)) + 1).cast("int"))
+                    .alias("best_epoch"), F.col("_b.v").alias("best_" + metric_col), "n_epochs"))

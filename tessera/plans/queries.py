@@ -18,7 +18,6 @@ from tessera.operators import metrics as M
 from tessera.operators import models as MO
 from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
-from tessera.operators.indexing import time_order_index
 from tessera.operators.transformers import FeatureAssembler, PixelExtractor
 from tessera.plans import params as P
 from tessera.plans import runs as RU
@@ -275,15 +274,8 @@ def q_jaccard_loss(spark, sf_dir):
     return M.jaccard_loss(TB.predictions(spark, sf_dir), smooth=P.SMOOTH)
 
 
-def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run history with 1-based epoch numbers in start-time order."""
-    h = TB.run_history(spark, sf_dir)
-    idx = time_order_index(h, ["run"], "started", ["event_id"], P.INDEX_BUCKETS, "_i", n_groups_bound=64)
-    return idx.withColumn("epoch", (F.col("_i") + 1).cast("int")).drop("_i")
-
-
 def q_best_epoch(spark, sf_dir):
-    return M.best_epoch(epochs(spark, sf_dir))
+    return M.best_epoch_by_time(TB.run_history(spark, sf_dir), n_runs_bound=64)
 
 
 def q_run_metrics(spark, sf_dir):

@@ -46,3 +46,16 @@ def test_best_epoch_tie_takes_earliest(spark):
 def test_split_counts(spark):
     df = spark.createDataFrame([("train",), ("train",), ("test",)], "split string")
     assert sorted(rows(M.split_counts(df))) == [("test", 1), ("train", 2)]
+
+
+def test_best_epoch_by_time_matches_numbered(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    h = spark.range(500).select(
+        (F.col("id") % 3).cast("string").alias("run"), F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("id") * 37) % 200).alias("started"),
+        ((F.col("id") * 7919) % 13).cast("double").alias("loss"))
+    numbered = h.withColumn("epoch", F.row_number().over(Window.partitionBy("run").orderBy("started", "event_id")))
+    a = sorted(tuple(r) for r in M.best_epoch(numbered).collect())
+    b = sorted(tuple(r) for r in M.best_epoch_by_time(h, n_runs_bound=3).collect())
+    assert a == b
