@@ -181,6 +181,7 @@ def oracles() -> dict[str, str]:
                          f"s2_path, label_path, path_error FROM meta")
     q["strip_scheme"] = (f"WITH {META} SELECT patch_id, {_strip('s1_path')} AS s1, "
                          f"{_strip('s2_path')} AS s2, {_strip('label_path')} AS label FROM meta")
+    q["scheme_prepend"] = f"WITH {META} SELECT patch_id, 's3://' || {_strip('s2_path')} AS s2 FROM meta"
     q["path_string"] = (f"WITH {META} SELECT patch_id, split, "
                         f"s1_path || ' ' || s2_path || ' ' || label_path AS paths FROM meta")
     q["paths_array"] = f"""WITH {META}
@@ -273,6 +274,14 @@ SELECT patch_id,
   CASE WHEN nb = 6 AND has_label = 1 THEN {T} END AS height,
   CASE WHEN nb = 6 AND has_label = 1 THEN {T} END AS width,
   CASE WHEN nb = 6 AND has_label = 1 THEN {6 * T * T * 8} END AS n_bytes
+FROM patches"""
+    q["label_bytes"] = f"""WITH {PATCHES}
+SELECT patch_id,
+  CASE WHEN has_label = 1 THEN 'int64' END AS dtype,
+  CASE WHEN has_label = 1 THEN 1 END AS channels,
+  CASE WHEN has_label = 1 THEN {T} END AS height,
+  CASE WHEN has_label = 1 THEN {T} END AS width,
+  CASE WHEN has_label = 1 THEN {T * T * 8} END AS n_bytes
 FROM patches"""
     q["interleave"] = f"""WITH {PX}
 SELECT patch_id, CAST(pos * 6 + c - 1 AS INTEGER) AS idx, value FROM (

@@ -92,6 +92,11 @@ def q_strip_scheme(spark, sf_dir):
                     PA.strip_scheme("label_path").alias("label"))
 
 
+def q_scheme_prepend(spark, sf_dir):
+    m = TB.metadata(spark, sf_dir)
+    return m.select("patch_id", PA.add_scheme(PA.strip_scheme("s2_path")).alias("s2"))
+
+
 def q_path_string(spark, sf_dir):
     m = TB.metadata(spark, sf_dir)
     return m.select("patch_id", "split", PA.paths_string("s1_path", "s2_path", "label_path").alias("paths"))
@@ -218,6 +223,12 @@ def q_stack_bands(spark, sf_dir):
                      F.octet_length("bands").alias("n_bytes"))
 
 
+def q_label_bytes(spark, sf_dir):
+    st = TL.stack_bytes(patch_arrays(spark, sf_dir), TILE, TILE, channels=("label",))
+    return st.select("patch_id", "dtype", "channels", "height", "width",
+                     F.octet_length("bands").alias("n_bytes"))
+
+
 def q_interleave(spark, sf_dir):
     p = patch_arrays(spark, sf_dir).select("patch_id", TL.interleave().alias("image"))
     return p.select("patch_id", F.posexplode("image").alias("idx", "value")) \
@@ -341,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "project": q_project,
     "derive_paths": q_derive_paths,
     "strip_scheme": q_strip_scheme,
+    "scheme_prepend": q_scheme_prepend,
     "path_string": q_path_string,
     "paths_array": q_paths_array,
     "band_paths": q_band_paths,
@@ -358,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "label_encode_dense": q_label_encode_dense,
     "features": q_features,
     "stack_bands": q_stack_bands,
+    "label_bytes": q_label_bytes,
     "interleave": q_interleave,
     "resize_nearest": q_resize_nearest,
     "resize_bilinear": q_resize_bilinear,
