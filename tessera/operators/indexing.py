@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.common import epoch_micros
 from tessera.functions.hashing import hash_bucket
 
 # Offsets table is broadcast only up to this many rows (groups x buckets).
@@ -74,7 +75,7 @@ def time_order_index(df: DataFrame, group_cols: Sequence[str], time_col: str, ke
     each group's [min, max] time range (exact min/max per group, so the
     bucket of a row is deterministic)."""
     g = list(group_cols)
-    t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    t = epoch_micros(df, time_col)
     rng = df.groupBy(*g).agg(F.min(t).alias("_tmin"), F.max(t).alias("_tmax"))
     if n_groups_bound is not None and n_groups_bound <= MAX_OFFSET_ROWS:
         rng = F.broadcast(rng)

@@ -13,7 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.functions.common import epoch_micros, idiv, wall_clock
 from tessera.schemas import STAGE_TIMING
 
 
@@ -87,8 +89,8 @@ def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
 def hms_col(seconds) -> F.Column:
     """Column form of :func:`hms` for bigint seconds."""
     s = F.col(seconds) if isinstance(seconds, str) else seconds
-    return F.concat_ws(":", F.lpad(F.floor(s / 3600).cast("string"), 2, "0"),
-                       F.lpad(F.floor(F.pmod(s, F.lit(3600)) / 60).cast("string"), 2, "0"),
+    return F.concat_ws(":", F.lpad(idiv(s, 3600).cast("string"), 2, "0"),
+                       F.lpad(idiv(F.pmod(s, F.lit(3600)), 60).cast("string"), 2, "0"),
                        F.lpad(F.pmod(s, F.lit(60)).cast("string"), 2, "0"))
 
 
@@ -97,14 +99,18 @@ def run_summary(history: DataFrame, run_col: str = "run", started_col: str = "st
     """Per run: epochs, first/last start (HH:MM:SS), truncated seconds
     between them and their HH:MM:SS form, mean and minimum loss. One
     aggregation, partial + final."""
-    t = F.col(started_col).cast("timestamp")
-    agg = history.groupBy(run_col).agg(
+    h = history
+    if isinstance(h.schema[started_col].dataType, T.StringType):
+        h = h.withColumn(started_col, F.col(started_col).cast("timestamp_ntz"))
+    us = epoch_micros(h, started_col)
+    t = F.col(started_col)
+    agg = h.groupBy(run_col).agg(
         F.count(F.lit(1)).alias("n_epochs"), F.min(t).alias("_t0"), F.max(t).alias("_t1"),
+        F.min(us).alias("_u0"), F.max(us).alias("_u1"),
         F.avg(loss_col).alias("mean_loss"), F.min(loss_col).alias("min_loss"))
-    secs = F.floor((F.unix_micros("_t1") - F.unix_micros("_t0")) / 1_000_000).cast("bigint")
-    return agg.select(run_col, "n_epochs",
-                      F.date_format("_t0", "HH:mm:ss").alias("started"),
-                      F.date_format("_t1", "HH:mm:ss").alias("finished"),
+    secs = idiv(F.col("_u1") - F.col("_u0"), 1_000_000)
+    return agg.select(run_col, "n_epochs", wall_clock("_t0").alias("started"),
+                      wall_clock("_t1").alias("finished"),
                       secs.alias("seconds"), hms_col(secs).alias("runtime"),
                       "mean_loss", "min_loss")
 

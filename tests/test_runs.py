@@ -50,3 +50,16 @@ def test_run_summary(spark):
 def test_partition_report(spark):
     r = RU.partition_report(spark.range(100).repartition(4)).collect()
     assert len(r) == 4 and sum(x["rows"] for x in r) == 100
+
+
+def test_run_summary_ntz_is_zone_independent(spark):
+    h = spark.createDataFrame([("r", 1.0), ("r", 0.5)], "run string, loss double").withColumn(
+        "started", __import__("pyspark.sql.functions", fromlist=["x"]).expr(
+            "CASE WHEN loss = 1.0 THEN TIMESTAMP_NTZ'2024-01-01 00:00:00' ELSE TIMESTAMP_NTZ'2024-03-10 02:30:00' END"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        r = RU.run_summary(h).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["finished"] == "02:30:00" and r["seconds"] == 5974200
