@@ -15,3 +15,16 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Functions shipped to Python workers (Arrow-batched decode, binary stack,
+# streaming assembly) are pickled by value, together with the tessera
+# helpers they call, so executors need no installed copy of the package.
+# A cluster may still ship it with --py-files; both work.
+try:  # pragma: no cover - depends on the bundled cloudpickle
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass
