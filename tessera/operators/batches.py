@@ -22,7 +22,7 @@ from tessera.operators.indexing import hash_order_index
 
 
 def element_order(df: DataFrame, group_col: str, key_cols: Sequence[str], seed: int = 42,
-                  n_buckets: int = 1024, n_groups_bound: int | None = 64) -> DataFrame:
+                  n_buckets: int = 1024, n_groups_bound: int | None = None) -> DataFrame:
     """Add ``idx``: 0-based position within ``group_col`` in hash order, and
     ``n_group``: the group's size."""
     hashed = df.withColumn("_h", hash32(*key_cols, seed=seed))
@@ -54,7 +54,7 @@ def check_shards(df: DataFrame, n_shards: int, group_col: str | None = None) ->
 
 def repeat(df: DataFrame, k: int, group_cols: Sequence[str] = ("shard",),
            pos_col: str = "shard_pos", size_col: str = "shard_size",
-           n_groups_bound: int | None = 4096) -> DataFrame:
+           n_groups_bound: int | None = None) -> DataFrame:
     """Repeat every element k times: ``rep`` in [0, k) and
     ``pos = rep * N_group + pos_col`` (position in the repeated sequence).
     N per group is ``size_col`` when present (narrow, no shuffle), else one

@@ -11,8 +11,11 @@ task is the job. Instead:
 2. counts per (group, bucket) form a small table (<= groups x buckets
    rows); a window over it gives each bucket's starting offset;
 3. ``row_number`` runs per (group, bucket), i.e. in many small window
-   partitions spread over all tasks, and the offset is added back through
-   a broadcast join of the small table.
+   partitions spread over all tasks, and the offset is added back by a
+   join with the small table: broadcast when the caller proves the group
+   count (``n_groups_bound``), else left to AQE's measured sizes. Without a
+   broadcast the join is still cheap: the ranked side is already hash
+   partitioned and sorted on (group, bucket), so only the small side moves.
 
 Everything is a pure function of the data (no sampling, no partition ids),
 so a re-run after executor loss yields identical indices.

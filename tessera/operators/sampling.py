@@ -53,13 +53,15 @@ def stratified_sample_parity(df: DataFrame, strata_col: str, fractions: Mapping[
 
 def exact_sample(df: DataFrame, strata_col: str, fraction: float | Mapping[str, float],
                  key_cols: Sequence[str], seed: int = 42, n_buckets: int = 1024,
-                 n_strata_bound: int | None = 64) -> DataFrame:
+                 n_strata_bound: int | None = None) -> DataFrame:
     """Without-replacement sample of exactly n = round_half_even(f * N) rows
     per stratum: the n rows with the smallest (hash32(seed, key), key).
 
     Ranks come from the distributed global index, so a stratum holding most
     of the rows is still ranked by many tasks; N is read off the index's
-    small per-bucket count table (no extra pass over the data).
+    small per-bucket count table (no extra pass over the data). Pass
+    ``n_strata_bound`` only when the plan proves it (e.g. after an ``isin``
+    filter); otherwise AQE sizes the small tables at run time.
     ``fraction=None``-style "take all" is ``fraction=1.0``.
     """
     fractions = fraction if isinstance(fraction, Mapping) else None

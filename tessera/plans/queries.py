@@ -286,7 +286,9 @@ def q_jaccard_loss(spark, sf_dir):
 
 
 def q_best_epoch(spark, sf_dir):
-    return M.best_epoch_by_time(TB.run_history(spark, sf_dir), n_runs_bound=64)
+    # the number of runs is data, not a proven bound: no broadcast hint, AQE
+    # broadcasts the per-run winners from their measured size
+    return M.best_epoch_by_time(TB.run_history(spark, sf_dir))
 
 
 def q_run_metrics(spark, sf_dir):
