@@ -38,23 +38,21 @@ def pivot_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band",
     the FX5 arrays: VV, VH as array<double>; B, G, R, NIR, label as
     array<bigint>. A band that is absent stays NULL.
 
-    One shuffle on ``key``; each group holds at most ``len(bands)`` arrays, so
-    no group grows with the data. Duplicate files of one band resolve to the
-    smallest (band, pixels) entry, so the result does not depend on arrival
-    order.
+    One shuffle on ``key``. Each band is one ``min(pixels) FILTER (band = b)``
+    aggregate: the buffer per patch is at most one array per band, however
+    many copies of a band file exist (a patch id holding a third of all rows
+    still reduces map-side to one row per task), and duplicates resolve to
+    the same array whatever their arrival order.
     """
-    entries = F.array_sort(F.collect_list(F.struct(F.col(band_col).alias("b"),
-                                                   F.col(pixels_col).alias("px"))))
-    extra = [F.first(c, ignorenulls=True).alias(c) for c in keep]
-    grouped = tiles.groupBy(key).agg(entries.alias("_bands"), *extra)
-    cols = []
-    def is_band(name: str):
-        return lambda e: e["b"] == F.lit(name)
+    def pick(b: str) -> Column:
+        return F.min(F.when(F.col(band_col) == F.lit(b), F.col(pixels_col)))
 
-    for band in bands:
-        arr = F.get(F.filter("_bands", is_band(band)), 0)["px"]
+    extra = [F.min(c).alias(c) for c in keep]
+    grouped = tiles.groupBy(key).agg(*[pick(b).alias(f"_b{i}") for i, b in enumerate(bands)], *extra)
+    cols = []
+    for i, band in enumerate(bands):
         target = T.ArrayType(T.DoubleType()) if band in S1_BANDS else T.ArrayType(T.LongType())
-        cols.append(arr.cast(target).alias(PIXEL_FIELD.get(band, band)))
+        cols.append(F.col(f"_b{i}").cast(target).alias(PIXEL_FIELD.get(band, band)))
     return grouped.select(key, *keep, *cols)
 
 
