@@ -76,7 +76,14 @@ def time_order_index(df: DataFrame, group_cols: Sequence[str], time_col: str, ke
                      n_buckets: int, out: str = "idx", n_groups_bound: int | None = None) -> DataFrame:
     """Global index in (time, key) order; buckets are equal-width slices of
     each group's [min, max] time range (exact min/max per group, so the
-    bucket of a row is deterministic)."""
+    bucket of a row is deterministic).
+
+    Balance follows the spread of the timestamps: rows sharing one exact
+    timestamp stay in one bucket, so a single instant carrying a large share
+    of a group is ranked by one (spilling) task. Hash order
+    (:func:`hash_order_index`) has no such limit. To pick a best epoch, use
+    :func:`tessera.operators.metrics.best_epoch_by_time`, which needs no
+    index at all."""
     g = list(group_cols)
     t = epoch_micros(df, time_col)
     rng = df.groupBy(*g).agg(F.min(t).alias("_tmin"), F.max(t).alias("_tmax"))
