@@ -67,6 +67,13 @@ def missing_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band
             .select(key, F.array_sort(F.array_except(exp, F.col("_found"))).alias("missing_bands")))
 
 
+def missing_from_arrays(bands: Sequence[str] = DEFAULT_BANDS) -> Column:
+    """Names of the bands whose pivoted array is NULL (the missing-band audit
+    read off a pivot that already ran, no extra pass)."""
+    return F.array_compact(F.array(*[F.when(F.col(PIXEL_FIELD.get(b, b)).isNull(), F.lit(b))
+                                     for b in bands]))
+
+
 def explode_pixels(patches: DataFrame, key: str = "patch_id",
                    fields: Sequence[str] = ("VV", "VH", "B", "G", "R", "NIR", "label"),
                    keep: Sequence[str] = (), check_sizes: bool = False) -> DataFrame:
@@ -228,12 +235,16 @@ STACK_SCHEMA = T.StructType([
 
 def stack_bytes(patches: DataFrame, height: int, width: int, key: str = "patch_id",
                 channels: Sequence[str] = tuple(PIXEL_FIELD[b] for b in IMAGE_CHANNELS),
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), out: str = "bands", with_header: bool = True) -> DataFrame:
     """Per patch: the (C, 1, H, W) stack as little-endian bytes, S1 bands then
     S2 bands, mixed dtypes promoted by numpy's rules. All or nothing: NULL
-    bytes when any band is missing or has the wrong size."""
-    cols = [key, *keep, *channels]
-    out_schema = T.StructType([patches.schema[c] for c in (key, *keep)] + list(STACK_SCHEMA.fields))
+    bytes when any band is missing or has the wrong size. ``out`` names the
+    bytes column; ``with_header`` adds dtype, channels, height, width."""
+    keep = list(keep)
+    cols = list(dict.fromkeys([key, *keep, *channels]))
+    head = list(STACK_SCHEMA.fields[1:]) if with_header else []
+    out_schema = T.StructType([patches.schema[c] for c in (key, *keep)]
+                              + [T.StructField(out, T.BinaryType())] + head)
     n = height * width
     passthrough = [key, *keep]
 
@@ -258,14 +269,15 @@ def stack_bytes(patches: DataFrame, height: int, width: int, key: str = "patch_i
             le = stacked.astype(stacked.dtype.newbyteorder("<"), copy=False)
             out_bytes = [le[r].tobytes() if ok[r] else None for r in range(rows)]
             dtype = str(stacked.dtype)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column(c) for c in passthrough] + [
-                    pa.array(out_bytes, pa.binary()),
-                    pa.array([dtype if o else None for o in ok], pa.string()),
-                    pa.array([len(channels) if o else None for o in ok], pa.int32()),
-                    pa.array([height if o else None for o in ok], pa.int32()),
-                    pa.array([width if o else None for o in ok], pa.int32())],
-                names=[*passthrough, "bands", "dtype", "channels", "height", "width"])
+            arrays = [rb.column(c) for c in passthrough] + [pa.array(out_bytes, pa.binary())]
+            names = [*passthrough, out]
+            if with_header:
+                arrays += [pa.array([dtype if o else None for o in ok], pa.string()),
+                           pa.array([len(channels) if o else None for o in ok], pa.int32()),
+                           pa.array([height if o else None for o in ok], pa.int32()),
+                           pa.array([width if o else None for o in ok], pa.int32())]
+                names += ["dtype", "channels", "height", "width"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return patches.select(*cols).mapInArrow(run, out_schema)
 
