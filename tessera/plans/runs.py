@@ -31,6 +31,7 @@ class StageTimer:
 
     run: str
     rows: list[tuple[str, str, str, str, int]] = field(default_factory=list)
+    exact: dict[str, float] = field(default_factory=dict)
 
     @contextmanager
     def stage(self, task: str) -> Iterator[None]:
@@ -39,6 +40,7 @@ class StageTimer:
             yield
         finally:
             t1 = time.time()
+            self.exact[task] = t1 - t0
             self.rows.append((self.run, task, time.strftime("%H:%M:%S", time.localtime(t0)),
                               time.strftime("%H:%M:%S", time.localtime(t1)), int(t1 - t0)))
 
