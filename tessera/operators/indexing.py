@@ -35,6 +35,15 @@ from tessera.functions.hashing import hash_bucket
 MAX_OFFSET_ROWS = 2_000_000
 
 
+def default_buckets(spark, floor: int = 1024, per_partition: int = 4) -> int:
+    """Buckets per group: enough (group, bucket) window partitions to fill
+    every shuffle partition several times over, never fewer than ``floor``.
+    On a large cluster (tens of thousands of shuffle partitions) a hot group
+    is then ranked by as many tasks as any other stage."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(floor, per_partition * parts)
+
+
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 

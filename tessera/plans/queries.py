@@ -18,6 +18,7 @@ from tessera.operators import metrics as M
 from tessera.operators import models as MO
 from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
+from tessera.operators.indexing import default_buckets
 from tessera.operators.transformers import FeatureAssembler, PixelExtractor
 from tessera.plans import params as P
 from tessera.plans import runs as RU
@@ -49,7 +50,8 @@ def train_test_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ordered_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train/test patches with their hash-order index and worker shard."""
     meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
-    ordered = BA.element_order(meta, "split", ["patch_id"], seed=P.SEED, n_buckets=P.INDEX_BUCKETS,
+    ordered = BA.element_order(meta, "split", ["patch_id"], seed=P.SEED,
+                               n_buckets=default_buckets(spark, P.INDEX_BUCKETS),
                                n_groups_bound=len(P.SPLITS))
     return BA.shard(ordered, P.N_SHARDS)
 
@@ -138,7 +140,7 @@ def q_stratified_sample(spark, sf_dir):
 def q_exact_sample(spark, sf_dir):
     meta = train_test_meta(spark, sf_dir).select("patch_id", "split")
     return S.exact_sample(meta, "split", P.EXACT_FRACTION, ["patch_id"], seed=P.SEED,
-                          n_buckets=P.INDEX_BUCKETS, n_strata_bound=len(P.SPLITS))
+                          n_buckets=default_buckets(spark, P.INDEX_BUCKETS), n_strata_bound=len(P.SPLITS))
 
 
 def q_limit_k(spark, sf_dir):

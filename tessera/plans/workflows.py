@@ -28,6 +28,7 @@ from tessera.operators import metrics as M
 from tessera.operators import models as MO
 from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
+from tessera.operators.indexing import default_buckets
 from tessera.operators.transformers import PixelExtractor
 from tessera.plans.runs import StageTimer
 from tessera.sources.sinks import write_patches
@@ -100,10 +101,11 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
     A patch with a missing band keeps its row with NULL arrays and
     ``complete = false`` (all or nothing, never a partial stack)."""
     wanted = S.filter_isin(meta.select("patch_id", "split"), "split", SPLITS)
+    nb = default_buckets(meta.sparkSession)
     if fraction is not None:
-        wanted = S.exact_sample(wanted, "split", fraction, ["patch_id"], seed=seed,
+        wanted = S.exact_sample(wanted, "split", fraction, ["patch_id"], seed=seed, n_buckets=nb,
                                 n_strata_bound=len(SPLITS))
-    ordered = BA.shard(BA.element_order(wanted, "split", ["patch_id"], seed=seed,
+    ordered = BA.shard(BA.element_order(wanted, "split", ["patch_id"], seed=seed, n_buckets=nb,
                                         n_groups_bound=len(SPLITS)), n_workers)
     seq = BA.batch(BA.repeat(ordered, repeats, group_cols=("split", "shard")),
                    BA.global_batch_size(local_batch_size, n_workers))
