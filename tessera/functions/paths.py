@@ -10,15 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.schemas import LABEL_BAND, S1_BANDS, S2_BAND_FILE_REGEX, S2_BANDS, SCHEME
-
-TILE_ID_REGEX = r"(.*)_[0-9]+_[0-9]+$"
-SCENE_ID_REGEX = r"(.*)_[A-Z0-9]+_[0-9]+_[0-9]+$"
-LAST_DIR_REGEX = r"([^/]+)/$"
-
-S1_PRODUCT_DIR = "BigEarthNet-S1/"
-S2_PRODUCT_DIR = "BigEarthNet-S2/"
-LABEL_PRODUCT_DIR = "Reference_Maps/"
+from tessera.schemas import (BAND_FILE_TEMPLATE, LABEL_BAND, LABEL_PRODUCT_DIR, LAST_DIR_REGEX,
+                             S1_BANDS, S1_PRODUCT_DIR, S2_BAND_FILE_REGEX, S2_BANDS, S2_PRODUCT_DIR,
+                             SCENE_ID_REGEX, SCHEME, TILE_ID_REGEX)
 
 
 def _col(c: str | Column) -> Column:
@@ -91,7 +85,7 @@ def band_file(directory: str | Column, band: str) -> Column:
     """``.../X/`` -> ``.../X/X_<band>.tif`` (F7-F9). A directory without the
     trailing '/' has no file name to derive: NULL."""
     d = _col(directory)
-    return F.when(d.rlike("/$"), F.regexp_replace(d, LAST_DIR_REGEX, f"$1/$1_{band}.tif"))
+    return F.when(d.rlike("/$"), F.regexp_replace(d, LAST_DIR_REGEX, BAND_FILE_TEMPLATE.format(band=band)))
 
 
 def band_files(paths: str | Column) -> Column:

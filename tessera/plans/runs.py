@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.common import epoch_micros, idiv, wall_clock
-from tessera.schemas import STAGE_TIMING
+from tessera.schemas import ACCURACY_LINE, COUNT_LINE, RUNTIME_LINE, STAGE_TIMING
 
 
 def hms(seconds: float) -> str:
@@ -48,11 +48,6 @@ class StageTimer:
         return spark.createDataFrame(self.rows, STAGE_TIMING)
 
 
-# Log line formats of the timing decorator and of the split-count prints.
-RUNTIME_LINE = r"^Runtime of task (.+): ([0-9]+):([0-9]{2}):([0-9]{2})$"
-COUNT_LINE = r"^Number of rows in (train|test) split: ([0-9]+)$"
-ACCURACY_LINE = r"^Evaluation done: Accuracy: ([0-9.eE+-]+)$"
-
 
 def parse_run_log(lines: DataFrame, run_col: str = "run", value_col: str = "value") -> DataFrame:
     """Log lines (run, value) -> one row per run: seconds of each timed task

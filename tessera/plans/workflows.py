@@ -31,6 +31,7 @@ from tessera.operators import tiles as TL
 from tessera.operators.indexing import default_buckets
 from tessera.operators.transformers import PixelExtractor
 from tessera.plans.runs import StageTimer
+from tessera.schemas import RESIZE_TARGET
 from tessera.sources.sinks import write_patches
 
 SPLITS = ("train", "test")
@@ -90,8 +91,8 @@ def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: i
     return out
 
 
-def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_size: int,
-                         n_workers: int, local_batch_size: int, repeats: int = 2,
+def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_size: int = RESIZE_TARGET,
+                         *, n_workers: int, local_batch_size: int, repeats: int = 2,
                          fraction: float | None = None, seed: int = 42,
                          channels: Sequence[str] = ("VV", "VH", "B", "G", "R", "NIR")) -> DataFrame:
     """Dense samples per train/test patch: image (out x out x C, bilinear,

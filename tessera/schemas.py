@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES — must equal the dataset's published label dictionary.
+# FIXED VALUES — everything down to the closing rule must stay exactly as
+# written for results to match: the land-cover label dictionary, band
+# names, file-name and path patterns, product directories, run-log formats.
+#
 # Land-cover codes in dictionary order, with their sparse id (1..44, and 99
 # for "Unlabeled") and their description. The dense id of a code is its
 # position in this list (0..44).
@@ -71,6 +74,23 @@ S2_ALL_BANDS = ["B01", "B02", "B03", "B04", "B05", "B06", "B07", "B08", "B8A",
 # Regex a listed S2 file must match to be read (B02, B03, B04, B08).
 S2_BAND_FILE_REGEX = r"_B0[2348]\.tif$"
 SCHEME = "s3://"
+# Patch id -> tile id (drop "_row_col"); S1 name -> scene id (drop
+# "_TILE_row_col"); directory ".../X/" -> band file ".../X/X_<band>.tif".
+TILE_ID_REGEX = r"(.*)_[0-9]+_[0-9]+$"
+SCENE_ID_REGEX = r"(.*)_[A-Z0-9]+_[0-9]+_[0-9]+$"
+LAST_DIR_REGEX = r"([^/]+)/$"
+BAND_FILE_TEMPLATE = "$1/$1_{band}.tif"
+# Product directories under the dataset root.
+S1_PRODUCT_DIR = "BigEarthNet-S1/"
+S2_PRODUCT_DIR = "BigEarthNet-S2/"
+LABEL_PRODUCT_DIR = "Reference_Maps/"
+# Run-log line formats (stage timing, split counts, accuracy); HH:MM:SS
+# with truncated seconds.
+RUNTIME_LINE = r"^Runtime of task (.+): ([0-9]+):([0-9]{2}):([0-9]{2})$"
+COUNT_LINE = r"^Number of rows in (train|test) split: ([0-9]+)$"
+ACCURACY_LINE = r"^Evaluation done: Accuracy: ([0-9.eE+-]+)$"
+# Training-image side length after resizing.
+RESIZE_TARGET = 128
 # ---------------------------------------------------------------------------
 
 CODES = [c for c, _, _ in LABEL_DICTIONARY]
