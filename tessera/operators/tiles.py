@@ -289,3 +289,122 @@ def _numpy_dtype(t: pa.DataType) -> np.dtype:
 def decode_stack(data: bytes, dtype: str, channels: int, height: int, width: int) -> np.ndarray:
     """Inverse of :func:`stack_bytes` (for consumers and tests)."""
     return np.frombuffer(data, dtype=np.dtype(dtype).newbyteorder("<")).reshape(channels, 1, height, width)
+
+
+# --------------------------------------------------------------------------
+# Vectorised resize for large tiles: the same coordinate tables, applied to
+# whole Arrow batches with numpy gathers in float32. Bit-identical to the
+# native expressions above; much faster once tiles are large (120x120+),
+# where per-element lambda evaluation dominates.
+# --------------------------------------------------------------------------
+
+def _bilinear_tables(in_h: int, in_w: int, out_h: int, out_w: int):
+    ys = bilinear_source_coords(in_h, out_h)
+    xs = bilinear_source_coords(in_w, out_w)
+    y0 = np.array([y[0] for y in ys]); y1 = np.array([y[1] for y in ys])
+    x0 = np.array([x[0] for x in xs]); x1 = np.array([x[1] for x in xs])
+    yl = np.array([y[2] for y in ys], dtype=np.float32)[:, None]
+    xl = np.array([x[2] for x in xs], dtype=np.float32)[None, :]
+    idx = [(a[:, None] * in_w + b[None, :]).reshape(-1) for a, b in ((y0, x0), (y0, x1), (y1, x0), (y1, x1))]
+    return idx, np.broadcast_to(xl, (out_h, out_w)).reshape(-1), np.broadcast_to(yl, (out_h, out_w)).reshape(-1)
+
+
+def _resize_block(block: np.ndarray, method: str, tables) -> np.ndarray:
+    """block: (rows, in_h*in_w) -> (rows, out_h*out_w) float32."""
+    if method == "nearest":
+        return block[:, tables].astype(np.float32, copy=False)
+    (tl_i, tr_i, bl_i, br_i), xl, yl = tables
+    b = block.astype(np.float32, copy=False)
+    tl, tr, bl, br = b[:, tl_i], b[:, tr_i], b[:, bl_i], b[:, br_i]
+    top = tl + (tr - tl) * xl
+    bottom = bl + (br - bl) * xl
+    return top + (bottom - top) * yl
+
+
+def _resize_valid(valid: np.ndarray, method: str, tables) -> np.ndarray:
+    """Element validity after resizing: an output is NULL when any source
+    element it reads is NULL (as in the native expressions)."""
+    if method == "nearest":
+        return valid[:, tables]
+    (tl_i, tr_i, bl_i, br_i), _, _ = tables
+    return valid[:, tl_i] & valid[:, tr_i] & valid[:, bl_i] & valid[:, br_i]
+
+
+def resize_columns(df: DataFrame, cols: Sequence[str] | dict[str, str], in_h: int, in_w: int, out_h: int,
+                   out_w: int, method: str = "bilinear") -> DataFrame:
+    """Replace each array column in ``cols`` by its resized array<float>
+    (row-major, half-pixel centres), NULL when the input is NULL or has the
+    wrong size; NULL elements stay NULL. ``cols`` may map column -> method
+    ("bilinear" or "nearest") to resize several columns in one pass.
+    Arrow-batched: one numpy gather per column per batch."""
+    methods = dict(cols) if isinstance(cols, dict) else {c: method for c in cols}
+    all_tables = {}
+    for m in set(methods.values()):
+        if m == "nearest":
+            ys = np.array(nearest_source_index(in_h, out_h))
+            xs = np.array(nearest_source_index(in_w, out_w))
+            all_tables[m] = (ys[:, None] * in_w + xs[None, :]).reshape(-1)
+        elif m == "bilinear":
+            all_tables[m] = _bilinear_tables(in_h, in_w, out_h, out_w)
+        else:
+            raise ValueError(m)
+    n_in, n_out = in_h * in_w, out_h * out_w
+    cols = list(methods)
+    out_schema = T.StructType([T.StructField(f.name, T.ArrayType(T.FloatType()))
+                               if f.name in cols else f for f in df.schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            arrays = []
+            for name in rb.schema.names:
+                col = rb.column(name)
+                if name not in cols:
+                    arrays.append(col)
+                    continue
+                method, tables = methods[name], all_tables[methods[name]]
+                lengths = col.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+                good = np.flatnonzero(lengths == n_in)
+                res = np.zeros((len(good), n_out), dtype=np.float32)
+                res_valid = None
+                if len(good):
+                    src = col if len(good) == rb.num_rows else col.take(pa.array(good))
+                    flat = src.flatten()
+                    if flat.null_count:
+                        valid = flat.is_valid().to_numpy(zero_copy_only=False).reshape(len(good), n_in)
+                        res_valid = _resize_valid(valid, method, tables).reshape(-1)
+                        flat = flat.fill_null(0)
+                    block = flat.to_numpy(zero_copy_only=False).reshape(len(good), n_in)
+                    res = _resize_block(block, method, tables)
+                offsets = np.zeros(rb.num_rows + 1, dtype=np.int32)
+                ok = np.zeros(rb.num_rows, dtype=bool)
+                ok[good] = True
+                offsets[1:] = np.cumsum(np.where(ok, n_out, 0))
+                values = pa.array(res.reshape(-1), pa.float32(),
+                                  mask=None if res_valid is None else ~res_valid)
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), values,
+                                                       mask=pa.array(~ok)))
+            yield pa.RecordBatch.from_arrays(arrays, names=rb.schema.names)
+
+    return df.mapInArrow(run, out_schema)
+
+
+# Below this many output values per array the per-batch Python hop costs
+# more than lambda evaluation saves; above it the Arrow path wins (~10x at
+# 120x120 -> 128x128). Both paths give identical results.
+ARROW_RESIZE_MIN_VALUES = 1024
+
+
+def resize_frame(df: DataFrame, methods: dict[str, str], in_h: int, in_w: int, out_h: int, out_w: int,
+                 engine: str = "auto") -> DataFrame:
+    """Resize several array columns (column -> "bilinear" | "nearest") to
+    array<float>. ``engine``: "native" (array expressions, JVM only),
+    "arrow" (one Arrow-batched numpy pass) or "auto" (by array size)."""
+    if engine == "auto":
+        engine = "arrow" if out_h * out_w > ARROW_RESIZE_MIN_VALUES else "native"
+    if engine == "arrow":
+        return resize_columns(df, methods, in_h, in_w, out_h, out_w)
+    if engine != "native":
+        raise ValueError(engine)
+    fns = {"bilinear": resize_bilinear, "nearest": resize_nearest}
+    return df.withColumns({c: fns[m](c, in_h, in_w, out_h, out_w).cast(T.ArrayType(T.FloatType()))
+                           for c, m in methods.items()})

@@ -327,11 +327,12 @@ def q_training_samples(spark, sf_dir):
     elems = ordered_elements(spark, sf_dir)
     p = patch_arrays(spark, sf_dir).join(elems, "patch_id", "inner")
     out = P.RESIZE_OUT
-    resized = [TL.resize_bilinear(c, TILE, TILE, out, out).alias(c) for c in ("VV", "VH", "B", "G", "R", "NIR")]
-    lab = TL.resize_nearest(L.encode_dense_array("label").cast("array<float>"), TILE, TILE, out, out)
-    r = p.select("patch_id", "split", "shard", "idx", *resized, lab.alias("label_map"))
-    return r.select("patch_id", "split", "shard", "idx", TL.interleave(("VV", "VH", "B", "G", "R", "NIR"))
-                    .alias("image"), F.col("label_map").alias("label"),
+    bands = ("VV", "VH", "B", "G", "R", "NIR")
+    src = p.select("patch_id", "split", "shard", "idx", *bands,
+                   L.encode_dense_array("label").cast("array<float>").alias("label_map"))
+    r = TL.resize_frame(src, {**{c: "bilinear" for c in bands}, "label_map": "nearest"}, TILE, TILE, out, out)
+    return r.select("patch_id", "split", "shard", "idx", TL.interleave(bands).alias("image"),
+                    F.col("label_map").alias("label"),
                     F.lit(out).alias("height"), F.lit(out).alias("width"), F.lit(6).alias("channels"))
 
 

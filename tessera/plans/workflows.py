@@ -94,7 +94,8 @@ def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: i
 def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_size: int = RESIZE_TARGET,
                          *, n_workers: int, local_batch_size: int, repeats: int = 2,
                          fraction: float | None = None, seed: int = 42,
-                         channels: Sequence[str] = ("VV", "VH", "B", "G", "R", "NIR")) -> DataFrame:
+                         channels: Sequence[str] = ("VV", "VH", "B", "G", "R", "NIR"),
+                         resize_engine: str = "auto") -> DataFrame:
     """Dense samples per train/test patch: image (out x out x C, bilinear,
     channels last, float), label map (out x out, nearest, dense class ids),
     plus shard / repeat / batch ids for ``n_workers`` workers. The batch is
@@ -111,11 +112,12 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
     seq = BA.batch(BA.repeat(ordered, repeats, group_cols=("split", "shard")),
                    BA.global_batch_size(local_batch_size, n_workers))
     patches = TL.pivot_bands(tiles.join(wanted.select("patch_id"), "patch_id", "left_semi"))
-    resized = [TL.resize_bilinear(c, in_size, in_size, out_size, out_size).alias(c) for c in channels]
-    lab = TL.resize_nearest(L.encode_dense_array("label").cast("array<float>"), in_size, in_size,
-                            out_size, out_size)
-    dense = patches.select("patch_id", *resized, lab.alias("label_map")).select(
-        "patch_id", TL.interleave(tuple(channels)).alias("image"), F.col("label_map").alias("label"))
+    src = patches.select("patch_id", *channels, L.encode_dense_array("label").cast("array<float>").alias("label_map"))
+    # one Arrow pass: bilinear for the image bands, nearest for class ids
+    resized = TL.resize_frame(src, {**{c: "bilinear" for c in channels}, "label_map": "nearest"},
+                              in_size, in_size, out_size, out_size, engine=resize_engine)
+    dense = resized.select("patch_id", TL.interleave(tuple(channels)).alias("image"),
+                           F.col("label_map").alias("label"))
     return seq.join(dense, "patch_id", "inner").select(
         "patch_id", "split", "shard", "rep", "pos", "batch_id", "slot", "image", "label",
         (F.col("image").isNotNull() & F.col("label").isNotNull()).alias("complete"),

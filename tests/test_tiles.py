@@ -136,3 +136,26 @@ def test_label_bytes_and_repartition(spark):
     st = TL.stack_bytes(p, 2, 2, channels=("label",)).collect()[0]
     arr = TL.decode_stack(st["bands"], st["dtype"], 1, 2, 2)
     assert st["dtype"] == "int64" and arr.reshape(-1).tolist() == [60, 61, 62, 63]
+
+
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_arrow_resize_matches_native(spark, method):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=30) * 100).tolist()) for i in range(5)] + [(5, [1.0, 2.0]), (6, None)]
+    df = spark.createDataFrame(rows, "id int, a array<double>")
+    native = TL.resize_bilinear if method == "bilinear" else TL.resize_nearest
+    exp = {r["id"]: r["r"] for r in df.select("id", native("a", 5, 6, 7, 4).cast("array<float>").alias("r"))
+           .collect()}
+    got = {r["id"]: r["a"] for r in TL.resize_columns(df, ["a"], 5, 6, 7, 4, method).collect()}
+    assert got == exp and got[5] is None and got[6] is None
+
+
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_arrow_resize_null_elements(spark, method):
+    vals = [float(i) for i in range(30)]
+    vals[7] = None
+    df = spark.createDataFrame([(0, vals)], "id int, a array<double>")
+    native = TL.resize_bilinear if method == "bilinear" else TL.resize_nearest
+    exp = df.select(native("a", 5, 6, 10, 12).cast("array<float>").alias("r")).collect()[0]["r"]
+    got = TL.resize_columns(df, ["a"], 5, 6, 10, 12, method).collect()[0]["a"]
+    assert got == exp and None in got

@@ -50,3 +50,13 @@ def test_prepare_training_set(spark):
         k = (r["split"], r["shard"], r["batch_id"])
         sizes[k] = sizes.get(k, 0) + 1
     assert max(sizes.values()) <= 8
+
+
+def test_training_set_engines_agree(spark):
+    meta, tiles = _inputs(spark)
+    kw = dict(n_workers=2, local_batch_size=4, repeats=1)
+    a = W.prepare_training_set(meta, tiles, 8, 12, resize_engine="native", **kw)
+    b = W.prepare_training_set(meta, tiles, 8, 12, resize_engine="arrow", **kw)
+    ra = sorted((r["patch_id"], r["image"], r["label"]) for r in a.collect())
+    rb = sorted((r["patch_id"], r["image"], r["label"]) for r in b.collect())
+    assert ra == rb and len(ra) > 0
