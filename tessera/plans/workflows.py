@@ -95,13 +95,15 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
                          *, n_workers: int, local_batch_size: int, repeats: int = 2,
                          fraction: float | None = None, seed: int = 42,
                          channels: Sequence[str] = ("VV", "VH", "B", "G", "R", "NIR"),
-                         resize_engine: str = "auto") -> DataFrame:
+                         resize_engine: str = "auto", check_workers: bool = False) -> DataFrame:
     """Dense samples per train/test patch: image (out x out x C, bilinear,
     channels last, float), label map (out x out, nearest, dense class ids),
     plus shard / repeat / batch ids for ``n_workers`` workers. The batch is
     the global batch (local x workers) as in the reference input pipeline.
     A patch with a missing band keeps its row with NULL arrays and
-    ``complete = false`` (all or nothing, never a partial stack)."""
+    ``complete = false`` (all or nothing, never a partial stack). With
+    ``check_workers`` the worker-count guard runs first (an action over the
+    patch keys only) and raises if a split does not fill every shard."""
     wanted = S.filter_isin(meta.select("patch_id", "split"), "split", SPLITS)
     nb = default_buckets(meta.sparkSession)
     if fraction is not None:
@@ -109,6 +111,8 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
                                 n_strata_bound=len(SPLITS))
     ordered = BA.shard(BA.element_order(wanted, "split", ["patch_id"], seed=seed, n_buckets=nb,
                                         n_groups_bound=len(SPLITS)), n_workers)
+    if check_workers:
+        BA.check_shards(ordered, n_workers, "split")
     seq = BA.batch(BA.repeat(ordered, repeats, group_cols=("split", "shard")),
                    BA.global_batch_size(local_batch_size, n_workers))
     patches = TL.pivot_bands(tiles.join(wanted.select("patch_id"), "patch_id", "left_semi"))

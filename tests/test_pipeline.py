@@ -80,3 +80,20 @@ def test_staged_fit_releases_cache(spark):
     key = ["patch_id", "pos", "label"]
     assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())
     assert 0.0 <= MO.evaluate_accuracy(a) <= 1.0 and 0.0 <= MO.evaluate_accuracy(b) <= 1.0
+
+
+def test_recoder_from_csv_and_extractor_keep(spark, tmp_path):
+    from tessera.schemas import LABEL_DICTIONARY
+    path = str(tmp_path / "dict.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("ID,ID_NEW,DESC\n")
+        for c, s_, d in LABEL_DICTIONARY:
+            f.write(f"{c},{s_},{d}\n")
+    meta = train_test_meta(spark, SF001).select("patch_id", "split")
+    ext = PixelExtractor(keepCols=["split"]).with_tiles(TB.band_tiles(spark, SF001))
+    px = PixelExploder(keepCols=["split"]).transform(ext.transform(meta))
+    a = LabelRecoder(target="ID_NEW", dictionaryPath=path).transform(px)
+    b = LabelRecoder(target="ID_NEW").transform(px)
+    key = ["patch_id", "pos", "split", "label"]
+    assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())
+    assert a.select("split").distinct().count() == 2

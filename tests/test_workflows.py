@@ -60,3 +60,8 @@ def test_training_set_engines_agree(spark):
     ra = sorted((r["patch_id"], r["image"], r["label"]) for r in a.collect())
     rb = sorted((r["patch_id"], r["image"], r["label"]) for r in b.collect())
     assert ra == rb and len(ra) > 0
+
+
+def test_worker_guard(spark):
+    meta, tiles = _inputs(spark)
+    W.prepare_training_set(meta, tiles, 8, 12, n_workers=2, local_batch_size=4, check_workers=True)
