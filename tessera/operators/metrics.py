@@ -95,20 +95,25 @@ def best_epoch_by_time(history: DataFrame, run_col: str = "run", time_col: str =
                        n_runs_bound: int | None = None) -> DataFrame:
     """Best epoch when epochs are numbered by start time (ties by key):
     the row with the smallest (metric, time, key) per run, numbered
-    1 + (rows of the run that started before it). Two aggregations and no
-    window, so a run holding most of the history is still spread over all
-    tasks. ``n_runs_bound`` (if known) lets the per-run winners be
-    broadcast."""
+    1 + (rows of the run that started before it).
+
+    Two aggregations and no window: the per-run winners (one small
+    aggregate), joined back to the history and counted in one hash
+    aggregation keyed by the run and its winner (partial aggregation keeps
+    a run holding most of the history spread over all tasks).
+    ``n_runs_bound`` (if proven) lets the winners be broadcast; otherwise
+    AQE decides from their measured size."""
     m = F.col(metric_col)
     win = F.min(F.when(m.isNotNull(), F.struct(m.alias("v"), F.col(time_col).alias("t"),
                                                 F.col(key_col).alias("k"))))
-    best = history.groupBy(run_col).agg(win.alias("_b"), F.count(F.lit(1)).alias("n_epochs"))
-    marks = best.select(run_col, F.col("_b.t").alias("_t"), F.col("_b.k").alias("_k"))
+    best = (history.groupBy(run_col).agg(win.alias("_b"), F.count(F.lit(1)).alias("n_epochs"))
+            .select(run_col, F.col("_b.v").alias("_bv"), F.col("_b.t").alias("_bt"),
+                    F.col("_b.k").alias("_bk"), "n_epochs"))
     if n_runs_bound is not None:
-        marks = F.broadcast(marks)
-    before = (F.col(time_col) < F.col("_t")) | ((F.col(time_col) == F.col("_t")) & (F.col(key_col) < F.col("_k")))
-    earlier = (history.select(run_col, time_col, key_col).join(marks, run_col, "inner").filter(before)
-               .groupBy(run_col).agg(F.count(F.lit(1)).alias("_before")))
-    return (best.join(earlier, run_col, "left")
-            .select(run_col, F.when(F.col("_b").isNotNull(), (F.coalesce("_before", F.lit(0)) + 1).cast("int"))
-                    .alias("best_epoch"), F.col("_b.v").alias("best_" + metric_col), "n_epochs"))
+        best = F.broadcast(best)
+    before = (F.col(time_col) < F.col("_bt")) | ((F.col(time_col) == F.col("_bt")) & (F.col(key_col) < F.col("_bk")))
+    counted = (history.select(run_col, time_col, key_col).join(best, run_col, "inner")
+               .groupBy(run_col, "_bv", "_bt", "_bk", "n_epochs")
+               .agg(F.sum(F.when(before, 1).otherwise(0)).alias("_before")))
+    return counted.select(run_col, F.when(F.col("_bt").isNotNull(), (F.col("_before") + 1).cast("int"))
+                          .alias("best_epoch"), F.col("_bv").alias("best_" + metric_col), "n_epochs")
