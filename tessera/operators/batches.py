@@ -99,5 +99,7 @@ def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how == "checkpoint":
+        from tessera.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder
         return df.checkpoint(eager=True)
     raise ValueError(how)

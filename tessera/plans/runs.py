@@ -79,7 +79,7 @@ def parse_run_log(lines: DataFrame, run_col: str = "run", value_col: str = "valu
 
 def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     """Text logs (one file per run) -> (run, value); run = file name stem."""
-    df = spark.read.text(path).withColumn("_file", F.input_file_name())
+    df = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path"))
     return df.select(F.regexp_extract("_file", r"([^/]+?)(\.[^./]*)?$", 1).alias("run"), "value")
 
 
