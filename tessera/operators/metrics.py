@@ -117,3 +117,34 @@ def best_epoch_by_time(history: DataFrame, run_col: str = "run", time_col: str =
                .agg(F.sum(F.when(before, 1).otherwise(0)).alias("_before")))
     return counted.select(run_col, F.when(F.col("_bt").isNotNull(), (F.col("_before") + 1).cast("int"))
                           .alias("best_epoch"), F.col("_bv").alias("best_" + metric_col), "n_epochs")
+
+
+def soft_iou_per_class(preds: DataFrame, label_col: str = "label", prob_col: str = "probability",
+                       smooth: float = SMOOTH) -> DataFrame:
+    """Soft IoU per class from class probabilities (array<double> or an ML
+    vector): intersection = sum of p_c over rows labelled c, union =
+    |label = c| + sum of p_c - intersection, iou = (I + s) / (U + s).
+    One explode of the probability vector and one partial/final
+    aggregation per class (the expansion is collapsed map-side)."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import types as T
+    p = F.col(prob_col)
+    if not isinstance(preds.schema[prob_col].dataType, T.ArrayType):
+        p = vector_to_array(p)
+    lab = F.col(label_col).cast("bigint")
+    exploded = preds.select(lab.alias("_l"), F.posexplode(p).alias("cls", "_p"))
+    per = exploded.groupBy(F.col("cls").cast("bigint").alias("class_id")).agg(
+        F.sum(F.when(F.col("_l") == F.col("cls"), F.col("_p")).otherwise(0.0)).alias("intersection"),
+        F.sum(F.when(F.col("_l") == F.col("cls"), 1).otherwise(0)).alias("n_label"),
+        F.sum("_p").alias("p_sum"))
+    union = F.col("n_label") + F.col("p_sum") - F.col("intersection")
+    return per.select("class_id", "intersection", union.alias("union"),
+                      ((F.col("intersection") + F.lit(smooth)) / (union + F.lit(smooth))).alias("iou"))
+
+
+def soft_jaccard_loss(preds: DataFrame, label_col: str = "label", prob_col: str = "probability",
+                      smooth: float = SMOOTH) -> DataFrame:
+    """One row: n_classes, soft iou_score (class mean) and jaccard_loss = 1 - score."""
+    per = soft_iou_per_class(preds, label_col, prob_col, smooth)
+    return per.agg(F.count(F.lit(1)).alias("n_classes"), F.avg("iou").alias("iou_score")) \
+        .withColumn("jaccard_loss", F.lit(1.0) - F.col("iou_score"))

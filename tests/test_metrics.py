@@ -59,3 +59,29 @@ def test_best_epoch_by_time_matches_numbered(spark):
     a = sorted(tuple(r) for r in M.best_epoch(numbered).collect())
     b = sorted(tuple(r) for r in M.best_epoch_by_time(h, n_runs_bound=3).collect())
     assert a == b
+
+
+def test_soft_iou_matches_numpy(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(1)
+    probs = rng.dirichlet(np.ones(3), size=50)
+    labels = rng.integers(0, 3, size=50)
+    rows = [(int(l), Vectors.dense(p.tolist())) for l, p in zip(labels, probs)]
+    df = spark.createDataFrame(rows, ["label", "probability"])
+    s = 1e-5
+    onehot = np.eye(3)[labels]
+    inter = (onehot * probs).sum(0)
+    union = onehot.sum(0) + probs.sum(0) - inter
+    exp = (inter + s) / (union + s)
+    got = {r["class_id"]: r["iou"] for r in M.soft_iou_per_class(df).collect()}
+    assert all(math.isclose(got[c], exp[c], rel_tol=1e-9) for c in range(3))
+    j = M.soft_jaccard_loss(df).collect()[0]
+    assert math.isclose(j["jaccard_loss"], 1 - exp.mean(), rel_tol=1e-9)
+    # one-hot probabilities reduce to the hard IoU
+    hard = spark.createDataFrame([(int(l), float(l)) for l in labels], "label bigint, prediction double")
+    oh = spark.createDataFrame([(int(l), Vectors.dense(np.eye(3)[l].tolist())) for l in labels],
+                               ["label", "probability"])
+    h = {r["class_id"]: r["iou"] for r in M.iou_per_class(hard).collect()}
+    o = {r["class_id"]: r["iou"] for r in M.soft_iou_per_class(oh).collect()}
+    assert all(math.isclose(h[c], o[c]) for c in h)
