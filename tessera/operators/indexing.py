@@ -90,7 +90,9 @@ def time_order_index(df: DataFrame, group_cols: Sequence[str], time_col: str, ke
     Balance follows the spread of the timestamps: rows sharing one exact
     timestamp stay in one bucket, so a single instant carrying a large share
     of a group is ranked by one (spilling) task. Hash order
-    (:func:`hash_order_index`) has no such limit. To pick a best epoch, use
+    (:func:`hash_order_index`) has no such limit, and
+    :func:`range_order_index` handles any order with any skew, at the cost
+    of one checkpoint of the key columns. To pick a best epoch, use
     :func:`tessera.operators.metrics.best_epoch_by_time`, which needs no
     index at all."""
     g = list(group_cols)
@@ -105,3 +107,37 @@ def time_order_index(df: DataFrame, group_cols: Sequence[str], time_col: str, ke
     with_rng = df.join(rng, g, "inner")
     res = with_global_index(with_rng, g, [time_col, *key_cols], bkt, n_buckets, out, n_groups_bound)
     return res.drop("_tmin", "_tmax")
+
+
+def range_order_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                      out: str = "idx", n_partitions: int | None = None,
+                      n_groups_bound: int | None = None) -> DataFrame:
+    """Global index for any total order, whatever its skew.
+
+    Sampled range partitioning on (group, order...) splits every group,
+    and even a single hot timestamp, across partitions, because the order
+    includes a unique tiebreak. The ranged rows (only the columns of ``df``)
+    are checkpointed into the session's shared checkpoint folder, so the
+    partition contents, and with them the in-partition positions, are
+    fixed before the offsets are derived. Recomputation cannot shift them.
+    Offsets come from a table of at most partitions + groups rows.
+    """
+    from tessera.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    g = list(group_cols)
+    keys = [*g, *order_cols]
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    stats = ranged.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select("_pid", *g, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    if n_groups_bound is not None and n + n_groups_bound <= MAX_OFFSET_ROWS:
+        offs = F.broadcast(offs)
+    return (ranged.join(offs, ["_pid", *g], "inner")
+            .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
+            .drop("_pid", "_mid", "_first", "_off"))

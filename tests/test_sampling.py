@@ -94,3 +94,20 @@ def test_split_frames_and_parity_sampler(spark):
     assert parts["train"].count() == 200 and parts["test"].count() == 100
     s = S.stratified_sample_parity(df, "split", {"train": 0.5}, seed=42)
     assert s.filter("split = 'test'").count() == 0 and 0 < s.count() < 200
+
+
+def test_range_index_with_hot_timestamp(spark):
+    # a third of the rows share one exact timestamp: range partitioning on
+    # (group, ts, id) still splits them; result equals a plain row_number
+    df = spark.range(3000).select(
+        F.col("id"), (F.col("id") % 2).cast("string").alias("g"),
+        F.when(F.col("id") % 3 == 0, F.lit(1_700_000_000))
+        .otherwise(F.lit(1_700_000_000) + F.col("id") % 500).cast("timestamp").alias("ts"))
+    got = IX.range_order_index(df, ["g"], ["ts", "id"], n_partitions=7, n_groups_bound=2)
+    brute = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("ts", "id")) - 1)
+    j = got.join(brute, ["id", "g"])
+    assert j.count() == 3000 and j.filter(F.col("idx") != F.col("rn")).count() == 0
+    # and it does not depend on the number of range partitions
+    other = IX.range_order_index(df, ["g"], ["ts", "id"], n_partitions=3)
+    assert sorted(tuple(r) for r in got.select("id", "idx").collect()) == \
+        sorted(tuple(r) for r in other.select("id", "idx").collect())
