@@ -263,6 +263,11 @@ def stack_bytes(patches: DataFrame, height: int, width: int, key: str = "patch_i
                     good = np.flatnonzero(lengths == n)
                     flat = pa.concat_arrays([col.slice(i, 1).flatten() for i in good]) if len(good) != rows \
                         else col.flatten()
+                    if flat.null_count:
+                        # a NULL pixel makes the whole stack NULL (all or nothing)
+                        holes = flat.is_null().to_numpy(zero_copy_only=False).reshape(len(good), n).any(1)
+                        ok[good[holes]] = False
+                        flat = flat.fill_null(0)
                     dense[good] = flat.to_numpy(zero_copy_only=False).reshape(len(good), n)
                 planes.append(dense)
             stacked = np.stack(planes, axis=1).reshape(rows, len(channels), 1, height, width)

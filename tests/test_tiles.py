@@ -159,3 +159,10 @@ def test_arrow_resize_null_elements(spark, method):
     exp = df.select(native("a", 5, 6, 10, 12).cast("array<float>").alias("r")).collect()[0]["r"]
     got = TL.resize_columns(df, ["a"], 5, 6, 10, 12, method).collect()[0]["a"]
     assert got == exp and None in got
+
+
+def test_stack_bytes_null_pixel_is_all_or_nothing(spark):
+    data = _full("p1", 4) + _full("p2", 4)
+    data = [(p, b, [None, 1.0, 2.0, 3.0]) if (p, b) == ("p2", "B03") else (p, b, px) for p, b, px in data]
+    st = {r["patch_id"]: r for r in TL.stack_bytes(TL.pivot_bands(_tiles(spark, data)), 2, 2).collect()}
+    assert st["p1"]["bands"] is not None and st["p2"]["bands"] is None
