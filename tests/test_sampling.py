@@ -111,3 +111,14 @@ def test_range_index_with_hot_timestamp(spark):
     other = IX.range_order_index(df, ["g"], ["ts", "id"], n_partitions=3)
     assert sorted(tuple(r) for r in got.select("id", "idx").collect()) == \
         sorted(tuple(r) for r in other.select("id", "idx").collect())
+
+
+def test_hash_bucket_monotone_and_balanced(spark):
+    from tessera.functions.hashing import HASH_SPACE, hash_bucket
+    edges = spark.createDataFrame([(0,), (1,), (HASH_SPACE // 2,), (HASH_SPACE - 1,)], "h bigint")
+    for n in (1, 7, 1024, 65536):
+        b = [r[0] for r in edges.orderBy("h").select(hash_bucket(F.col("h"), n)).collect()]
+        assert b == sorted(b) and b[0] == 0 and b[-1] == n - 1
+    df = spark.range(20000).select(hash32("id").alias("h"))
+    counts = [r[1] for r in df.groupBy(hash_bucket(F.col("h"), 16).alias("b")).count().collect()]
+    assert len(counts) == 16 and max(counts) < 1.2 * 20000 / 16
