@@ -19,7 +19,10 @@ members are compared with leaders, not with each other: a leader that has
 been compared is removed, and a bucket is finished once its remaining members
 lie in one component. Rounds repeat with more leaders at a time until no
 bucket is open, so no link between components is lost, however large a
-bucket, and a bucket of true copies costs one comparison per member.
+bucket, and a bucket of true copies costs one comparison per member. From the
+second round on the join itself leaves out pairs that cannot be linked: the
+bits in which two odd sketches differ are at most the shingles that only one
+set has, so too many of them rule the pair out without ever losing a link.
 Candidates are confirmed on the full shingle sets of whole texts.
 
 *Defined cases.* NULL or blank texts have an empty set (size 0) and are linked
@@ -46,7 +49,8 @@ COLLECTIONS = 24
 COLLECTION_HASHES = 3
 MIN_PERCENT = 75
 # Leaders per open bucket grow by this factor from round to round.
-LEADER_GROWTH = 4
+LEADER_GROWTH = 16
+SKETCH_BITS = 1024
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -79,21 +83,28 @@ def shingle_hashes(text: str | None, ids: dict, k: int = SHINGLE_WORDS) -> np.nd
     return np.unique(h)
 
 
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of SKETCH_BITS cells, as 64-bit
+    words. Every shingle that only one of two sets has flips one cell, so the
+    bits in which two sketches differ never outnumber those shingles."""
+    cells = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def _hash_family(count: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    draw = rng.integers(0, 2**63, size=(2, count, 1), dtype=np.uint64)
-    return draw[0], draw[1] * np.uint64(2) + np.uint64(1)
+    draw = rng.integers(0, 2**31, size=(2, count, 1), dtype=np.uint32)
+    return draw[0] * np.uint32(2), draw[1] * np.uint32(2) + np.uint32(1)
 
 
 def collection_values(hashes: np.ndarray, m: int, r: int, family) -> np.ndarray:
     """One 64-bit value for each of the m collections of r minhashes."""
     xor, mul = family
-    low = np.full(m * r, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        part = (hashes[None, at : at + 2048] ^ xor) * mul
-        part ^= part >> np.uint64(31)
-        np.minimum(low, part.min(axis=1), out=low)
-    low = low.reshape(m, r)
+    short = (hashes >> np.uint64(17)).astype(np.uint32)
+    low = np.full(m * r, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), 1024):
+        np.minimum(low, ((short[None, at : at + 1024] ^ xor) * mul).min(axis=1), out=low)
+    low = low.reshape(m, r).astype(np.uint64)
     out = np.arange(1, m + 1, dtype=np.uint64) * _MIX
     for j in range(r):
         out = (out ^ low[:, j]) * _MUL
@@ -107,16 +118,18 @@ def _signatures(m: int, r: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _WordIds()
         for batch in batches:
-            sizes, classes, values = [], [], []
+            sizes, classes, values, sketches = [], [], [], []
             for text in batch.column(2):
                 h = shingle_hashes(text.as_py(), ids, k)
                 sizes.append(len(h))
                 classes.append(int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).view(np.int64)) if len(h) else None)
                 values.append(collection_values(h, m, r, family).view(np.int64) if len(h) else None)
+                sketches.append(odd_sketch(h) if len(h) else None)
             yield pa.record_batch([
                 batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                pa.array(classes, pa.int64()), pa.array(values, pa.list_(pa.int64()))],
-                names=["doc_id", "row_hash", "n_shingles", "cid", "vals"])
+                pa.array(classes, pa.int64()), pa.array(values, pa.list_(pa.int64())),
+                pa.array(sketches, pa.list_(pa.int64()))],
+                names=["doc_id", "row_hash", "n_shingles", "cid", "vals", "sketch"])
 
     return run
 
@@ -189,42 +202,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row_hash"),
                        F.col(text_col).cast("string").alias("text"))
     marked = cut(rows.mapInArrow(_signatures(m, r, k),
-                                 "doc_id long, row_hash long, n_shingles long, cid long, vals array<long>"),
+                                 "doc_id long, row_hash long, n_shingles long, cid long, vals array<long>, sketch array<long>"),
                  "signatures")
     classes = marked.filter("cid is not null").groupBy("cid").agg(
-        F.min("n_shingles").alias("n_shingles"), F.min("vals").alias("vals"),
+        F.min("n_shingles").alias("n_shingles"), F.min("vals").alias("vals"), F.min("sketch").alias("sketch"),
         F.min(F.struct("doc_id", "row_hash")).alias("rep"), F.min("doc_id").alias("least_id"))
     open_rows = cut(_bucket_rows(classes, m), "buckets")
 
-    pairs_done, links, labels, leaders_each = None, None, None, 1
     reps = classes.select("cid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.row_hash").alias("row_hash"))
+    sketches = classes.select("cid", "sketch")
+    size, lead_size = F.col("n_shingles"), F.col("lead_n")
+    near = 100 * F.least(size, lead_size) >= percent * F.greatest(size, lead_size)
+    links, labels, done, leaders_each = None, None, None, 1
     while True:
-        seen = open_rows if labels is None else open_rows.join(labels, F.col("cid") == F.col("u"), "left").drop("u")
-        seen = seen.select("key", "cid", "n_shingles", (F.col("cid") if labels is None else F.coalesce("v", "cid")).alias("comp"))
+        if labels is None:
+            seen = open_rows.withColumn("comp", F.col("cid"))
+        else:
+            seen = (open_rows.join(labels, F.col("cid") == F.col("u"), "left")
+                    .select("key", "cid", "n_shingles", F.coalesce("v", "cid").alias("comp")))
         live = (seen.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                 .filter("low <> high").select("key"))
-        seen = seen.join(live, "key") if labels is None else cut(seen.join(live, "key"), "buckets")
-        if labels is not None and seen.isEmpty():
-            break
-        salt = F.pmod(F.xxhash64("cid", "key"), F.lit(leaders_each))
-        leaders = (seen.groupBy("key", salt.alias("s"))
-                   .agg(F.min(F.struct("cid", "n_shingles", "comp")).alias("lead"))
-                   .select("key", F.col("lead.cid").alias("lead"), F.col("lead.n_shingles").alias("lead_n"),
-                           F.col("lead.comp").alias("lead_comp")))
-        near_size = ((100 * F.least("n_shingles", "lead_n")) >= (percent * F.greatest("n_shingles", "lead_n")))
-        pairs = (seen.join(leaders, "key").filter(F.col("comp") != F.col("lead_comp")).filter(near_size)
-                 .select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct())
-        if pairs_done is not None:
-            pairs = pairs.join(pairs_done, ["a", "b"], "left_anti")
+        seen = seen.join(live, "key")
+        if labels is not None:
+            seen = cut(seen.join(sketches, "cid"), "buckets")
+            if seen.isEmpty():
+                break
+        lead = F.struct("cid", "n_shingles", "comp", *(["sketch"] if labels is not None else []))
+        leaders = (seen.groupBy("key", F.pmod(F.xxhash64("cid", "key"), F.lit(leaders_each)).alias("s"))
+                   .agg(F.min(lead).alias("lead"))
+                   .select("key", *[F.col(f"lead.{x}").alias(y) for x, y in (
+                       ("cid", "lead"), ("n_shingles", "lead_n"), ("comp", "lead_comp"),
+                       *([("sketch", "lead_sketch")] if labels is not None else []))]))
+        may_link = near & (F.col("comp") != F.col("lead_comp"))
+        if labels is not None:
+            differ = sum(F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("lead_sketch")[i]))
+                         for i in range(SKETCH_BITS // 64))
+            may_link &= (100 + percent) * differ <= (100 - percent) * (size + lead_size)
+        met = seen.withColumnRenamed("key", "k").join(leaders, (F.col("k") == F.col("key")) & may_link)
+        pairs = met.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct()
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = cut(pairs, "candidates")
-        pairs_done = pairs if pairs_done is None else pairs_done.unionByName(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        ids = reps.join(wanted, "cid", "left_semi")
-        texts = cut(rows.join(ids, rows.doc_id.eqNullSafe(ids.doc_id) & (rows.row_hash == ids.row_hash))
-                    .select("cid", "text").dropDuplicates(["cid"]), "texts")
-        found = _confirmed(pairs, texts, percent, k)
-        links = cut(found if links is None else links.unionByName(found), "confirmed")
-        labels = components(links)
+        done = pairs if done is None else done.unionByName(pairs)
+        if pairs.isEmpty():
+            labels = labels if labels is not None else components(pairs)
+        else:
+            wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+            ids = reps.join(wanted, "cid", "left_semi")
+            texts = cut(rows.join(ids, rows.doc_id.eqNullSafe(ids.doc_id) & (rows.row_hash == ids.row_hash))
+                        .select("cid", "text").dropDuplicates(["cid"]), "texts")
+            found = cut(_confirmed(pairs, texts, percent, k), "confirmed")
+            if labels is None or not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                labels = components(links)
         open_rows = seen.select("key", "cid", "n_shingles").join(
             leaders.select("key", F.col("lead").alias("cid")), ["key", "cid"], "left_anti")
         leaders_each *= LEADER_GROWTH
@@ -232,7 +262,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.join(labels, F.col("cid") == F.col("u"), "left").select("cid", F.coalesce("v", "cid").alias("comp"), "least_id")
     comps = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     named = named.join(comps, "comp").select("cid", "component_id")
-    out = marked.drop("vals").join(named, "cid", "left")
+    out = marked.drop("vals", "sketch").join(named, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "row_hash", "n_shingles", "cid", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

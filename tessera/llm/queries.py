@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import near_dedup
-from tessera.llm.common import load
+from tessera.llm import byte_bpe, hash_tree, near_dedup, warc
+from tessera.llm.common import load, new_folder
+
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +19,26 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.assign_shards(load(spark, sf_dir, "documents"))
+
+
+def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_archives(load(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "whole")
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.encode_and_decode(
+        load(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_hash_tree_sharding": op3_hash_tree_sharding,
+    "op4_warc_segments": op4_warc_segments,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
