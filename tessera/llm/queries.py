@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, hash_tree, near_dedup, warc
+from tessera.llm import byte_bpe, hash_tree, near_dedup, warc, winnowing, winnowing_sql
 from tessera.llm.common import load, new_folder
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -30,6 +31,12 @@ def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "whole")
 
 
+def op5_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_and_decode(
         load(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN))
@@ -39,6 +46,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_hash_tree_sharding": op3_hash_tree_sharding,
     "op4_warc_segments": op4_warc_segments,
+    "op5_winnowing_decontamination": op5_winnowing_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_winnowing_decontamination": winnowing_sql.OP5,
+}
