@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, hash_tree, near_dedup, warc, winnowing, winnowing_sql
+from tessera.llm import byte_bpe, hash_tree, near_dedup, quality_rules, warc, winnowing, winnowing_sql
 from tessera.llm.common import load, new_folder
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -37,6 +37,11 @@ def op5_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_and_decode(
         load(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN))
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hash_tree_sharding": op3_hash_tree_sharding,
     "op4_warc_segments": op4_warc_segments,
     "op5_winnowing_decontamination": op5_winnowing_decontamination,
+    "op6_divergence_rules": op6_divergence_rules,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
