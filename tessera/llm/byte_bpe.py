@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG_PIECE = 96
+# Letters, numbers and white space among the code points below 256.
+LATIN = {
+    r"\p{L}": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff",
+    r"\p{N}": "0-9\xb2\xb3\xb9\xbc-\xbe",
+    r"\s": "\t-\r \x85\xa0",
+}
 # Characters of text looked at together, words in one recursive query, rows
 # that one call of it may produce, and pieces remembered by a task.
 CHUNK_CHARS = 8_000_000
@@ -42,6 +49,7 @@ ROWS_AT_ONCE = 6_000_000
 REMEMBERED = 400_000
 
 _STEPS = """
+CREATE OR REPLACE TEMP TABLE steps AS
 WITH RECURSIVE step(it, word, pos, tok) AS (
   SELECT 0, word, pos, tok FROM todo
   UNION ALL (
@@ -56,11 +64,11 @@ WITH RECURSIVE step(it, word, pos, tok) AS (
     SELECT it + 1, s.word, s.pos, CASE WHEN s.pos = rp % 4294967296 THEN (rp // 4294967296)::INT ELSE s.tok END
     FROM step s JOIN best USING (word) WHERE s.pos <> gone AND s.it < {most})
 )
-SELECT word, pos, tok, it = {most} AS more FROM (SELECT *, max(it) OVER (PARTITION BY word) AS last FROM step)
-WHERE it = last
+SELECT * FROM step
 """
 
 _LONG_STEPS = """
+CREATE OR REPLACE TEMP TABLE steps AS
 WITH RECURSIVE step(it, word, pos, tok) AS (
   SELECT 0, word, pos, tok FROM todo
   UNION ALL (
@@ -84,13 +92,17 @@ WITH RECURSIVE step(it, word, pos, tok) AS (
     LEFT JOIN chosen g ON g.word = s.word AND g.pos2 = s.pos
     WHERE g.word IS NULL AND s.it < {most})
 )
-SELECT word, pos, tok, it = {most} AS more FROM (SELECT *, max(it) OVER (PARTITION BY word) AS last FROM step)
-WHERE it = last
+SELECT * FROM step
+"""
+
+_LEFT = """
+SELECT word, pos, tok, it = {most} AS more
+FROM steps JOIN (SELECT word, max(it) AS it FROM steps GROUP BY word) USING (word, it)
 """
 
 _COLLECT = """
-SELECT word, list(tok ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS hexes
-FROM final JOIN vocab USING (tok) GROUP BY word
+SELECT word, list(tok) AS ids, string_agg(hex, '') AS hexes
+FROM (SELECT word, tok, hex FROM final JOIN vocab USING (tok) ORDER BY word, pos) GROUP BY word
 """
 
 
@@ -99,6 +111,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def latin_pattern(pattern: str) -> str | None:
+    """``pattern`` for Python's faster ``re``, right for texts of code points
+    below 256 only: the Unicode classes are spelled out for these. None if it
+    uses anything else that ``re`` lacks."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        found = re.compile(r"\\p\{[LN]\}|\\[sS]|\\.|[\[\]]|[^\\\[\]]").match(pattern, at)
+        part, at = found[0], found.end()
+        if part in LATIN:
+            out.append(LATIN[part] if inside else f"[{LATIN[part]}]")
+        elif part == r"\S" and not inside:
+            out.append(f"[^{LATIN[chr(92) + 's']}]")
+        elif part[0] == "\\":
+            return None
+        else:
+            inside = part == "[" or inside and part != "]"
+            out.append(part)
+    return "".join(out)
+
+
 class BytePairs:
     """The merge table and vocabulary in a DuckDB of this process."""
 
@@ -106,6 +138,8 @@ class BytePairs:
         import duckdb
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
+        narrow = latin_pattern(pattern)
+        self.latin = re.compile(narrow) if narrow else None
         self.base = max(ranks.values()) + 1
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         rows = [(ranks[a], ranks[b], r) for whole, r in ranks.items() if len(whole) > 1
@@ -120,6 +154,16 @@ class BytePairs:
                                "free": np.array([x not in bound for x in r.tolist()], bool)})
         self._table("vocab", {"tok": np.array(list(ranks.values()), np.int32), "hex": [t.hex() for t in ranks]})
 
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, in order."""
+        if self.latin is not None:
+            try:
+                text.encode("latin-1")
+                return self.latin.findall(text)
+            except UnicodeEncodeError:
+                pass
+        return self.pattern.findall(text)
+
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM incoming")
@@ -136,7 +180,8 @@ class BytePairs:
         while rows.num_rows:
             most = int(np.clip(ROWS_AT_ONCE // rows.num_rows, 1, 256))
             self.db.register("todo", rows)
-            out = self.db.sql(steps.format(base=self.base, most=most)).to_arrow_table()
+            self.db.execute(steps.format(base=self.base, most=most))
+            out = self.db.sql(_LEFT.format(most=most)).to_arrow_table()
             self.db.unregister("todo")
             more = out.column("more")
             done.append(out.filter(pc.invert(more)).select(["word", "pos", "tok"]))
@@ -150,8 +195,12 @@ class BytePairs:
         ids = out.column("ids").combine_chunks()
         flat, ends = ids.flatten().to_numpy().astype("<i4"), ids.offsets.to_numpy()
         hexes = out.column("hexes").to_pylist()
-        for n, word in enumerate(out.column("word").to_pylist()):
-            into[words[word]] = (flat[ends[n] : ends[n + 1]].tobytes(), bytes.fromhex(hexes[n]))
+        packed, ends = flat.tobytes(), (ends * 4).tolist()
+        for n, at in enumerate(out.column("word").to_pylist()):
+            word, decoded = words[at], bytes.fromhex(hexes[n])
+            if decoded != word:
+                raise ValueError(f"ids of {word!r} decode to {decoded!r}")
+            into[word] = (packed[ends[n] : ends[n + 1]], decoded)
 
     def encode(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
         """piece -> (its ids as little-endian int32, the bytes they decode to)."""
@@ -185,7 +234,7 @@ def byte_pairs(path: str, pattern: str) -> BytePairs:
 def _encoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_pairs(path, pattern)
-        split = bpe.pattern.findall
+        split = bpe.split
         known: dict[str, tuple[bytes, bytes]] = {}
         for batch in batches:
             at = 0

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, hash_tree, near_dedup, quality_rules, warc, winnowing, winnowing_sql
+from tessera.llm import byte_bpe, hash_tree, line_templates, near_dedup, quality_rules, warc, winnowing, winnowing_sql
 from tessera.llm.common import load, new_folder
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -42,6 +42,11 @@ def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.drop_recurring_templates(load(spark, sf_dir, "documents"), counts=True)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_and_decode(
         load(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN))
@@ -53,8 +58,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_segments": op4_warc_segments,
     "op5_winnowing_decontamination": op5_winnowing_decontamination,
     "op6_divergence_rules": op6_divergence_rules,
+    "op8_line_templates": op8_line_templates,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op5_winnowing_decontamination": winnowing_sql.OP5,
+    "op8_line_templates": line_templates.OP8,
 }

@@ -7,8 +7,7 @@ record, the others are ``continuation`` records that name it as their origin
 and carry a segment number; the last one states the total length. Pages whose
 payload (SHA-1 and length) another page with a smaller id has already are
 ``revisit`` records without a body. Records go out through Spark's text writer
-with the record separator as line separator, so a file is a plain WARC file;
-a file holds at most ``RECORDS_PER_FILE`` records of bounded size.
+with the record separator as line separator, so a file is a gzipped WARC file; it holds at most ``RECORDS_PER_FILE`` records of bounded size.
 
 ``read_archives`` parses every file by its headers and content lengths,
 groups segments by origin, orders them by segment number, verifies numbers and
@@ -23,6 +22,7 @@ extra columns are ignored. An archive that breaks the format raises an error.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -145,12 +145,14 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     revisits = (records.filter("not first").select("row_key", url, "digest", "copies", "n", "first_id")
                 .mapInArrow(_write_revisits, "record binary"))
     (responses.unionByName(revisits).select(F.col("record").cast("string").alias("value")).write
-     .option("lineSep", SEPARATOR).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+     .option("lineSep", SEPARATOR).option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path))
 
 
 def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields by lower-case name, block) of each record of a file."""
     at = 0
+    if content.startswith(b"\x1f\x8b"):
+        content = gzip.decompress(content)
     while at < len(content):
         end = content.find(b"\r\n\r\n", at)
         if not content.startswith(b"WARC/1.", at) or end < 0:
