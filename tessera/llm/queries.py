@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, hash_tree, line_templates, near_dedup, quality_rules, warc, winnowing, winnowing_sql
+from tessera.llm import (
+    byte_bpe,
+    hash_tree,
+    language_codes,
+    line_templates,
+    near_dedup,
+    pairwise_quality,
+    quality_rules,
+    secret_crf,
+    warc,
+    winnowing,
+    winnowing_sql,
+)
 from tessera.llm.common import load, new_folder
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +32,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_codes.identify(load(spark, sf_dir, "documents"))
+
+
 def op3_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.assign_shards(load(spark, sf_dir, "documents"))
 
@@ -42,11 +58,20 @@ def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return pairwise_quality.score(docs, pairwise_quality.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_templates.drop_recurring_templates(load(spark, sf_dir, "documents"), counts=True)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+def op9_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_crf.digests(secret_crf.scan(load(spark, sf_dir, "documents")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_and_decode(
         load(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN))
@@ -54,11 +79,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_language_codes": op2_language_codes,
     "op3_hash_tree_sharding": op3_hash_tree_sharding,
     "op4_warc_segments": op4_warc_segments,
     "op5_winnowing_decontamination": op5_winnowing_decontamination,
     "op6_divergence_rules": op6_divergence_rules,
+    "op7_pairwise_quality": op7_pairwise_quality,
     "op8_line_templates": op8_line_templates,
+    "op9_secret_crf": op9_secret_crf,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
