@@ -51,3 +51,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def doc_hash(col: str | Column) -> Column:
     """UTF-8 crc32 of the decimal form of an id; NULL for a NULL id."""
     return F.crc32(F.col(col).cast("string").cast("binary") if isinstance(col, str) else col)
+
+
+def sliding(values: Column, width: int, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` over every window of ``width`` elements, by doubling: a window
+    is joined from two shorter ones that cover it together (they may overlap).
+    Empty if there are fewer elements."""
+    def grow(cur: Column, size: int) -> Column:
+        if size == width:
+            return cur
+        step = min(size, width - size)
+        return let(F.zip_with(cur, F.slice(cur, step + 1, F.size(cur)), lambda a, b: join(a, b)), lambda longer: grow(longer, size + step))
+
+    return let(values, lambda v: F.slice(grow(v, 1), F.lit(1), F.greatest(F.size(v) - (width - 1), F.lit(0))))
+
+
+def not_in(codes: list[int]) -> str:
+    """Regular expression for runs without these characters. They are listed
+    one by one: Java looks such a class up in a table, ranges it tests in turn."""
+    return "[^" + "".join(f"\\x{c:02X}" for c in codes) + "]+"
+
+
+#: Runs without ASCII white space.
+WORD = not_in([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])

@@ -25,11 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import let
+from tessera.llm.common import WORD, let, sliding
 
-# The contract's words, symbols, window and limits.
-WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]"
+# The contract's symbols, window and limits.
+SPACE = r"[\x20\x09\x0A\x0B\x0C\x0D]"
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 8
 BASE_MIN_WORDS = 20
@@ -50,8 +49,7 @@ def _number(c: Column) -> Column:
 
 def repeat_words(words: Column, window: int = WINDOW) -> Column:
     """Number of words in windows of ``window`` words that occur twice or more."""
-    def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(w) - window), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(window)]))
+    windows = lambda w: sliding(F.transform(w, lambda x: F.xxhash64(x)), window, F.xxhash64)
 
     def repeated(h: Column) -> Column:
         placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))

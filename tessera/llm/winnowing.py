@@ -27,15 +27,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, let
+from tessera.llm.common import cut, let, not_in, sliding
 
 SPAN = 13
 GRAM = 5
 # A document is contaminated if at least 1 in this many of its words is hit.
 WORDS_PER_HIT = 20
-# The contract's letters of a word, before and after lower-casing.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# The contract's words: no ASCII but digits and letters, lower case or any.
+_GAPS = [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
+WORD = not_in([*_GAPS, *range(0x41, 0x5B)])
+WORD_ANY_CASE = not_in(_GAPS)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A kept gram as one number: its hash above, its position below this bit.
 POS_BITS = 31
@@ -47,17 +48,11 @@ def words_of(text: Column) -> Column:
 
 def kept_grams(words: Column, span: int = SPAN, gram: int = GRAM) -> Column:
     """Distinct kept grams of an array of words, packed as hash and position."""
-    def grams(w: Column) -> Column:
-        def packed(i: Column) -> Column:
-            h = F.xxhash64(*[F.get(w, i + j) for j in range(gram)])
-            return F.shiftleft(F.shiftrightunsigned(h, POS_BITS), POS_BITS).bitwiseOR(i.cast("long"))
-        return F.transform(F.sequence(F.lit(0), F.size(w) - gram), packed)
-
-    def least(g: Column) -> Column:
-        width = span - gram + 1
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(g) - width + 1), lambda j: F.array_min(F.slice(g, j, width))))
-
-    return let(words, lambda w: F.when(F.size(w) >= span, let(grams(w), least)))
+    hashes = lambda w: sliding(F.transform(w, lambda x: F.xxhash64(x)), gram, F.xxhash64)
+    packed = lambda h: F.transform(h, lambda x, i: F.shiftleft(
+        F.shiftrightunsigned(x, POS_BITS), POS_BITS).bitwiseOR(i.cast("long")))
+    least = lambda w: F.array_distinct(sliding(packed(hashes(w)), span - gram + 1, F.least))
+    return let(words, lambda w: F.when(F.size(w) >= span, least(w)))
 
 
 def _unpacked(df: DataFrame, *keep: str) -> DataFrame:
