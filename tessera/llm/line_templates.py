@@ -36,7 +36,8 @@ MIN_TEXTS = 5
 MIN_TOKENS = 3
 DEPTH = 4
 MIN_CONSTANT = 7
-WORD = r"[^\x20\x09-\x0D]+"
+SPACES = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
+UNEVEN = r"[\x09\x0A\x0B\x0C\x0D]|\x20\x20|^\x20|\x20$"
 FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
@@ -44,16 +45,26 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
 
 
+def _parsed(line: Column) -> Column:
+    """struct(line, tpl, leaf): the masked line with single blanks, and hashes
+    of it and of its place in the tree, NULL with too few tokens."""
+    def hashed(x: Column) -> Column:
+        n = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+        enough = n >= MIN_TOKENS
+        return F.struct(x.alias("line"), F.when(enough, F.xxhash64(x)).alias("tpl"),
+                        F.when(enough, F.xxhash64(n, F.substring_index(x, " ", DEPTH))).alias("leaf"))
+
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
+    single = lambda x: F.when(x.rlike(UNEVEN), F.btrim(F.regexp_replace(x, SPACES, " "))).otherwise(x)
+    return let(let(masked, single), hashed)
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row per line of enough tokens: key, text_hash, doc_id, line_no, tokens, tpl, leaf."""
+    """A row per line: doc_id, key, text_hash, line_no, p (struct of ``_parsed``)."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(id_col, text_col).alias("key"),
                        F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "key", "text_hash", "line_no",
-                       F.regexp_extract_all(F.regexp_replace("line", FIELD, "<*>"), F.lit(WORD), F.lit(0)).alias("tokens"))
-    rows = rows.filter(F.size("tokens") >= MIN_TOKENS)
-    leading = [F.get("tokens", F.lit(i)) for i in range(DEPTH)]
-    return rows.withColumns({"tpl": F.xxhash64(F.array_join("tokens", " ")), "leaf": F.xxhash64(F.size("tokens"), *leading)})
+    return rows.select("doc_id", "key", "text_hash", "line_no", _parsed(F.col("line")).alias("p"))
 
 
 def _recurring(lines: DataFrame, by: str) -> DataFrame:
@@ -70,14 +81,17 @@ def _to_drop(lines: DataFrame, recurring: DataFrame, by: str) -> DataFrame:
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, dropped): the numbers of the lines to drop, by document key."""
     full = _lines(docs, id_col, text_col)
-    lines = cut(full.drop("tokens"), "lines")
+    lines = cut(full.select("doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf"), "lines").filter("tpl is not null")
     known = cut(_recurring(lines, "tpl"), "templates")
     drops = _to_drop(lines, known, "tpl")
 
     rest = lines.join(known, "tpl", "left_anti")
     leaves = cut(_recurring(rest, "leaf").select("leaf"), "leaves")
     if not leaves.isEmpty():
-        open_lines = cut(full.join(leaves, "leaf", "left_semi").join(known, "tpl", "left_anti"), "leaf-lines")
+        # The whole struct stays one column up to the join, so that it is made once.
+        open_lines = full.join(leaves, F.col("p.leaf") == F.col("leaf"), "left_semi").select(
+            "doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf", F.split("p.line", " ").alias("tokens"))
+        open_lines = cut(open_lines.join(known, "tpl", "left_anti"), "leaf-lines")
         sizes = open_lines.groupBy("leaf").agg(F.count("*").alias("n"))
         tokens = open_lines.select("leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token"))
         constants = (tokens.groupBy("leaf", "size", "pos", "token").agg(F.count("*").alias("c")).join(sizes, "leaf")
