@@ -80,17 +80,17 @@ def _to_drop(lines: DataFrame, recurring: DataFrame, by: str) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, dropped): the numbers of the lines to drop, by document key."""
-    full = _lines(docs, id_col, text_col)
-    lines = cut(full.select("doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf"), "lines").filter("tpl is not null")
+    # Parsed once; readers of the table take the fields they need.
+    full = cut(_lines(docs, id_col, text_col), "lines")
+    lines = full.select("doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf").filter("tpl is not null")
     known = cut(_recurring(lines, "tpl"), "templates")
     drops = _to_drop(lines, known, "tpl")
 
     rest = lines.join(known, "tpl", "left_anti")
     leaves = cut(_recurring(rest, "leaf").select("leaf"), "leaves")
     if not leaves.isEmpty():
-        # The whole struct stays one column up to the join, so that it is made once.
-        open_lines = full.join(leaves, F.col("p.leaf") == F.col("leaf"), "left_semi").select(
-            "doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf", F.split("p.line", " ").alias("tokens"))
+        open_lines = full.select("doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf", "p.line").join(leaves, "leaf", "left_semi")
+        open_lines = open_lines.withColumn("tokens", F.split("line", " ")).drop("line")
         open_lines = cut(open_lines.join(known, "tpl", "left_anti"), "leaf-lines")
         sizes = open_lines.groupBy("leaf").agg(F.count("*").alias("n"))
         tokens = open_lines.select("leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token"))
