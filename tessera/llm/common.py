@@ -22,7 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path:
         return path
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "local")
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-llm-")
     spark.conf.set(CHECKPOINT_CONF, path)
