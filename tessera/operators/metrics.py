@@ -47,12 +47,12 @@ def iou_per_class(preds: DataFrame, label_col: str = "label", pred_col: str = "p
     contrib = F.array(
         F.struct(lab.alias("cls"), one.alias("l"), zero.alias("p"), (lab == pre).cast("bigint").alias("tp")),
         F.struct(pre.alias("cls"), zero.alias("l"), one.alias("p"), zero.alias("tp")))
-    per = (preds.select(F.inline(contrib))
+    per = (preds.select(F.inline(contrib)).filter(F.col("cls").isNotNull())
            .groupBy("cls").agg(F.sum("l").alias("n_label"), F.sum("p").alias("n_pred"),
                                F.sum("tp").alias("tp")))
     if num_classes is not None:
         every = preds.sparkSession.range(num_classes).select(F.col("id").alias("cls"))
-        per = every.join(per, "cls", "left").na.fill(0, ["n_label", "n_pred", "tp"])
+        per = every.join(per, "cls", "full").na.fill(0, ["n_label", "n_pred", "tp"])
     inter = F.col("tp")
     union = F.col("n_label") + F.col("n_pred") - F.col("tp")
     return per.select(F.col("cls").alias("class_id"), inter.alias("intersection"), union.alias("union"),

@@ -62,8 +62,10 @@ def missing_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band
     expected bands minus the ones found (an anti-join done as one
     bounded-size set difference per patch, no cross product)."""
     exp = F.array(*[F.lit(b) for b in expected])
+    # A file that could not be decoded has no pixels: its band is missing.
+    readable = F.col("pixels").isNotNull() if "pixels" in tiles.columns else F.lit(True)
     return (tiles.groupBy(key)
-            .agg(F.collect_set(band_col).alias("_found"))
+            .agg(F.collect_set(F.when(readable, F.col(band_col))).alias("_found"))
             .select(key, F.array_sort(F.array_except(exp, F.col("_found"))).alias("missing_bands")))
 
 

@@ -81,7 +81,7 @@ def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: i
     wanted = S.filter_isin(meta.select("patch_id", "split"), "split", SPLITS)
     tl = tiles.join(wanted.select("patch_id"), "patch_id", "left_semi")
     # one pivot (one shuffle of the tiles); everything else is narrow
-    patches = (TL.pivot_bands(tl).join(wanted, "patch_id", "inner")
+    patches = (TL.pivot_bands(tl).join(wanted, "patch_id", "right")
                .withColumn("missing_bands", TL.missing_from_arrays()))
     stack = TL.stack_bytes(patches, height, width, keep=["split", "missing_bands", "label"])
     out = TL.stack_bytes(stack, height, width, channels=("label",), out="label_map", with_header=False,
@@ -122,7 +122,7 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
                               in_size, in_size, out_size, out_size, engine=resize_engine)
     dense = resized.select("patch_id", TL.interleave(tuple(channels)).alias("image"),
                            F.col("label_map").alias("label"))
-    return seq.join(dense, "patch_id", "inner").select(
+    return seq.join(dense, "patch_id", "left").select(
         "patch_id", "split", "shard", "rep", "pos", "batch_id", "slot", "image", "label",
         (F.col("image").isNotNull() & F.col("label").isNotNull()).alias("complete"),
         F.lit(out_size).alias("height"), F.lit(out_size).alias("width"), F.lit(len(channels)).alias("channels"))

@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, path)
     sc.setCheckpointDir(path)

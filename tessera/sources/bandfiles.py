@@ -11,7 +11,7 @@ buffers are built in. A file that fails to decode becomes a row with an
 from __future__ import annotations
 
 import io
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,8 @@ DECODED = T.StructType([
 
 # <dir>/<dir>_<band>.<ext>: the directory names the patch (S2, label) or
 # the S1 product; the suffix names the band.
-FILE_REGEX = r"([^/]+)/([^/]+)_([A-Za-z0-9]+|reference_map)\.[A-Za-z0-9]+$"
+MODEL_BANDS = ("VV", "VH", "B02", "B03", "B04", "B08", "reference_map")
+FILE_REGEX = r"([^/]+)/\1_([^/]+)\.[A-Za-z0-9]+$"
 
 
 def decode_npy(data: bytes, path: str) -> np.ndarray:
@@ -92,22 +93,32 @@ def band_tiles_from_files(decoded: DataFrame) -> DataFrame:
     directory name (patch id for S2 and label maps, S1 product name for
     S1). Use :func:`attach_patch_ids` to key everything by patch id."""
     return decoded.select(extract_or_null("path", FILE_REGEX, 1).alias("dir_name"),
-                          extract_or_null("path", FILE_REGEX, 3).alias("band"),
+                          extract_or_null("path", FILE_REGEX, 2).alias("band"),
                           "path", "height", "width", "dtype", "pixels", "error")
 
 
-def attach_patch_ids(tiles: DataFrame, meta: DataFrame) -> DataFrame:
-    """Map directory names to patch ids: S2 and label directories are named
-    by the patch id, S1 directories by the S1 product name. One equi-join
-    against a two-column key table built from the metadata."""
-    keys = (meta.select(F.col("patch_id").alias("dir_name"), "patch_id")
+def directory_keys(meta: DataFrame) -> DataFrame:
+    """(dir_name, patch_id): S2 and label directories are named by the patch
+    id, S1 directories by the S1 product name."""
+    return (meta.select(F.col("patch_id").alias("dir_name"), "patch_id")
             .unionByName(meta.filter(F.col("s1_name").isNotNull())
                          .select(F.col("s1_name").alias("dir_name"), "patch_id")))
-    return tiles.join(keys, "dir_name", "inner")
+
+
+def attach_patch_ids(tiles: DataFrame, meta: DataFrame) -> DataFrame:
+    """Map directory names to patch ids with one equi-join against a
+    two-column key table built from the metadata."""
+    return tiles.join(directory_keys(meta), "dir_name", "inner")
 
 
 def ingest_band_files(spark: SparkSession, roots: str | list[str], meta: DataFrame,
-                      decoder: Decoder = decode_npy, glob: str | None = None) -> DataFrame:
-    """List, decode and key band files: FX4 rows plus ``error``."""
-    decoded = decode_band_files(list_band_files(spark, roots, glob), decoder)
-    return attach_patch_ids(band_tiles_from_files(decoded), meta)
+                      decoder: Decoder = decode_npy, glob: str | None = None,
+                      bands: Sequence[str] | None = MODEL_BANDS) -> DataFrame:
+    """List, decode and key band files: FX4 rows plus ``error``. Files of
+    other bands (``bands=None``: of none) and of patches that ``meta`` does
+    not hold are left out by their path, before anything is decoded."""
+    files = list_band_files(spark, roots, glob).withColumn("dir_name", extract_or_null("path", FILE_REGEX, 1))
+    if bands is not None:
+        files = files.filter(extract_or_null("path", FILE_REGEX, 2).isin(list(bands)))
+    files = files.join(directory_keys(meta).select("dir_name"), "dir_name", "left_semi")
+    return attach_patch_ids(band_tiles_from_files(decode_band_files(files, decoder)), meta)

@@ -36,10 +36,14 @@ def test_ingest_decode_and_key(spark, tmp_path):
     tiles = BF.ingest_band_files(spark, root, meta)
     got = {(r["patch_id"], r["band"]): r for r in tiles.collect()}
     assert got[("T_1_1", "VV")]["height"] == 3 and len(got[("T_1_1", "VV")]["pixels"]) == 6
-    assert got[("T_1_1", "B05")]["dtype"] == "uint16"
+    assert got[("T_1_1", "B04")]["dtype"] == "uint16" and ("T_1_1", "B05") not in got
+    assert len(got[("T_1_1", "reference_map")]["pixels"]) == 6
     assert got[("T_1_2", "B03")]["pixels"] is None and "Error" in got[("T_1_2", "B03")]["error"]
     assert ("T_1_2", "VH") not in got
-    assert len([k for k in got if k[0] == "T_1_1"]) == 8
+    assert len([k for k in got if k[0] == "T_1_1"]) == 7
+    every = BF.ingest_band_files(spark, root, meta.filter("patch_id = 'T_1_1'"), bands=None)
+    assert sorted({(r["patch_id"], r["band"]) for r in every.select("patch_id", "band").collect()})[3] == ("T_1_1", "B05")
+    assert every.count() == 8
 
 
 def test_glob_keeps_model_bands(spark, tmp_path):
