@@ -49,7 +49,7 @@ COLLECTIONS = 24
 COLLECTION_HASHES = 3
 MIN_PERCENT = 75
 # Leaders per open bucket grow by this factor from round to round.
-LEADER_GROWTH = 16
+LEADER_GROWTH = 64
 SKETCH_BITS = 1024
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -154,6 +154,14 @@ def _confirm(percent: int, k: int):
     return run
 
 
+def _is_star_forest(e: DataFrame) -> bool:
+    """Every u has one v and no v is a u: components are found."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("ups"), F.lit(0).alias("downs")).unionByName(
+        e.select(F.col("v").alias("x"), F.lit(0).alias("ups"), F.lit(1).alias("downs")))
+    ends = ends.groupBy("x").agg(F.sum("ups").alias("ups"), F.max("downs").alias("downs"))
+    return ends.filter("ups > 1 or ups > 0 and downs > 0").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) for every node u of ``edges(a, b)``, v the least node of its
     connected component (nodes that are their own least node are left out).
@@ -161,18 +169,14 @@ def components(edges: DataFrame) -> DataFrame:
     join, and writes every step to the shared folder."""
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
             .filter("u <> v").distinct(), "links")
-    mark = None
-    while True:
+    while not _is_star_forest(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "links")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark:
-            return e
-        mark = tuple(now)
+    return e
 
 
 def _bucket_rows(classes: DataFrame, m: int) -> DataFrame:
@@ -213,7 +217,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = classes.select("cid", "sketch")
     size, lead_size = F.col("n_shingles"), F.col("lead_n")
     near = 100 * F.least(size, lead_size) >= percent * F.greatest(size, lead_size)
-    links, labels, done, leaders_each = None, None, None, 1
+    labels, done, leaders_each = None, None, 1
     while True:
         if labels is None:
             seen = open_rows.withColumn("comp", F.col("cid"))
@@ -252,9 +256,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             texts = cut(rows.join(ids, rows.doc_id.eqNullSafe(ids.doc_id) & (rows.row_hash == ids.row_hash))
                         .select("cid", "text").dropDuplicates(["cid"]), "texts")
             found = cut(_confirmed(pairs, texts, percent, k), "confirmed")
-            if labels is None or not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
-                labels = components(links)
+            if labels is None:
+                labels = components(found)
+            elif not found.isEmpty():
+                # The stars found so far stand for all earlier links.
+                labels = components(found.unionByName(labels.select(F.col("u").alias("a"), F.col("v").alias("b"))))
         open_rows = seen.select("key", "cid", "n_shingles").join(
             leaders.select("key", F.col("lead").alias("cid")), ["key", "cid"], "left_anti")
         leaders_each *= LEADER_GROWTH
