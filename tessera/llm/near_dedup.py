@@ -14,14 +14,14 @@ with ``m = 24, r = 3`` a pair at similarity 0.75 does so with probability
 
 *Plan.* Equal sets collapse to one class first, so thousands of exact copies
 cost one row. A collection value that only one class has cannot link anything
-and is dropped before pairs are formed. In each bucket (table, key) the
-members are compared with leaders, not with each other: a leader that has
+and is dropped before pairs are formed; of buckets (table, key) with the same
+members one is kept, so a pair of copies costs one bucket instead of one for
+each table. In each bucket the members are compared with leaders, not with each other: a leader that has
 been compared is removed, and a bucket is finished once its remaining members
 lie in one component. Rounds repeat with more leaders at a time until no
 bucket is open, so no link between components is lost, however large a
-bucket, and a bucket of true copies costs one comparison per member. From the
-second round on the join itself leaves out pairs that cannot be linked: the
-bits in which two odd sketches differ are at most the shingles that only one
+bucket, and a bucket of true copies costs one comparison per member. The join
+itself leaves out pairs that cannot be linked: the bits in which two odd sketches differ are at most the shingles that only one
 set has, so too many of them rule the pair out without ever losing a link.
 Candidates are confirmed on the full shingle sets of whole texts.
 
@@ -49,7 +49,7 @@ COLLECTIONS = 24
 COLLECTION_HASHES = 3
 MIN_PERCENT = 75
 # Leaders per open bucket grow by this factor from round to round.
-LEADER_GROWTH = 64
+LEADER_GROWTH = 512
 SKETCH_BITS = 1024
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -192,6 +192,14 @@ def _bucket_rows(classes: DataFrame, m: int) -> DataFrame:
     return kept.select("cid", "n_shingles", pairs.alias("key"))
 
 
+def _distinct_buckets(rows: DataFrame) -> DataFrame:
+    """The rows of one bucket for each set of members. Sets are told apart by
+    their size and two 64-bit sums of their members."""
+    sets = rows.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("cid").alias("x"),
+                                   F.bit_xor(F.xxhash64("cid")).alias("y"))
+    return rows.join(sets.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
     right = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("right")), "b")
     both = right.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("left")), "a")
@@ -211,37 +219,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = marked.filter("cid is not null").groupBy("cid").agg(
         F.min("n_shingles").alias("n_shingles"), F.min("vals").alias("vals"), F.min("sketch").alias("sketch"),
         F.min(F.struct("doc_id", "row_hash")).alias("rep"), F.min("doc_id").alias("least_id"))
-    open_rows = cut(_bucket_rows(classes, m), "buckets")
+    buckets = _distinct_buckets(cut(_bucket_rows(classes, m), "tables"))
+    open_rows = cut(buckets.join(classes.select("cid", "sketch"), "cid"), "buckets")
 
     reps = classes.select("cid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.row_hash").alias("row_hash"))
-    sketches = classes.select("cid", "sketch")
     size, lead_size = F.col("n_shingles"), F.col("lead_n")
-    near = 100 * F.least(size, lead_size) >= percent * F.greatest(size, lead_size)
+    differ = sum(F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("lead_sketch")[i])) for i in range(SKETCH_BITS // 64))
+    may_link = ((100 * F.least(size, lead_size) >= percent * F.greatest(size, lead_size))
+                & (F.col("comp") != F.col("lead_comp"))
+                & ((100 + percent) * differ <= (100 - percent) * (size + lead_size)))
     labels, done, leaders_each = None, None, 1
     while True:
         if labels is None:
             seen = open_rows.withColumn("comp", F.col("cid"))
         else:
-            seen = (open_rows.join(labels, F.col("cid") == F.col("u"), "left")
-                    .select("key", "cid", "n_shingles", F.coalesce("v", "cid").alias("comp")))
+            seen = open_rows.join(labels, F.col("cid") == F.col("u"), "left").withColumn("comp", F.coalesce("v", "cid")).drop("u", "v")
         live = (seen.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                 .filter("low <> high").select("key"))
-        seen = seen.join(live, "key")
-        if labels is not None:
-            seen = cut(seen.join(sketches, "cid"), "buckets")
-            if seen.isEmpty():
-                break
-        lead = F.struct("cid", "n_shingles", "comp", *(["sketch"] if labels is not None else []))
+        seen = cut(seen.join(live, "key"), "buckets")
+        if labels is not None and seen.isEmpty():
+            break
         leaders = (seen.groupBy("key", F.pmod(F.xxhash64("cid", "key"), F.lit(leaders_each)).alias("s"))
-                   .agg(F.min(lead).alias("lead"))
+                   .agg(F.min(F.struct("cid", "n_shingles", "comp", "sketch")).alias("lead"))
                    .select("key", *[F.col(f"lead.{x}").alias(y) for x, y in (
-                       ("cid", "lead"), ("n_shingles", "lead_n"), ("comp", "lead_comp"),
-                       *([("sketch", "lead_sketch")] if labels is not None else []))]))
-        may_link = near & (F.col("comp") != F.col("lead_comp"))
-        if labels is not None:
-            differ = sum(F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("lead_sketch")[i]))
-                         for i in range(SKETCH_BITS // 64))
-            may_link &= (100 + percent) * differ <= (100 - percent) * (size + lead_size)
+                       ("cid", "lead"), ("n_shingles", "lead_n"), ("comp", "lead_comp"), ("sketch", "lead_sketch"))]))
         met = seen.withColumnRenamed("key", "k").join(leaders, (F.col("k") == F.col("key")) & may_link)
         pairs = met.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct()
         if done is not None:
@@ -261,7 +262,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             elif not found.isEmpty():
                 # The stars found so far stand for all earlier links.
                 labels = components(found.unionByName(labels.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        open_rows = seen.select("key", "cid", "n_shingles").join(
+        open_rows = seen.drop("comp").join(
             leaders.select("key", F.col("lead").alias("cid")), ["key", "cid"], "left_anti")
         leaders_each *= LEADER_GROWTH
 
