@@ -36,18 +36,18 @@ def iou_per_class(preds: DataFrame, label_col: str = "label", pred_col: str = "p
                   smooth: float = SMOOTH, num_classes: int | None = None) -> DataFrame:
     """Hard IoU per class c: (|l=c & p=c| + s) / (|l=c | p=c| + s).
 
-    One scan and one aggregation: every prediction contributes to its label
-    class (label count, true positive) and to its predicted class
-    (prediction count); partial aggregation collapses that to <= classes
-    rows per task. Classes are those seen, or 0..num_classes-1 when given
+    Predictions are counted by (label, prediction) first, map-side; each of
+    those <= classes squared counts then contributes to its label class
+    (label count, true positives) and to its predicted class (prediction
+    count). A NULL label or prediction is no class. Classes are those seen, or 0..num_classes-1 when given
     (a class never seen scores s / s = 1, the smoothed convention)."""
-    lab = F.col(label_col).cast("bigint")
-    pre = F.col(pred_col).cast("bigint")
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    pairs = (preds.groupBy(F.col(label_col).cast("bigint").alias("lab"), F.col(pred_col).cast("bigint").alias("pre"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    lab, pre, n, zero = F.col("lab"), F.col("pre"), F.col("n"), F.lit(0).cast("bigint")
     contrib = F.array(
-        F.struct(lab.alias("cls"), one.alias("l"), zero.alias("p"), (lab == pre).cast("bigint").alias("tp")),
-        F.struct(pre.alias("cls"), zero.alias("l"), one.alias("p"), zero.alias("tp")))
-    per = (preds.select(F.inline(contrib)).filter(F.col("cls").isNotNull())
+        F.struct(lab.alias("cls"), n.alias("l"), zero.alias("p"), F.when(lab == pre, n).otherwise(zero).alias("tp")),
+        F.struct(pre.alias("cls"), zero.alias("l"), n.alias("p"), zero.alias("tp")))
+    per = (pairs.select(F.inline(contrib)).filter(F.col("cls").isNotNull())
            .groupBy("cls").agg(F.sum("l").alias("n_label"), F.sum("p").alias("n_pred"),
                                F.sum("tp").alias("tp")))
     if num_classes is not None:
