@@ -18,7 +18,10 @@ and is dropped before pairs are formed; of buckets (table, key) with the same
 members one is kept, so a pair of copies costs one bucket instead of one for
 each table. In each bucket the members are compared with leaders, not with each other: a leader that has
 been compared is removed, and a bucket is finished once its remaining members
-lie in one component. Rounds repeat with more leaders at a time until no
+lie in one component. Leaders come from outside the bucket's largest component,
+as its members need no comparison with each other: a large group with a few
+stragglers costs a row for each straggler and member, not for each pair of
+members. Rounds repeat with more leaders at a time until no
 bucket is open, so no link between components is lost, however large a
 bucket, and a bucket of true copies costs one comparison per member. The join
 itself leaves out pairs that cannot be linked: the bits in which two odd sketches differ are at most the shingles that only one
@@ -49,7 +52,7 @@ COLLECTIONS = 24
 COLLECTION_HASHES = 3
 MIN_PERCENT = 75
 # Leaders per open bucket grow by this factor from round to round.
-LEADER_GROWTH = 512
+LEADER_GROWTH = 16
 SKETCH_BITS = 1024
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -234,12 +237,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             seen = open_rows.withColumn("comp", F.col("cid"))
         else:
             seen = open_rows.join(labels, F.col("cid") == F.col("u"), "left").withColumn("comp", F.coalesce("v", "cid")).drop("u", "v")
-        live = (seen.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                .filter("low <> high").select("key"))
+        held = seen.groupBy("key", "comp").agg(F.count("*").alias("n"))
+        live = (held.groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"))
+                .filter("comps > 1").select("key", F.col("top.comp").alias("largest")))
         seen = cut(seen.join(live, "key"), "buckets")
         if labels is not None and seen.isEmpty():
             break
-        leaders = (seen.groupBy("key", F.pmod(F.xxhash64("cid", "key"), F.lit(leaders_each)).alias("s"))
+        leaders = (seen.filter("comp <> largest")
+                   .groupBy("key", F.pmod(F.xxhash64("cid", "key"), F.lit(leaders_each)).alias("s"))
                    .agg(F.min(F.struct("cid", "n_shingles", "comp", "sketch")).alias("lead"))
                    .select("key", *[F.col(f"lead.{x}").alias(y) for x, y in (
                        ("cid", "lead"), ("n_shingles", "lead_n"), ("comp", "lead_comp"), ("sketch", "lead_sketch"))]))
@@ -262,7 +267,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             elif not found.isEmpty():
                 # The stars found so far stand for all earlier links.
                 labels = components(found.unionByName(labels.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-        open_rows = seen.drop("comp").join(
+        open_rows = seen.drop("comp", "largest").join(
             leaders.select("key", F.col("lead").alias("cid")), ["key", "cid"], "left_anti")
         leaders_each *= LEADER_GROWTH
 
