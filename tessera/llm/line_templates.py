@@ -4,7 +4,8 @@ Lines are parsed as log messages are. A token with a digit is a variable field
 and becomes ``<*>``. The tree has fixed depth: the root branches on the number
 of tokens, the next ``DEPTH`` levels on the leading tokens. A template recurs if
 it occurs in at least ``MIN_TEXTS`` different texts (copies of one text count
-once). Templates come from two steps:
+once); in step 1 ``LONG_TEXTS`` are enough for one of over ``LONG_TOKENS``
+tokens. Templates come from two steps:
 
 1. the masked line itself;
 2. in a leaf whose remaining lines come from ``MIN_TEXTS`` texts or more, a
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import cut, let
 
 MIN_TEXTS = 5
-MIN_TOKENS = 3
+LONG_TOKENS, LONG_TEXTS = 50, 2
+MIN_TOKENS = 2
 DEPTH = 4
 MIN_CONSTANT = 7
 SPACES = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
@@ -46,12 +48,13 @@ def _key(id_col: str, text_col: str) -> Column:
 
 
 def _parsed(line: Column) -> Column:
-    """struct(line, tpl, leaf): the masked line with single blanks, and hashes
-    of it and of its place in the tree, NULL with too few tokens."""
+    """struct(line, n, tpl, leaf): the masked line with single blanks, its
+    tokens, and hashes of it and of its place in the tree, NULL with too few
+    tokens."""
     def hashed(x: Column) -> Column:
         n = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1
         enough = n >= MIN_TOKENS
-        return F.struct(x.alias("line"), F.when(enough, F.xxhash64(x)).alias("tpl"),
+        return F.struct(x.alias("line"), n.alias("n"), F.when(enough, F.xxhash64(x)).alias("tpl"),
                         F.when(enough, F.xxhash64(n, F.substring_index(x, " ", DEPTH))).alias("leaf"))
 
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
@@ -67,11 +70,13 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc_id", "key", "text_hash", "line_no", _parsed(F.col("line")).alias("p"))
 
 
-def _recurring(lines: DataFrame, by: str) -> DataFrame:
-    """``by`` values found in enough texts, with the smallest id."""
-    pairs = lines.groupBy(by, "text_hash").agg(F.min("doc_id").alias("first_id"))
-    return (pairs.groupBy(by).agg(F.count("*").alias("texts"), F.min("first_id").alias("first_id"))
-            .filter(F.col("texts") >= MIN_TEXTS).select(by, "first_id"))
+def _recurring(lines: DataFrame, by: str, long_texts: int = MIN_TEXTS) -> DataFrame:
+    """``by`` values found in enough texts, with the smallest id. Lines of over
+    ``LONG_TOKENS`` tokens need ``long_texts``."""
+    pairs = lines.groupBy(by, "text_hash").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
+    enough = F.when(F.col("n") > LONG_TOKENS, long_texts).otherwise(MIN_TEXTS)
+    return (pairs.groupBy(by).agg(F.count("*").alias("texts"), F.min("first_id").alias("first_id"), F.max("n").alias("n"))
+            .filter(F.col("texts") >= enough).select(by, "first_id"))
 
 
 def _to_drop(lines: DataFrame, recurring: DataFrame, by: str) -> DataFrame:
@@ -82,24 +87,24 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(key, dropped): the numbers of the lines to drop, by document key."""
     # Parsed once; readers of the table take the fields they need.
     full = cut(_lines(docs, id_col, text_col), "lines")
-    lines = full.select("doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf").filter("tpl is not null")
-    known = cut(_recurring(lines, "tpl"), "templates")
+    lines = full.select("doc_id", "key", "text_hash", "line_no", "p.n", "p.tpl", "p.leaf").filter("tpl is not null")
+    known = cut(_recurring(lines, "tpl", LONG_TEXTS), "templates")
     drops = _to_drop(lines, known, "tpl")
 
     rest = lines.join(known, "tpl", "left_anti")
     leaves = cut(_recurring(rest, "leaf").select("leaf"), "leaves")
     if not leaves.isEmpty():
-        open_lines = full.select("doc_id", "key", "text_hash", "line_no", "p.tpl", "p.leaf", "p.line").join(leaves, "leaf", "left_semi")
+        open_lines = full.select("doc_id", "key", "text_hash", "line_no", "p.n", "p.tpl", "p.leaf", "p.line").join(leaves, "leaf", "left_semi")
         open_lines = open_lines.withColumn("tokens", F.split("line", " ")).drop("line")
         open_lines = cut(open_lines.join(known, "tpl", "left_anti"), "leaf-lines")
-        sizes = open_lines.groupBy("leaf").agg(F.count("*").alias("n"))
+        sizes = open_lines.groupBy("leaf").agg(F.count("*").alias("rows"))
         tokens = open_lines.select("leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token"))
         constants = (tokens.groupBy("leaf", "size", "pos", "token").agg(F.count("*").alias("c")).join(sizes, "leaf")
-                     .filter(2 * F.col("c") > F.col("n")).groupBy("leaf", "size")
+                     .filter(2 * F.col("c") > F.col("rows")).groupBy("leaf", "size")
                      .agg(F.collect_list(F.struct("pos", "token")).alias("constants"))
                      .filter(10 * F.size("constants") >= MIN_CONSTANT * F.col("size")).select("leaf", "constants"))
         agree = let(F.col("tokens"), lambda t: F.forall("constants", lambda c: F.get(t, c["pos"]) == c["token"]))
-        members = open_lines.join(constants, "leaf").filter(agree).select("doc_id", "key", "text_hash", "line_no", "leaf")
+        members = open_lines.join(constants, "leaf").filter(agree).select("doc_id", "key", "text_hash", "line_no", "n", "leaf")
         members = cut(members, "members")
         drops = drops.unionByName(_to_drop(members, _recurring(members, "leaf"), "leaf"))
     return drops.groupBy("key").agg(F.collect_set("line_no").alias("dropped"))

@@ -200,6 +200,16 @@ def test_line_templates(docs):
     assert line_templates.drop_recurring_templates(docs([])).count() == 0
 
 
+def test_long_and_two_token_lines_recur(docs):
+    rng = random.Random(11)
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(n))
+    passage = letters(60)
+    rows = [(i, f"{letters(9)}\n{passage}") for i in (1, 2)] + [(i, f"{letters(9)}\nread more") for i in range(10, 15)]
+    out = {r["doc_id"]: r for r in line_templates.drop_recurring_templates(docs(rows), counts=True).collect()}
+    assert (out[1]["n_dropped"], out[2]["n_dropped"]) == (0, 1) and passage not in out[2]["text"]
+    assert [out[i]["n_dropped"] for i in range(10, 15)] == [0, 1, 1, 1, 1]
+
+
 def test_secret_crf(docs):
     rng = random.Random(6)
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(30))
