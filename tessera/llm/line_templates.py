@@ -8,10 +8,13 @@ once); in step 1 ``LONG_TEXTS`` are enough for one of over ``LONG_TOKENS``
 tokens. Templates come from two steps:
 
 1. the masked line itself;
-2. in a leaf whose remaining lines come from ``MIN_TEXTS`` texts or more, a
-   position keeps a token that more than half of these lines have there and
-   becomes ``<*>`` otherwise. If at least ``MIN_CONSTANT`` of 10 positions keep
-   a token, the lines that agree with all of them form one template.
+2. in a leaf whose remaining lines come from ``MIN_TEXTS`` texts or more, each
+   token is counted at its position. A line has a template for each count c
+   among its tokens: tokens counted less than c become ``<*>``, and at least
+   ``MIN_CONSTANT`` of 10 positions must keep one. So a leaf holds any number of
+   templates, and lines that share few tokens with them do not hide them. The
+   lines of recurring templates leave and the step is repeated on the others of
+   their leaves until none is found.
 
 A recurring template is dropped from every document but the one with the
 smallest id, so nothing is lost from the whole. Lines of fewer than
@@ -38,6 +41,7 @@ LONG_TOKENS, LONG_TEXTS = 50, 2
 MIN_TOKENS = 2
 DEPTH = 4
 MIN_CONSTANT = 7
+LINE = ("doc_id", "key", "text_hash", "line_no", "n", "leaf")
 SPACES = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
 UNEVEN = r"[\x09\x0A\x0B\x0C\x0D]|\x20\x20|^\x20|\x20$"
 FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
@@ -83,6 +87,29 @@ def _to_drop(lines: DataFrame, recurring: DataFrame, by: str) -> DataFrame:
     return (lines.join(recurring, by).filter(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "line_no"))
 
 
+def _general(lines: DataFrame) -> DataFrame:
+    """The lines of the general templates of ``lines``: key, line_no, leaf, gone
+    (the template is in a document of smaller id)."""
+    tokens = lines.select(*LINE, F.posexplode(F.split("line", " ")).alias("pos", "token")).filter("token <> '<*>'")
+    tokens = tokens.select(*LINE, "pos", F.xxhash64("token").alias("token"))
+    counts = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c")).filter(F.col("c") >= MIN_TEXTS)
+    placed = F.sort_array(F.collect_list(F.struct("pos", "token", "c")))
+    common = tokens.join(counts, ["leaf", "pos", "token"]).groupBy(*LINE).agg(placed.alias("at"))
+
+    def templates(at: Column) -> Column:
+        def template(least: Column) -> Column:
+            kept = F.filter(at, lambda x: x["c"] >= least)
+            constant = 10 * F.size(kept) >= MIN_CONSTANT * F.col("n")
+            return F.when(constant, F.xxhash64("leaf", F.transform(kept, lambda x: F.struct(x["pos"], x["token"]))))
+
+        return F.filter(F.transform(F.array_distinct(F.transform(at, lambda x: x["c"])), template), lambda h: h.isNotNull())
+
+    common = common.filter(10 * F.size("at") >= MIN_CONSTANT * F.col("n"))
+    found = cut(common.select(*LINE, F.explode(let(F.col("at"), templates)).alias("general")), "general")
+    return (found.join(_recurring(found, "general"), "general").groupBy("key", "line_no", "leaf")
+            .agg(F.max(~F.col("doc_id").eqNullSafe(F.col("first_id"))).alias("gone")))
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, dropped): the numbers of the lines to drop, by document key."""
     # Parsed once; readers of the table take the fields they need.
@@ -95,18 +122,15 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     leaves = cut(_recurring(rest, "leaf").select("leaf"), "leaves")
     if not leaves.isEmpty():
         open_lines = full.select("doc_id", "key", "text_hash", "line_no", "p.n", "p.tpl", "p.leaf", "p.line").join(leaves, "leaf", "left_semi")
-        open_lines = open_lines.withColumn("tokens", F.split("line", " ")).drop("line")
-        open_lines = cut(open_lines.join(known, "tpl", "left_anti"), "leaf-lines")
-        sizes = open_lines.groupBy("leaf").agg(F.count("*").alias("rows"))
-        tokens = open_lines.select("leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token"))
-        constants = (tokens.groupBy("leaf", "size", "pos", "token").agg(F.count("*").alias("c")).join(sizes, "leaf")
-                     .filter(2 * F.col("c") > F.col("rows")).groupBy("leaf", "size")
-                     .agg(F.collect_list(F.struct("pos", "token")).alias("constants"))
-                     .filter(10 * F.size("constants") >= MIN_CONSTANT * F.col("size")).select("leaf", "constants"))
-        agree = let(F.col("tokens"), lambda t: F.forall("constants", lambda c: F.get(t, c["pos"]) == c["token"]))
-        members = open_lines.join(constants, "leaf").filter(agree).select("doc_id", "key", "text_hash", "line_no", "n", "leaf")
-        members = cut(members, "members")
-        drops = drops.unionByName(_to_drop(members, _recurring(members, "leaf"), "leaf"))
+        open_lines = cut(open_lines.join(known, "tpl", "left_anti").dropDuplicates(["key", "line_no"]).select(*LINE, "line"), "leaf-lines")
+        while True:
+            members = cut(_general(open_lines), "members")
+            if members.isEmpty():
+                break
+            drops = drops.unionByName(members.filter("gone").select("key", "line_no"))
+            # Counts change only in the leaves that lost lines.
+            open_lines = open_lines.join(members.select("leaf").distinct(), "leaf", "left_semi").join(members, ["key", "line_no"], "left_anti")
+            open_lines = cut(open_lines, "leaf-lines")
     return drops.groupBy("key").agg(F.collect_set("line_no").alias("dropped"))
 
 

@@ -210,6 +210,17 @@ def test_long_and_two_token_lines_recur(docs):
     assert [out[i]["n_dropped"] for i in range(10, 15)] == [0, 1, 1, 1, 1]
 
 
+def test_templates_that_share_a_leaf(docs):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    lines = [f"the job has been named {word()} and ended with no fault" for _ in range(12)]
+    lines += [f"the job has been moved by {word()} to second queue" for _ in range(12)]
+    lines += [f"the job has been {' '.join(word() for _ in range(7))}" for _ in range(40)]
+    rows = [(i, f"{word()} {word()} {word()}\n{line}") for i, line in enumerate(lines)]
+    out = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring_templates(docs(rows), counts=True).collect()}
+    assert {i for i, n in out.items() if n} == {*range(1, 12), *range(13, 24)}
+
+
 def test_secret_crf(docs):
     rng = random.Random(6)
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(30))
