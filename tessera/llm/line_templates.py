@@ -7,7 +7,8 @@ it occurs in at least ``MIN_TEXTS`` different texts (copies of one text count
 once); in step 1 ``LONG_TEXTS`` are enough for one of over ``LONG_TOKENS``
 tokens. Templates come from two steps:
 
-1. the masked line itself;
+1. the masked line itself, if more than half of its tokens are constant; else
+   the whole line, so rows of numbers recur only as they stand;
 2. in a leaf whose remaining lines come from ``MIN_TEXTS`` texts or more, each
    token is counted at its position. A line has a template for each count c
    among its tokens: tokens counted less than c become ``<*>``, and at least
@@ -17,7 +18,8 @@ tokens. Templates come from two steps:
    their leaves until none is found.
 
 A recurring template is dropped from every document but the one with the
-smallest id, so nothing is lost from the whole. Lines of fewer than
+smallest id. Its constant tokens stay there; the field values of the dropped
+lines are lost from the whole. Lines of fewer than
 ``MIN_TOKENS`` tokens are left alone.
 
 Counting works on hashes: (template, text) pairs first, then templates, so a
@@ -44,6 +46,7 @@ MIN_CONSTANT = 7
 LINE = ("doc_id", "key", "text_hash", "line_no", "n", "leaf")
 SPACES = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
 UNEVEN = r"[\x09\x0A\x0B\x0C\x0D]|\x20\x20|^\x20|\x20$"
+MASKED = r"(?<![^\x20])<\*>(?![^\x20])"
 FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
@@ -55,14 +58,17 @@ def _parsed(line: Column) -> Column:
     """struct(line, n, tpl, leaf): the masked line with single blanks, its
     tokens, and hashes of it and of its place in the tree, NULL with too few
     tokens."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
+    single = lambda x: F.when(x.rlike(UNEVEN), F.btrim(F.regexp_replace(x, SPACES, " "))).otherwise(x)
+
     def hashed(x: Column) -> Column:
         n = F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1
         enough = n >= MIN_TOKENS
-        return F.struct(x.alias("line"), n.alias("n"), F.when(enough, F.xxhash64(x)).alias("tpl"),
+        fields = F.when(x.contains("<*>"), F.regexp_count(x, F.lit(MASKED))).otherwise(0)
+        whole = F.when(2 * fields < n, F.xxhash64(x)).otherwise(F.xxhash64(single(line)))
+        return F.struct(x.alias("line"), n.alias("n"), F.when(enough, whole).alias("tpl"),
                         F.when(enough, F.xxhash64(n, F.substring_index(x, " ", DEPTH))).alias("leaf"))
 
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
-    single = lambda x: F.when(x.rlike(UNEVEN), F.btrim(F.regexp_replace(x, SPACES, " "))).otherwise(x)
     return let(let(masked, single), hashed)
 
 

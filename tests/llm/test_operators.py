@@ -221,6 +221,13 @@ def test_templates_that_share_a_leaf(docs):
     assert {i for i, n in out.items() if n} == {*range(1, 12), *range(13, 24)}
 
 
+def test_rows_of_numbers_recur_only_as_they_stand(docs):
+    rows = [(i, f"{'abcdefghij'[i] * 5} opens\n1.{i} {20 + i} {3 * i}\n7 8 9\ntotal {i}") for i in range(8)]
+    out = {r["doc_id"]: r for r in line_templates.drop_recurring_templates(docs(rows), counts=True).collect()}
+    assert out[0]["text"] == rows[0][1]
+    assert all(out[i]["text"] == rows[i][1].replace("\n7 8 9", "") for i in range(1, 8))
+
+
 def test_secret_crf(docs):
     rng = random.Random(6)
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(30))
