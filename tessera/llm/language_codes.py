@@ -4,8 +4,9 @@ Every language has a codeword of bits. For each bit a binary classifier over
 hashed character n-grams (orders 1 to 3, lower case, other characters as
 blanks) tells the languages whose bit is 1 from the others: its weights are log
 ratios of the mean n-gram frequencies of the two sides. The n-gram counts come
-from all training rows in one distributed sum; only the table of languages x
-buckets reaches the driver.
+from all training rows in one distributed sum, and so do the frequencies of the
+sides; the driver gets a total per language and the table of buckets x bits.
+Frequencies are summed as integers, so the order of the sum does not matter.
 
 A text's margin for a bit is its mean weight times the square root of its
 n-grams. Decoding adds, per language, the logistic losses of all bits against
@@ -14,9 +15,10 @@ and picks the least loss. The score is the softmax of the negative losses. A
 text whose two best losses are closer than ``AMBIGUOUS`` is flagged.
 
 Up to ``EXHAUSTIVE`` languages use the exhaustive code (all splits), more a
-dense code of ``DENSE_BITS`` bits, the best of ``DRAWS`` seeded draws by least
-Hamming distance. At most ``MAX_LANGUAGES`` languages are learned, those with
-most n-grams.
+dense code of ``DENSE_BITS`` bits or ``BITS_PER_DOUBLING`` for each doubling of
+their number, the best of ``DRAWS`` seeded draws by least Hamming distance (one
+draw where comparing all pairs would cost more than the draws of 64 languages).
+Every language with an n-gram is learned.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0; a
 NULL id is not held out; rows with a NULL lang are predicted but teach nothing;
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,12 +39,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import doc_hash
+from tessera.llm.common import cut, doc_hash
 
 BUCKETS = 1 << 14
-MAX_LANGUAGES = 64
 EXHAUSTIVE = 5
-DENSE_BITS, DRAWS = 31, 200
+DENSE_BITS, BITS_PER_DOUBLING, DRAWS = 31, 5, 200
+PAIRS = DRAWS * 64 * 64
+TABLES, CELLS = 64, 1 << 21
 SMOOTHING = 0.5
 AMBIGUOUS = 0.05
 CHUNK_CHARS = 400_000
@@ -94,11 +98,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bucket, owner, _ = grams(part)
             names = langs[start : start + len(part)]
             distinct = sorted(set(names))
-            code = np.array([distinct.index(x) for x in names])
-            n = np.bincount(code[owner] * BUCKETS + bucket, minlength=len(distinct) * BUCKETS).reshape(-1, BUCKETS)
+            place = {name: k for k, name in enumerate(distinct)}
+            code = np.array([place[x] for x in names])
+            at = code[owner] * BUCKETS + bucket
+            if len(distinct) > TABLES:
+                # Too many for dense tables: the counts go out as they are.
+                cell, n = np.unique(at, return_counts=True)
+                yield pa.record_batch([pa.array(distinct).take(pa.array(cell // BUCKETS)), pa.array((cell % BUCKETS).astype(np.int32)),
+                                       pa.array(n.astype(np.int64))], names=["lang", "bucket", "n"])
+                continue
+            n = np.bincount(at, minlength=len(distinct) * BUCKETS).reshape(-1, BUCKETS)
             for name, row in zip(distinct, n):
                 tables[name] = tables[name] + row if name in tables else row
-            if len(tables) > MAX_LANGUAGES:
+            if len(tables) > TABLES:
                 yield from _rows(tables)
                 tables = {}
     yield from _rows(tables)
@@ -117,11 +129,14 @@ def codewords(n: int) -> np.ndarray:
         splits = [s for s in itertools.product((-1, 1), repeat=n) if s[0] == 1 and -1 in s]
         return np.array(splits, float).T.reshape(n, -1)
     rng = np.random.default_rng(5)
+    bits = max(DENSE_BITS, math.ceil(BITS_PER_DOUBLING * math.log2(n)))
     best, least = None, -1
-    for _ in range(DRAWS):
-        code = rng.choice([-1.0, 1.0], size=(n, DENSE_BITS))
+    for _ in range(max(1, min(DRAWS, PAIRS // n**2))):
+        code = rng.choice([-1.0, 1.0], size=(n, bits))
         code = code[:, np.abs(code.sum(axis=0)) < n]
-        differ = (code.shape[1] - code @ code.T) / 2 + np.eye(n) * DENSE_BITS
+        if PAIRS // n**2 <= 1:
+            return code
+        differ = (code.shape[1] - code @ code.T) / 2 + np.eye(n) * bits
         if differ.min() > least:
             best, least = code, differ.min()
     return best
@@ -143,15 +158,18 @@ class Model:
             margins = np.stack([np.bincount(owner, self.weights[bucket, b], len(part)) for b in range(self.weights.shape[1])], axis=1) \
                 if self.weights.shape[1] else np.zeros((len(part), 0))
             margins = margins / np.sqrt(np.maximum(n, 1))[:, None]
-            loss = np.stack([np.logaddexp(0, -margins * row) @ self.trust for row in self.code], axis=1) \
-                if self.langs else np.zeros((len(part), 1))
-            ranked = np.sort(loss, axis=1)
-            known = (letters > 0) & bool(self.langs)
-            share = np.exp(ranked[:, :1] - loss).sum(axis=1)
-            names += [self.langs[k] if ok else UNDETERMINED for k, ok in zip(loss.argmin(axis=1), known)]
-            scores.append(np.where(known, 1 / share, 0.0))
-            gap = ranked[:, 1] - ranked[:, 0] if ranked.shape[1] > 1 else np.full(len(part), np.inf)
-            flags.append(known & (gap < AMBIGUOUS))
+            step = max(1, CELLS // max(1, len(self.langs)))
+            for lo in range(0, len(part), step):
+                some = margins[lo : lo + step]
+                loss = np.stack([np.logaddexp(0, -some * row) @ self.trust for row in self.code], axis=1) \
+                    if self.langs else np.zeros((len(some), 1))
+                ranked = np.partition(loss, 1, axis=1)[:, :2] if loss.shape[1] > 1 else loss
+                known = (letters[lo : lo + step] > 0) & bool(self.langs)
+                share = np.exp(ranked[:, :1] - loss).sum(axis=1)
+                names += [self.langs[k] if ok else UNDETERMINED for k, ok in zip(loss.argmin(axis=1), known)]
+                scores.append(np.where(known, 1 / share, 0.0))
+                gap = ranked[:, 1] - ranked[:, 0] if ranked.shape[1] > 1 else np.full(len(some), np.inf)
+                flags.append(known & (gap < AMBIGUOUS))
         return names, np.concatenate(scores) if scores else np.zeros(0), np.concatenate(flags) if flags else np.zeros(0, bool)
 
 
@@ -164,19 +182,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     counts = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    langs = sorted(r["lang"] for r in totals.collect())
-    table = np.zeros((len(langs), BUCKETS))
-    for r in counts.filter(F.col("lang").isin(langs)).collect() if langs else []:
-        table[langs.index(r["lang"]), r["bucket"]] = r["n"]
-    share = (table + SMOOTHING) / (table.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
+    counts = cut(counts, "language-counts")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(totals)
     code = codewords(len(langs)) if langs else np.zeros((0, 0))
     weights, trust = np.zeros((BUCKETS, code.shape[1])), np.zeros(code.shape[1])
+    if not code.size:
+        return Model(langs, code, weights, trust)
+    sizes = np.array([totals[x] for x in langs]) + SMOOTHING * BUCKETS
+    # Shares as integers: the sum over all languages stays below 2 ** 62.
+    unit = 2.0 ** (61 - math.ceil(math.log2(len(langs))))
+    table = [(x, float(n), [bool(c > 0) for c in row]) for x, n, row in zip(langs, sizes, code)]
+    sides = counts.join(F.broadcast(docs.sparkSession.createDataFrame(table, "lang string, size double, bits array<boolean>")), "lang")
+    share = F.floor(F.col("n") / F.col("size") * unit).cast("long")
+    per_bit = [F.sum(F.when(F.get("bits", F.lit(b)), share).otherwise(0)).alias(f"b{b}") for b in range(code.shape[1])]
+    held = np.zeros((BUCKETS, code.shape[1] + 1), np.int64)
+    for r in sides.groupBy("bucket").agg(F.sum(share).alias("every"), *per_bit).collect():
+        held[r["bucket"]] = r[1:]
     for b in range(code.shape[1]):
-        one, zero = share[code[:, b] > 0].mean(axis=0), share[code[:, b] < 0].mean(axis=0)
+        up = code[:, b] > 0
+        one = (held[:, b + 1] / unit + (SMOOTHING / sizes[up]).sum()) / up.sum()
+        zero = ((held[:, 0] - held[:, b + 1]) / unit + (SMOOTHING / sizes[~up]).sum()) / (~up).sum()
         weights[:, b] = np.log(one / zero)
         trust[b] = ((one - zero) * weights[:, b]).sum()
-    return Model(langs, code, weights, trust / max(trust.mean(), 1e-9) if len(trust) else trust)
+    return Model(langs, code, weights, trust / max(trust.mean(), 1e-9))
 
 
 def predictions(text: Column, model: Model) -> Column:

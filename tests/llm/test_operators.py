@@ -92,6 +92,16 @@ def test_language_codes(docs):
     assert language_codes.codewords(20).shape[0] == 20
 
 
+def test_every_language_is_learned(docs):
+    rng = random.Random(13)
+    letter = lambda k: chr(0x4E00 + 97 * k + rng.randrange(6))
+    rows = [(i, " ".join(letter(i % 90) + letter(i % 90) for _ in range(30)), f"l{i % 90:02}") for i in range(900)]
+    found = {r["doc_id"]: r["lang_pred"] for r in language_codes.identify(docs(rows)).collect()}
+    assert sum(found[i] == k for i, _, k in rows) >= 890 and len(set(found.values())) == 90
+    code = language_codes.codewords(2000)
+    assert len({tuple(r) for r in code}) == 2000 and code.shape[1] > 31
+
+
 def test_hash_tree(docs):
     rows = [(i, f"text {i}") for i in range(3000)] + [(7, "text 7")] * 5 + EDGE_ROWS
     out = hash_tree.assign_shards(docs(rows)).collect()
