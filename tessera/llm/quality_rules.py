@@ -10,11 +10,11 @@ document far from its reference in either histogram fails, if it has at least
 
 References are counts over the whole table: class totals, and words whose
 share of a language is at least ``MIN_SHARE`` (so at most ``1 / MIN_SHARE`` a
-language) of which the first ``COMMON_WORDS`` are used. The ``MAX_LANGUAGES``
-languages with most words have references of their own and go into the plan as
-literals; other languages, and a NULL one, use the reference of all documents.
-Scoring is a narrow pass without a shuffle; long texts are worked on as arrays
-in one row, in time proportional to their length (sorting aside).
+language) of which the first ``COMMON_WORDS`` are used. They are a table with a
+row per language, joined on it, and a row for all documents together: a NULL
+language uses that, and so does one that the references do not hold. Scoring is
+a narrow pass besides that join; long texts are worked on as arrays in one row,
+in time proportional to their length (sorting aside).
 
 Defined cases: NULL and empty texts have no words, fail the base rules and have
 NULL divergences; repeated rows give a row each; extra columns are ignored.
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, let, sliding
+from tessera.llm.common import WORD, cut, let, sliding
 
 # The contract's symbols, window and limits.
 SPACE = r"[\x20\x09\x0A\x0B\x0C\x0D]"
@@ -37,10 +37,8 @@ MAX_REPEAT_PERCENT = 30
 MIN_WORDS = 50
 COMMON_WORDS = 16
 MIN_SHARE = 0.002
-MAX_LANGUAGES = 64
 MAX_CLASS_DIVERGENCE = 0.08
 MAX_WORD_DIVERGENCE = 0.15
-ALL = "*"
 
 
 def _number(c: Column) -> Column:
@@ -85,34 +83,38 @@ def _classes() -> Column:
     return F.array(*[F.col(c).cast("double") for c in CLASSES], other.cast("double"))
 
 
-def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, dict]:
-    """language -> class shares, common words and their shares; ``ALL`` for all."""
+def _reference(classes: Column, n_chars: Column, top: Column, n_words: Column) -> Column:
+    """struct(classes, words, shares) of counts; what is left over comes last."""
+    def rest(parts: Column) -> Column:
+        return F.concat(parts, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(parts, F.lit(0.0), lambda s, x: s + x))))
+
+    others = F.aggregate(top, F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    return F.struct(let(F.transform(classes, lambda x: x / n_chars), rest).alias("classes"), top["word"].alias("words"),
+                    F.concat(F.transform(top, lambda x: x["n"] / n_words), F.array(F.greatest(F.lit(0.0), 1 - others / n_words))).alias("shares"))
+
+
+def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, ref): class shares, common words and their shares of every
+    language; lang is NULL for all documents."""
     rows = _measured(docs, id_col, text_col, lang_col)
-    totals = {r["lang"]: r for r in rows.groupBy("lang").agg(
-        *[F.sum(c).alias(c) for c in (*CLASSES, "n_chars")],
-        F.sum(F.regexp_count("text", F.lit(WORD))).alias("words")).orderBy(F.desc("words"), "lang").limit(MAX_LANGUAGES).collect()}
-    all_row = rows.agg(*[F.sum(c).alias(c) for c in (*CLASSES, "n_chars")], F.sum(F.regexp_count("text", F.lit(WORD))).alias("words")).first()
+    names = (*CLASSES, "n_chars", "n_words")
+    totals = cut(rows.withColumn("n_words", F.regexp_count("text", F.lit(WORD))).groupBy("lang").agg(
+        *[F.sum(c).alias(c) for c in names]), "language-totals")
     words = rows.select("lang", F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word"))
-    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    own = F.lit(None).cast("long")
-    for lang, r in totals.items():
-        own = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.lit(r["words"])).otherwise(own)
-    every = all_row["words"] or 0
-    common = counts.filter((F.col("n") >= MIN_SHARE * own) | (F.col("n") >= MIN_SHARE * every / (len(totals) + 1))).collect()
-    found: dict[str, dict] = {}
-    pooled: dict[str, int] = {}
-    for r in common:
-        pooled[r["word"]] = pooled.get(r["word"], 0) + r["n"]
-    for lang, r in [(ALL, all_row), *[(k, v) for k, v in totals.items() if k is not None]]:
-        n_words, n_chars = r["words"] or 0, r["n_chars"] or 0
-        if not n_words or not n_chars:
-            continue
-        mine = pooled if lang == ALL else {x["word"]: x["n"] for x in common if x["lang"] == lang}
-        top = sorted(mine.items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]
-        shares = [r[c] / n_chars for c in CLASSES]
-        found[lang] = {"classes": [*shares, max(0.0, 1 - sum(shares))], "words": [w for w, _ in top],
-                       "shares": [*[n / n_words for _, n in top], max(0.0, 1 - sum(n for _, n in top) / n_words)]}
-    return found
+    counts = cut(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "language-words")
+
+    def top(c: DataFrame, by: list[str]) -> DataFrame:
+        ranked = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "word", "n")))
+        return c.filter(F.col("n") >= MIN_SHARE * F.col("n_words")).groupBy(*by).agg(F.slice(ranked, 1, COMMON_WORDS).alias("top"))
+
+    known = totals.filter("lang is not null and n_words > 0 and n_chars > 0")
+    own = top(counts.join(known.select("lang", "n_words"), "lang"), ["lang"])
+    every = totals.agg(*[F.sum(c).alias(c) for c in names]).filter("n_words > 0 and n_chars > 0")
+    every_top = top(counts.groupBy("word").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(every.select("n_words"))), [])
+    none = F.array().cast("array<struct<less:long,word:string,n:long>>")
+    ref = _reference(F.array(*CLASSES), F.col("n_chars"), F.coalesce("top", none), F.col("n_words")).alias("ref")
+    found = known.join(own, "lang", "left").select("lang", ref)
+    return cut(found.unionByName(every.crossJoin(every_top).select(F.lit(None).cast("string").alias("lang"), ref)), "references")
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -122,22 +124,15 @@ def divergence(p: Column, q: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2
 
 
-def _literal(found: dict[str, dict]) -> Column:
-    entries = []
-    for lang, r in found.items():
-        entries += [F.lit(lang), F.struct(F.array(*map(F.lit, r["classes"])).alias("classes"),
-                                          F.array(*map(F.lit, r["words"])).cast("array<string>").alias("words"),
-                                          F.array(*map(F.lit, r["shares"])).alias("shares"))]
-    return F.create_map(*entries)
-
-
-def rate(docs: DataFrame, found: dict[str, dict] | None = None, id_col: str = "doc_id", text_col: str = "text",
+def rate(docs: DataFrame, found: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
          lang_col: str = "lang") -> DataFrame:
     """One row per document: the base counts, class_divergence,
     word_divergence, base_failed, kept. ``found``: references, else learned
     from ``docs``."""
     found = references(docs, id_col, text_col, lang_col) if found is None else found
-    rows = _measured(docs, id_col, text_col, lang_col)
+    every = found.filter("lang is null").select(F.col("ref").alias("every"))
+    rows = _measured(docs, id_col, text_col, lang_col).join(found.filter("lang is not null"), "lang", "left")
+    rows = rows.join(F.broadcast(every), F.lit(True), "left")
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
 
@@ -150,21 +145,15 @@ def rate(docs: DataFrame, found: dict[str, dict] | None = None, id_col: str = "d
         return let(places, shares)
 
     def compared(w: Column) -> Column:
-        ref = F.coalesce(F.try_element_at(_literal(found), F.col("lang")), F.element_at(_literal(found), F.lit(ALL)))
         enough = F.size(w) >= MIN_WORDS
         own = F.transform(_classes(), lambda x: x / F.col("n_chars"))
-        return let(ref, lambda r: F.struct(
+        return let(F.coalesce("ref", "every"), lambda r: F.struct(
             F.size(w).cast("long").alias("n_words"), repeat_words(w).cast("long").alias("n_repeat_words"),
-            F.when(enough, divergence(own, r["classes"])).alias("class_divergence"),
+            F.when(enough & r.isNotNull(), divergence(own, r["classes"])).alias("class_divergence"),
             F.when(enough & (F.size(r["words"]) > 0), divergence(word_shares(w, r), r["shares"])).alias("word_divergence")))
 
-    if not found:
-        measured = F.struct(F.size(words).cast("long").alias("n_words"), repeat_words(words).cast("long").alias("n_repeat_words"),
-                            F.lit(None).cast("double").alias("class_divergence"), F.lit(None).cast("double").alias("word_divergence"))
-    else:
-        measured = let(words, compared)
     out = rows.select("doc_id", _number(F.col("n_chars") - F.col("spaces")).alias("word_chars"), _number(F.col("symbols")).alias("n_symbols"),
-                      let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), measured.alias("m"))
+                      let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), let(words, compared).alias("m"))
     out = out.select("doc_id", "m.n_words", "word_chars", "n_symbols", "n_dup_lines", "m.n_repeat_words", "m.class_divergence", "m.word_divergence")
     failed = (F.col("n_words") < BASE_MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     near = ((F.coalesce("class_divergence", F.lit(0.0)) <= MAX_CLASS_DIVERGENCE)

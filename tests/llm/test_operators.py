@@ -183,6 +183,19 @@ def test_quality_rules(docs):
     assert quality_rules.rate(docs([])).count() == 0
 
 
+def test_every_language_has_a_reference(docs):
+    rng = random.Random(14)
+    text = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(n))
+    rows = [(i, text("abcdefghijklm", 120), f"l{i:02}") for i in range(70)] + [(100, text("אבגדהוזחט", 60), "he"), (101, text("abcdefghijklm", 60), None)]
+    got = {r["doc_id"]: r for r in quality_rules.rate(docs(rows)).collect()}
+    assert got[100]["kept"] and got[100]["class_divergence"] < 1e-9
+    # 'aa' is common in one language and rare in the other; both count for all documents.
+    rows = [(1, "aa " * 500 + text("bcdefgh", 500), "x"), (2, "aa " + text("bcdefgh", 2999), "y"), (3, "aa " * 100 + text("bcdefgh", 900), None)]
+    found = {r["lang"]: r["ref"] for r in quality_rules.references(docs(rows)).collect()}
+    assert set(found) == {"x", "y", None} and found[None]["words"] == ["aa"]
+    assert found[None]["shares"][0] == 601 / 5000
+
+
 def test_pairwise_quality(spark, docs):
     rng = random.Random(4)
     rows = [(i, " ".join(words(rng, 50)) if i % 2 else "### $$$ | " * 20) for i in range(200)]
