@@ -69,10 +69,14 @@ def missing_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band
             .select(key, F.array_sort(F.array_except(exp, F.col("_found"))).alias("missing_bands")))
 
 
-def missing_from_arrays(bands: Sequence[str] = DEFAULT_BANDS) -> Column:
-    """Names of the bands whose pivoted array is NULL (the missing-band audit
-    read off a pivot that already ran, no extra pass)."""
-    return F.array_compact(F.array(*[F.when(F.col(PIXEL_FIELD.get(b, b)).isNull(), F.lit(b))
+def missing_from_arrays(bands: Sequence[str] = DEFAULT_BANDS, size: int | None = None) -> Column:
+    """Names of the bands whose pivoted array is NULL or, with ``size``, of
+    another length (the missing-band audit read off a pivot that already ran,
+    no extra pass)."""
+    def absent(c: Column) -> Column:
+        return c.isNull() if size is None else c.isNull() | (F.size(c) != size)
+
+    return F.array_compact(F.array(*[F.when(absent(F.col(PIXEL_FIELD.get(b, b))), F.lit(b))
                                      for b in bands]))
 
 

@@ -82,7 +82,7 @@ def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: i
     tl = tiles.join(wanted.select("patch_id"), "patch_id", "left_semi")
     # one pivot (one shuffle of the tiles); everything else is narrow
     patches = (TL.pivot_bands(tl).join(wanted, "patch_id", "right")
-               .withColumn("missing_bands", TL.missing_from_arrays()))
+               .withColumn("missing_bands", TL.missing_from_arrays(size=height * width)))
     stack = TL.stack_bytes(patches, height, width, keep=["split", "missing_bands", "label"])
     out = TL.stack_bytes(stack, height, width, channels=("label",), out="label_map", with_header=False,
                          keep=["split", "missing_bands", "bands", "dtype", "channels", "height", "width"])

@@ -58,8 +58,8 @@ def list_band_files(spark: SparkSession, roots: str | list[str], glob: str | Non
 
 
 def decode_band_files(files: DataFrame, decoder: Decoder = decode_npy) -> DataFrame:
-    """(path, content) -> DECODED rows; first band of multi-band rasters,
-    row-major flattened, widened to double."""
+    """(path, content) -> DECODED rows; all samples of all raster bands, band
+    after band and row-major, widened to double (bands = size / (h * w))."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -75,7 +75,7 @@ def decode_band_files(files: DataFrame, decoder: Decoder = decode_npy) -> DataFr
                     out["height"].append(int(arr.shape[1]))
                     out["width"].append(int(arr.shape[2]))
                     out["dtype"].append(str(arr.dtype))
-                    out["pixels"].append(arr[0].reshape(-1).astype(np.float64))
+                    out["pixels"].append(arr.reshape(-1).astype(np.float64))
                     out["error"].append(None)
                 except Exception as e:  # noqa: BLE001 - a bad file is data, not a crash
                     out["height"].append(None)

@@ -46,6 +46,24 @@ def test_ingest_decode_and_key(spark, tmp_path):
     assert every.count() == 8
 
 
+def test_decode_keeps_every_raster_band(spark, tmp_path):
+    arr = np.arange(12, dtype=np.uint16).reshape(2, 3, 2)
+    np.save(str(tmp_path / "two.npy"), arr)
+    row = BF.decode_band_files(BF.list_band_files(spark, str(tmp_path))).collect()[0]
+    assert (row["height"], row["width"], row["error"]) == (3, 2, None)
+    assert row["pixels"] == [float(x) for x in range(12)]
+
+
+def test_file_of_two_raster_bands_is_reported(spark, tmp_path):
+    from tessera.plans.workflows import materialize_patches
+    root = str(tmp_path / "data")
+    _write_patch(root, "T_3_1", "S1X_3_1")
+    np.save(os.path.join(root, "S2", "tile", "T_3_1", "T_3_1_B03.npy"), np.ones((2, 3, 2), np.uint16))
+    meta = spark.createDataFrame([("T_3_1", "S1X_3_1", "train")], "patch_id string, s1_name string, split string")
+    row = materialize_patches(meta, BF.ingest_band_files(spark, root, meta), 3, 2).collect()[0]
+    assert row["bands"] is None and row["label_map"] is not None and row["missing_bands"] == ["B03"]
+
+
 def test_glob_keeps_model_bands(spark, tmp_path):
     root = str(tmp_path / "data")
     _write_patch(root, "T_2_1", "S1X_2_1")
