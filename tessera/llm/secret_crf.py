@@ -15,8 +15,10 @@ tokens need the recursion, in memory of the run.
 Base matches stay as they are; a tagged run that overlaps none of them is
 added as a span of kind ``crf``. Positions are code points, ends exclusive.
 
-The fit reads at most ``MAX_DOCUMENTS`` documents (least id hashes) and
-``MAX_WINDOWS`` windows of bounded length. Scoring is one pass without a shuffle.
+The fit reads at most ``MAX_DOCUMENTS`` documents (least id hashes), the windows
+of the first ``MAX_MARKS`` tagged tokens of each, and ``MAX_WINDOWS`` windows of
+bounded length: half with secrets and half without, or more of one where the
+other has fewer. Scoring is one pass without a shuffle.
 
 Defined cases: NULL and empty texts have no spans; without any base match in
 the sample the field adds nothing; repeated rows give a row each; extra columns
@@ -35,8 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import cut
+
 MAX_DOCUMENTS = 20_000
 MAX_WINDOWS = 6_000
+MAX_MARKS = 8
+LONG_TOKEN = 4096
 REACH = 12
 STEPS, RATE, RIDGE = 120, 0.15, 1e-3
 B, I, O = 0, 1, 2
@@ -53,7 +59,7 @@ _CUE = re.compile(r"(?i)(password|passwd|secret|token|api_?key|credential|auth|p
 # Shape of a token: the first that fits. Patterns see the token without edge punctuation.
 SHAPES: list[tuple[str, re.Pattern]] = [
     ("cue_value", re.compile(r"(?i).*(password|passwd|secret|token|api_?key)[\"']?[:=].{6,}", re.ASCII)),
-    ("cue", re.compile(r"(?i)[\"']?\w*(password|passwd|secret|token|api_?key)\w*[\"']?[:=]?", re.ASCII)),
+    ("cue", re.compile(r"(?i)[\"']?(?=\w*(password|passwd|secret|token|api_?key))\w++[\"']?[:=]?", re.ASCII)),
     ("access", re.compile(r"A[A-Z]{3}[A-Z0-9]{12,}")),
     ("caps_digits", re.compile(r"(?=.*\d)(?=.*[A-Z])[A-Z0-9]{12,}")),
     ("hex_long", re.compile(r"(?=.*\d)[0-9a-f]{20,}")),
@@ -91,9 +97,11 @@ _FILE_SHAPES = np.array([n < 9 for n in range(N_SHAPES)])
 
 class _Shapes(dict):
     def __missing__(self, token: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        n = self[token] = shape(token) if len(token) <= 4096 else OTHER
+        n = shape(token)
+        if len(token) <= LONG_TOKEN:  # longer ones would fill the memory
+            if len(self) > 300_000:
+                self.clear()
+            self[token] = n
         return n
 
 
@@ -204,7 +212,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             shapes = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
             band = file_band(shapes)
-            marks = [k for k, t in enumerate(tags) if t == B][:8] or [len(tokens) // 2]
+            marks = [k for k, t in enumerate(tags) if t == B][:MAX_MARKS] or [len(tokens) // 2]
             padded = np.concatenate([[EDGE], shapes, [EDGE]])
             for n, k in enumerate(marks):
                 lo, hi = max(0, k - REACH), min(len(tokens), k + REACH + 1)
@@ -274,7 +282,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fiel
     # At most MAX_DOCUMENTS numbers.
     windows = rows.join(F.broadcast(ids), "id").mapInArrow(
         _windows, "id long, n int, band int, has boolean, shapes array<long>, tags array<long>")
-    got = windows.orderBy(F.desc("has"), F.xxhash64("id", "n"), "id", "n", "shapes").limit(MAX_WINDOWS).collect()
+    windows = cut(windows, "windows")
+    order = (F.xxhash64("id", "n"), "id", "n", "shapes")
+    some, none = (windows.filter(c).orderBy(*order).limit(MAX_WINDOWS).collect() for c in (F.col("has"), ~F.col("has")))
+    half = MAX_WINDOWS // 2
+    got = some[: max(half, MAX_WINDOWS - len(none))] + none[: max(half, MAX_WINDOWS - len(some))]
     return train([(r["band"], r["shapes"], r["tags"]) for r in got])
 
 

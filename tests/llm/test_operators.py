@@ -295,3 +295,17 @@ def test_byte_bpe_equals_the_library(docs):
         assert r["doc_id"] == i and list(r["ids"]) == library.encode_ordinary(text or "") and r["n_tokens"] == len(r["ids"])
         assert bytes(r["decoded"]) == (text or "").encode()
     assert byte_bpe.encode_and_decode(docs([]), path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_secret_crf_windows_of_both_kinds_and_long_tokens(docs, monkeypatch):
+    learned = []
+    monkeypatch.setattr(secret_crf, "train", learned.extend)
+    monkeypatch.setattr(secret_crf, "MAX_WINDOWS", 10)
+    rows = [(i, f"words and password=abcdef{i:03} end" if i % 2 else "words without any of them") for i in range(40)]
+    secret_crf.fit(docs(rows))
+    has = [any(t != secret_crf.O for t in tags) for _, _, tags in learned]
+    assert (len(has), sum(has)) == (10, 5)
+    known = secret_crf._Shapes()
+    assert known["0a" * 5000] == secret_crf.shape("0a" * 20) != secret_crf.OTHER
+    assert known["token" * 40_000 + "-!x"] == secret_crf.OTHER and not known
+    assert all(secret_crf.shape(x) == 1 for x in ("token", "my_API_key:", "'secrets'="))
