@@ -321,19 +321,22 @@ def q_batches(spark, sf_dir):
 
 
 def q_training_samples(spark, sf_dir):
-    """Rows only: one dense sample per train/test patch with tiles —
-    image (12x12x6, bilinear, channels last) and label map (12x12x1,
-    nearest, dense ids), keyed by split and shard."""
+    """Rows only: one dense sample per train/test patch — image (12x12x6,
+    bilinear, channels last) and label map (12x12x1, nearest, dense ids),
+    keyed by split and shard. A patch without tiles or with a missing band
+    keeps its row with ``complete = false``."""
     elems = ordered_elements(spark, sf_dir)
-    p = patch_arrays(spark, sf_dir).join(elems, "patch_id", "inner")
+    p = patch_arrays(spark, sf_dir).join(elems, "patch_id", "right")
     out = P.RESIZE_OUT
     bands = ("VV", "VH", "B", "G", "R", "NIR")
     src = p.select("patch_id", "split", "shard", "idx", *bands,
                    L.encode_dense_array("label").cast("array<float>").alias("label_map"))
     r = TL.resize_frame(src, {**{c: "bilinear" for c in bands}, "label_map": "nearest"}, TILE, TILE, out, out)
-    return r.select("patch_id", "split", "shard", "idx", TL.interleave(bands).alias("image"),
-                    F.col("label_map").alias("label"),
-                    F.lit(out).alias("height"), F.lit(out).alias("width"), F.lit(6).alias("channels"))
+    dense = r.select("patch_id", "split", "shard", "idx", TL.interleave(bands).alias("image"),
+                     F.col("label_map").alias("label"))
+    return dense.select("patch_id", "split", "shard", "idx", "image", "label",
+                        (F.col("image").isNotNull() & F.col("label").isNotNull()).alias("complete"),
+                        F.lit(out).alias("height"), F.lit(out).alias("width"), F.lit(6).alias("channels"))
 
 
 # ---------------------------------------------------------------------------

@@ -112,6 +112,13 @@ def run_summary(history: DataFrame, run_col: str = "run", started_col: str = "st
                       "mean_loss", "min_loss")
 
 
+def speed_ups(summary: DataFrame, baseline: str, run_col: str = "run") -> DataFrame:
+    """``summary`` with ``speed_up``: the seconds of the run ``baseline`` to
+    those of each run; NULL without that run or with no seconds."""
+    base = summary.filter(F.col(run_col) == F.lit(baseline)).agg(F.max("seconds").alias("_base"))
+    ratio = F.when(F.col("seconds") > 0, F.col("_base") / F.col("seconds"))
+    return summary.crossJoin(F.broadcast(base)).withColumn("speed_up", ratio).drop("_base")
+
 
 def partition_report(df: DataFrame) -> DataFrame:
     """Rows per physical partition (one small aggregation; the partition

@@ -97,3 +97,12 @@ def test_recoder_from_csv_and_extractor_keep(spark, tmp_path):
     key = ["patch_id", "pos", "split", "label"]
     assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())
     assert a.select("split").distinct().count() == 2
+
+
+def test_training_samples_keep_every_wanted_patch(spark):
+    from tessera.plans.queries import QUERIES, ordered_elements
+    sf = "/root/testdata/sf0.001"
+    got = QUERIES["training_samples"](spark, sf).select("patch_id", "complete", F.col("image").isNotNull().alias("image")).collect()
+    wanted = [r["patch_id"] for r in ordered_elements(spark, sf).collect()]
+    assert sorted(r["patch_id"] for r in got) == sorted(wanted)
+    assert {r["complete"] for r in got} == {True, False} and all(r["image"] for r in got if r["complete"])

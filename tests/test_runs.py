@@ -63,3 +63,10 @@ def test_run_summary_ntz_is_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r["finished"] == "02:30:00" and r["seconds"] == 5974200
+
+
+def test_speed_ups(spark):
+    from tessera.plans.runs import speed_ups
+    summary = spark.createDataFrame([("one", 90), ("three", 30), ("none", 0)], "run string, seconds long")
+    assert {r["run"]: r["speed_up"] for r in speed_ups(summary, "one").collect()} == {"one": 1.0, "three": 3.0, "none": None}
+    assert {r["speed_up"] for r in speed_ups(summary, "other").collect()} == {None}
