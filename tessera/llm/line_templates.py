@@ -160,29 +160,54 @@ def drop_recurring_templates(docs: DataFrame, id_col: str = "doc_id", text_col:
 
 
 OP8 = r"""
-WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-raw AS (SELECT row_no, doc_id, text, i AS line_no, ls[i] AS line FROM d, unnest(range(1, len(ls) + 1)) AS t(i)),
-tok AS (
-  SELECT row_no, doc_id, text, line_no, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
-    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS toks FROM raw),
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, dense_rank() OVER (ORDER BY doc_id, text) AS k, string_split(text, chr(10)) AS ls FROM documents),
+raw AS (
+  SELECT k, doc_id, md5(text) AS th, i AS line_no, ls[i] AS line
+  FROM (SELECT DISTINCT * FROM d), unnest(range(1, len(ls) + 1)) AS t(i)),
+tok AS (SELECT k, doc_id, th, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM raw),
+masked AS (
+  SELECT *, list_transform(ws, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS toks
+  FROM tok WHERE len(ws) >= 2),
 lines AS (
-  SELECT *, array_to_string(toks, ' ') AS tpl, len(toks) || chr(10) || array_to_string(toks[1:4], ' ') AS leaf
-  FROM tok WHERE len(toks) >= 3),
-known AS (SELECT tpl, min(doc_id) AS first_id FROM lines GROUP BY tpl HAVING count(DISTINCT text) >= 5),
+  SELECT k, doc_id, th, line_no, toks, len(toks) AS n, len(toks) || chr(10) || array_to_string(toks[1:4], ' ') AS leaf,
+    array_to_string(CASE WHEN 2 * len(list_filter(toks, lambda x: x = '<*>')) < len(toks) THEN toks ELSE ws END, ' ') AS tpl
+  FROM masked),
+known AS (
+  SELECT tpl, min(doc_id) AS first_id FROM lines
+  GROUP BY tpl HAVING count(DISTINCT th) >= CASE WHEN max(n) > 50 THEN 2 ELSE 5 END),
 rest AS (SELECT * FROM lines WHERE tpl NOT IN (SELECT tpl FROM known)),
-leaves AS (SELECT leaf, count(*) AS n, min(len(toks)) AS size FROM rest GROUP BY leaf HAVING count(DISTINCT text) >= 5),
-pos AS (SELECT leaf, p, toks[p] AS t, count(*) AS c FROM rest JOIN leaves USING (leaf), unnest(range(1, len(toks) + 1)) AS u(p) GROUP BY ALL),
-constants AS (
-  SELECT leaf, list(struct_pack(p := p, t := t)) AS cs FROM pos JOIN leaves USING (leaf) WHERE 2 * c > n GROUP BY leaf, size HAVING 10 * count(*) >= 7 * size),
-members AS (
-  SELECT r.* FROM rest r JOIN constants USING (leaf) WHERE len(list_filter(cs, lambda x: toks[x.p] <> x.t)) = 0),
-general AS (SELECT leaf, min(doc_id) AS first_id FROM members GROUP BY leaf HAVING count(DISTINCT text) >= 5),
+step AS (  -- lines of leaves still open, and those that a round found a template for
+  SELECT k, doc_id, th, line_no, toks, n, leaf, 'open' AS state FROM rest
+  WHERE leaf IN (SELECT leaf FROM rest GROUP BY leaf HAVING count(DISTINCT th) >= 5)
+  UNION ALL (
+    WITH here AS (SELECT * FROM step WHERE state = 'open'),
+    t AS (SELECT k, line_no, leaf, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM here),
+    counts AS (SELECT leaf, pos, token, count(*) AS c FROM t WHERE token <> '<*>' GROUP BY leaf, pos, token HAVING count(*) >= 5),
+    placed AS (
+      SELECT k, line_no, list({'pos': pos, 'token': token, 'c': c} ORDER BY pos) AS kept
+      FROM t JOIN counts USING (leaf, pos, token) GROUP BY k, line_no),
+    tries AS (
+      SELECT h.k, h.doc_id, h.th, h.line_no, h.leaf, h.n, kept, unnest(list_distinct(list_transform(kept, lambda x: x.c))) AS least
+      FROM placed JOIN here h USING (k, line_no)),
+    general AS (
+      SELECT k, doc_id, th, line_no, leaf || chr(10) ||
+        array_to_string(list_transform(list_filter(kept, lambda x: x.c >= least), lambda x: x.pos || ':' || x.token), ' ') AS g
+      FROM tries WHERE 10 * len(list_filter(kept, lambda x: x.c >= least)) >= 7 * n),
+    found AS (SELECT g, min(doc_id) AS first_id FROM general GROUP BY g HAVING count(DISTINCT th) >= 5),
+    members AS (
+      SELECT k, line_no, bool_or(doc_id IS DISTINCT FROM first_id) AS gone FROM general JOIN found USING (g) GROUP BY k, line_no)
+    SELECT h.k, h.doc_id, h.th, h.line_no, h.toks, h.n, h.leaf,
+      CASE WHEN m.k IS NULL THEN 'open' WHEN m.gone THEN 'gone' ELSE 'stays' END
+    FROM here h LEFT JOIN members m ON m.k = h.k AND m.line_no = h.line_no
+    WHERE h.leaf IN (SELECT leaf FROM here JOIN members USING (k, line_no))
+  )),
 drops AS (
-  SELECT row_no, line_no FROM lines JOIN known USING (tpl) WHERE doc_id IS DISTINCT FROM first_id
-  UNION SELECT row_no, line_no FROM members JOIN general USING (leaf) WHERE doc_id IS DISTINCT FROM first_id),
-per AS (SELECT row_no, list(line_no) AS gone FROM drops GROUP BY row_no)
+  SELECT k, line_no FROM lines JOIN known USING (tpl) WHERE doc_id IS DISTINCT FROM first_id
+  UNION SELECT k, line_no FROM step WHERE state = 'gone'),
+per AS (SELECT k, list(line_no) AS gone FROM drops GROUP BY k)
 SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
   md5(CASE WHEN gone IS NULL THEN text
     ELSE coalesce(array_to_string(list_filter(ls, lambda x, i: NOT list_contains(gone, i)), chr(10)), '') END) AS kept_md5
-FROM d LEFT JOIN per USING (row_no)
+FROM d LEFT JOIN per USING (k)
 """
