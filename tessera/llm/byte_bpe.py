@@ -23,7 +23,7 @@ Repeated rows give repeated results. Extra columns of the input are ignored.
 from __future__ import annotations
 
 import base64
-import functools
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -42,11 +42,12 @@ LATIN = {
     r"\s": "\t-\r \x85\xa0",
 }
 # Characters of text looked at together, words in one recursive query, rows
-# that one call of it may produce, and pieces remembered by a task.
-CHUNK_CHARS = 8_000_000
-WORDS_AT_ONCE = 60_000
-ROWS_AT_ONCE = 6_000_000
-REMEMBERED = 400_000
+# that one call of it may produce, pieces remembered by a task, and the memory of its DuckDB.
+CHUNK_CHARS = 1_000_000
+WORDS_AT_ONCE = 20_000
+ROWS_AT_ONCE = 1_000_000
+REMEMBERED = 100_000
+DUCKDB_MEMORY = "150MB"
 
 _STEPS = """
 CREATE OR REPLACE TEMP TABLE steps AS
@@ -131,10 +132,20 @@ def latin_pattern(pattern: str) -> str | None:
     return "".join(out)
 
 
+def merge_table(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
+    """ab (left token * base + right token), r (rank of the pair), free."""
+    rows = [(ranks[a], ranks[b], r) for whole, r in ranks.items() if len(whole) > 1
+            for i in range(1, len(whole)) if (a := whole[:i]) in ranks and (b := whole[i:]) in ranks]
+    a, b, r = np.array(rows, np.int64).reshape(-1, 3).T
+    # A token is bound if some merge that it takes part in has a lower rank than its own.
+    bound = set(a[r < a].tolist()) | set(b[r < b].tolist())
+    return {"ab": a * (max(ranks.values()) + 1) + b, "r": r.astype(np.int32), "free": np.array([x not in bound for x in r.tolist()], bool)}
+
+
 class BytePairs:
-    """The merge table and vocabulary in a DuckDB of this process."""
+    """The merge table and vocabulary in a DuckDB of this process, until closed."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], merges: dict[str, np.ndarray], pattern: str):
         import duckdb
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -142,18 +153,21 @@ class BytePairs:
         self.latin = re.compile(narrow) if narrow else None
         self.base = max(ranks.values()) + 1
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        rows = [(ranks[a], ranks[b], r) for whole, r in ranks.items() if len(whole) > 1
-                for i in range(1, len(whole)) if (a := whole[:i]) in ranks and (b := whole[i:]) in ranks]
-        a, b, r = np.array(rows, np.int64).reshape(-1, 3).T
-        # A token is bound if some merge that it takes part in has a lower rank than its own.
-        bound = set(a[r < a].tolist()) | set(b[r < b].tolist())
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '500MB'")
-        self._table("merges", {"ab": a * self.base + b, "r": r.astype(np.int32),
-                               "free": np.array([x not in bound for x in r.tolist()], bool)})
+        self.db.execute("SET temp_directory = ''")  # never a local folder of the executor
+        self.db.execute(f"SET memory_limit = '{DUCKDB_MEMORY}'")
+        self._table("merges", merges)
         self._table("vocab", {"tok": np.array(list(ranks.values()), np.int32), "hex": [t.hex() for t in ranks]})
 
+    def close(self) -> None:
+        self.db.close()
+        pa.default_memory_pool().release_unused()
+        try:  # glibc keeps freed memory otherwise, and the process lives on
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
+
     def split(self, text: str) -> list[str]:
         """The matches of the pattern, in order."""
         if self.latin is not None:
@@ -226,14 +240,19 @@ class BytePairs:
         return {piece: found[piece.encode()] for piece in pieces}
 
 
-@functools.lru_cache(maxsize=2)
-def byte_pairs(path: str, pattern: str) -> BytePairs:
-    return BytePairs(read_ranks(path), pattern)
-
-
 def _encoder(path: str, pattern: str):
+    ranks = read_ranks(path)
+    merges = merge_table(ranks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_pairs(path, pattern)
+        # Built for each task and closed with it: the process serves other stages after it.
+        bpe = BytePairs(ranks, merges, pattern)
+        try:
+            yield from encoded(bpe, batches)
+        finally:
+            bpe.close()
+
+    def encoded(bpe: BytePairs, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = bpe.split
         known: dict[str, tuple[bytes, bytes]] = {}
         for batch in batches:
@@ -266,7 +285,8 @@ def _encoder(path: str, pattern: str):
 def encode_and_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (array of int), decoded
     (the bytes those ids stand for). ``path`` is a file of base64 token and
-    rank lines that every executor can read; ``pattern`` splits texts."""
+    rank lines, read here and sent to the tasks (its size is that of the
+    vocabulary); ``pattern`` splits texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_encoder(path, pattern), "doc_id long, n_tokens long, ids array<int>, decoded binary")
 
