@@ -27,7 +27,6 @@ with no training rows everything is ``und``; repeated rows give a row each.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -53,9 +52,13 @@ UNDETERMINED = "und"
 FOLDS, HELD_OUT = 4, 2
 
 
-@functools.lru_cache(maxsize=1)
+_HELD: dict[str, np.ndarray] = {}  # a plain dict: functions of this module go to workers by value
+
+
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    if "letters" not in _HELD:
+        _HELD["letters"] = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return _HELD["letters"]
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

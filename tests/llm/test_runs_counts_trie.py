@@ -225,3 +225,22 @@ def test_slot_table_is_minimal_and_refuses_strangers():
 
 def test_trie_oracle(spark):
     assert compare(spark, "/root/testdata/sf0.01", ["op13_prefix_trie"], verbose=True)["op13_prefix_trie"] == "OK"
+
+
+def test_functions_run_on_workers_without_the_package():
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tessera.llm import byte_bpe, language_codes, near_dedup, warc
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    functions = [byte_bpe._encoder(ranks, public_tokenizers.PATTERN), language_codes._count, language_codes.grams, near_dedup._signatures(4, 2, 5),
+                 periodic_runs._finder(24, 1000), token_counts._counter("x", 1, 1), prefix_trie._end_digests, warc.parse_records]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    for f in functions:
+        done = subprocess.run([sys.executable, "-c", "import pickle, sys; pickle.load(sys.stdin.buffer); print('tessera' in sys.modules)"],
+                              input=cloudpickle.dumps(f), capture_output=True, env=env, cwd="/")
+        assert done.returncode == 0 and done.stdout == b"False\n", (f, done.stderr[-500:])
