@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.assembly import assemble
 from tessera.schemas import IMAGE_CHANNELS, LABEL_BAND, S1_BANDS, S2_BANDS, S2_SHORT
 
 # Column name of each stored band in the patch pixel struct (FX5).
@@ -33,27 +34,23 @@ def repartition_by_patch(df: DataFrame, n: int | None = None, key: str = "patch_
 
 def pivot_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band",
                 pixels_col: str = "pixels", bands: Sequence[str] = DEFAULT_BANDS,
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), reduce_copies: bool = True) -> DataFrame:
     """Long band tiles (one row per patch x band) -> one row per patch with
     the FX5 arrays: VV, VH as array<double>; B, G, R, NIR, label as
     array<bigint>. A band that is absent stays NULL.
 
-    One shuffle on ``key``. Each band is one ``min(pixels) FILTER (band = b)``
-    aggregate: the buffer per patch is at most one array per band, however
-    many copies of a band file exist (a patch id holding a third of all rows
-    still reduces map-side to one row per task), and duplicates resolve to
-    the same array whatever their arrival order.
+    One exchange and one sort on ``key``, no comparison of arrays: see
+    :func:`tessera.operators.assembly.assemble`, which also says which of
+    several copies of a band stays. ``reduce_copies=False`` saves its pass
+    before the exchange, for tables known to have few copies.
     """
-    def pick(b: str) -> Column:
-        return F.min(F.when(F.col(band_col) == F.lit(b), F.col(pixels_col)))
-
-    extra = [F.min(c).alias(c) for c in keep]
-    grouped = tiles.groupBy(key).agg(*[pick(b).alias(f"_b{i}") for i, b in enumerate(bands)], *extra)
+    wide = assemble(tiles, pixels_col, bands, [f"_b{i}" for i in range(len(bands))], key=key, band_col=band_col, keep=keep,
+                    reduce_copies=reduce_copies)
     cols = []
     for i, band in enumerate(bands):
         target = T.ArrayType(T.DoubleType()) if band in S1_BANDS else T.ArrayType(T.LongType())
         cols.append(F.col(f"_b{i}").cast(target).alias(PIXEL_FIELD.get(band, band)))
-    return grouped.select(key, *keep, *cols)
+    return wide.select(key, *keep, *cols)
 
 
 def missing_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band",

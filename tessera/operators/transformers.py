@@ -14,9 +14,11 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import indices as I
 from tessera.operators import labels as L
+from tessera.operators import rasters as RA
 from tessera.operators import tiles as TL
 from tessera.schemas import FEATURE_COLUMNS
 
@@ -58,8 +60,15 @@ class PixelExtractor(_Base):
             tiles = dataset.sparkSession.read.parquet(self.getOrDefault("tilesPath"))
         wanted = tiles.join(dataset.select(key, *keep), key, "left_semi") if not keep else \
             tiles.join(dataset.select(key, *keep), key, "inner")
+        if "raster" in tiles.columns:  # typed tiles stay typed
+            return RA.assemble_rasters(wanted, key=key, keep=keep)
         return TL.pivot_bands(wanted, key=key, keep=keep)
 
+    def write(self):
+        if self._tiles is not None and not self.isDefined("tilesPath"):
+            raise ValueError("tiles given by with_tiles are not saved: write them as a table and set tilesPath")
+        return super().write()
+
 
 class PixelExploder(_Base):
     """Patch pixel arrays -> one row per pixel (key, pos, bands, label)."""
@@ -73,8 +82,10 @@ class PixelExploder(_Base):
         self._set_params(keyCol=keyCol, keepCols=keepCols)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return TL.explode_pixels(dataset, key=self.getOrDefault("keyCol"),
-                                 keep=self.getOrDefault("keepCols"))
+        key, keep = self.getOrDefault("keyCol"), self.getOrDefault("keepCols")
+        if isinstance(dataset.schema["VV"].dataType, T.StructType):
+            return RA.raster_pixels(dataset, key=key, keep=keep)
+        return TL.explode_pixels(dataset, key=key, keep=keep)
 
 
 class IndexCalculator(_Base):

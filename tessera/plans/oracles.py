@@ -114,6 +114,13 @@ def hash32(key_sql: str, seed: int = P.SEED) -> str:
     return f"CAST(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), 1, 8)) AS BIGINT)"
 
 
+def crc32(text_sql: str) -> str:
+    """UTF-8 CRC-32 of an ASCII string (DuckDB has none), byte by byte and bit by bit."""
+    return (f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({text_sql}, ''), lambda x: ord(x)::BIGINT), "
+            "lambda acc, y: list_reduce([xor(acc, y), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], "
+            "lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)")
+
+
 def _strip(c: str) -> str:
     return f"string_split({c}, 's3://')[2]"
 
@@ -267,22 +274,46 @@ WHERE VV IS NOT NULL AND VH IS NOT NULL AND B IS NOT NULL AND G IS NOT NULL AND
   AND NOT isnan(VV) AND NOT isnan(VH) AND NOT isnan(NDVI) AND NOT isnan(EVI) AND NOT isnan(NDWI)
   AND NOT isnan(BVI) AND NOT isnan(RRadio) AND NOT isnan(RDiff) AND NOT isnan(RSum) AND NOT isnan(RVI)"""
 
+    # float32 radar bands with uint16 optical ones promote to float32.
     q["stack_bands"] = f"""WITH {PATCHES}
 SELECT patch_id,
-  CASE WHEN nb = 6 AND has_label = 1 THEN 'float64' END AS dtype,
-  CASE WHEN nb = 6 AND has_label = 1 THEN 6 END AS channels,
-  CASE WHEN nb = 6 AND has_label = 1 THEN {T} END AS height,
-  CASE WHEN nb = 6 AND has_label = 1 THEN {T} END AS width,
-  CASE WHEN nb = 6 AND has_label = 1 THEN {6 * T * T * 8} END AS n_bytes
+  CASE WHEN nb = 6 THEN 'float32' END AS dtype,
+  CASE WHEN nb = 6 THEN 6 END AS channels,
+  CASE WHEN nb = 6 THEN {T} END AS height,
+  CASE WHEN nb = 6 THEN {T} END AS width,
+  CASE WHEN nb = 6 THEN {6 * T * T * 4} END AS n_bytes
 FROM patches"""
     q["label_bytes"] = f"""WITH {PATCHES}
 SELECT patch_id,
-  CASE WHEN has_label = 1 THEN 'int64' END AS dtype,
+  CASE WHEN has_label = 1 THEN 'uint16' END AS dtype,
   CASE WHEN has_label = 1 THEN 1 END AS channels,
   CASE WHEN has_label = 1 THEN {T} END AS height,
   CASE WHEN has_label = 1 THEN {T} END AS width,
-  CASE WHEN has_label = 1 THEN {T * T * 8} END AS n_bytes
+  CASE WHEN has_label = 1 THEN {T * T * 2} END AS n_bytes
 FROM patches"""
+    q["stack_values"] = f"""WITH {PATCHES}
+SELECT patch_id, 'float32' AS dtype, CAST(b AS INTEGER) AS channel, CAST(pos AS INTEGER) AS pos,
+  CASE WHEN b < 2 THEN CAST(v AS DOUBLE) ELSE trunc(CAST(v AS DOUBLE) * 1000 + 2000) END AS value
+FROM emb JOIN patches USING (k) WHERE nb = 6"""
+    q["label_values"] = f"""WITH {EMB}
+SELECT {_patch_id('k')} AS patch_id, 'uint16' AS dtype, CAST(pos AS INTEGER) AS pos,
+  CAST({_RULE}[((k * 64 + pos) % 46) + 1] AS DOUBLE) AS value
+FROM emb WHERE b = 5"""
+    q["raster_pixels"] = f"WITH {PX} SELECT patch_id, pos, VV, VH, B, G, R, NIR, label FROM px"
+    q["assemble_copies"] = f"""SELECT {_patch_id('k')} AS patch_id, CAST(count(*) AS INTEGER) AS n_bands,
+  CASE WHEN k % 7 = 0 THEN count(*) + CAST(bool_or(b = 0) AS BIGINT) ELSE 0 END AS n_copies,
+  max(CASE WHEN b = 5 THEN CAST(embedding[1] AS DOUBLE) END) AS b08_first
+FROM (SELECT vec_id // 6 AS k, vec_id % 6 AS b, embedding FROM embeddings) GROUP BY k"""
+    names6 = "['VV', 'VH', 'B', 'G', 'R', 'NIR']"
+    q["rejects"] = f"""WITH {PATCHES},
+found AS (SELECT k, list(DISTINCT b) AS bs FROM emb GROUP BY k)
+SELECT patch_id, CASE
+  WHEN nb < 6 THEN 'missing:' || array_to_string(
+    list_transform(list_filter(range(0, 6), lambda x: NOT list_contains(bs, x)), lambda x: {names6}[x + 1])
+    || CASE WHEN has_label = 1 THEN [] ELSE ['label'] END, ',')
+  ELSE 'size:R' END AS reject_reason
+FROM patches JOIN found USING (k)
+WHERE nb < 6 OR {crc32('patch_id')} % 5 = 0"""
     q["interleave"] = f"""WITH {PX}
 SELECT patch_id, CAST(pos * 6 + c - 1 AS INTEGER) AS idx, value FROM (
   SELECT patch_id, pos,

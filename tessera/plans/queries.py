@@ -16,8 +16,10 @@ from tessera.operators import batches as BA
 from tessera.operators import labels as L
 from tessera.operators import metrics as M
 from tessera.operators import models as MO
+from tessera.operators import rasters as RA
 from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
+from tessera.operators.assembly import assemble
 from tessera.operators.indexing import default_buckets
 from tessera.operators.transformers import FeatureAssembler, PixelExtractor
 from tessera.plans import params as P
@@ -219,16 +221,55 @@ def q_features(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+def patch_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The testbed's patches with a raster per band, each in its own dtype."""
+    return RA.assemble_rasters(TB.raster_tiles(spark, sf_dir))
+
+
 def q_stack_bands(spark, sf_dir):
-    st = TL.stack_bytes(patch_arrays(spark, sf_dir), TILE, TILE)
+    st = RA.stack(patch_rasters(spark, sf_dir))
     return st.select("patch_id", "dtype", "channels", "height", "width",
                      F.octet_length("bands").alias("n_bytes"))
 
 
 def q_label_bytes(spark, sf_dir):
-    st = TL.stack_bytes(patch_arrays(spark, sf_dir), TILE, TILE, channels=("label",))
+    st = RA.label_raster(patch_rasters(spark, sf_dir))
     return st.select("patch_id", "dtype", "channels", "height", "width",
-                     F.octet_length("bands").alias("n_bytes"))
+                     F.octet_length("label_map").alias("n_bytes"))
+
+
+def q_stack_values(spark, sf_dir):
+    """The samples that the stacks' bytes decode to."""
+    return RA.unstack(RA.stack(patch_rasters(spark, sf_dir)), keep=("dtype",))
+
+
+def q_label_values(spark, sf_dir):
+    return RA.unstack(RA.label_raster(patch_rasters(spark, sf_dir)), data_col="label_map", keep=("dtype",)).drop("channel")
+
+
+def q_raster_pixels(spark, sf_dir):
+    """The pixel table straight from typed rasters."""
+    return RA.raster_pixels(patch_rasters(spark, sf_dir))
+
+
+def q_assemble_copies(spark, sf_dir):
+    """Audit of the assembly: bands found and copies left out, per patch."""
+    bands = TB.TESTBED_BANDS
+    wide = assemble(TB.copied_tiles(spark, sf_dir), "embedding", bands, tie="copy")
+    n_bands = sum(F.col(b).isNotNull().cast("int") for b in bands)
+    return wide.select("patch_id", n_bands.alias("n_bands"), "n_copies", F.get("B08", F.lit(0)).cast("double").alias("b08_first"))
+
+
+def q_rejects(spark, sf_dir):
+    """Patches whose rasters cannot be laid over each other, with the reason.
+    Every fifth patch's B04 is cut to half its height first."""
+    rows = TB.band_tiles(spark, sf_dir)
+    cut = (F.col("band") == "B04") & (F.pmod(F.crc32(F.col("patch_id").cast("binary")), F.lit(5)) == 0)
+    half = TILE // 2
+    rows = rows.withColumns({"pixels": F.when(cut, F.slice("pixels", 1, half * TILE)).otherwise(F.col("pixels")),
+                             "height": F.when(cut, half).otherwise(F.col("height"))})
+    patches = RA.assemble_rasters(RA.pack(rows))
+    return RA.split_rejects(patches, ("VV", "VH", "B", "G", "R", "NIR", "label")).filter("reject_reason IS NOT NULL").select("patch_id", "reject_reason")
 
 
 def q_interleave(spark, sf_dir):
@@ -379,6 +420,11 @@ QUERIES: dict[str, Query] = {
     "features": q_features,
     "stack_bands": q_stack_bands,
     "label_bytes": q_label_bytes,
+    "stack_values": q_stack_values,
+    "label_values": q_label_values,
+    "raster_pixels": q_raster_pixels,
+    "assemble_copies": q_assemble_copies,
+    "rejects": q_rejects,
     "interleave": q_interleave,
     "resize_nearest": q_resize_nearest,
     "resize_bilinear": q_resize_bilinear,

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.common import idiv
 from tessera.functions.paths import derive_paths
+from tessera.operators import rasters as RA
 from tessera.schemas import CODES, LABEL_BAND, S1_BANDS, S2_BANDS
 
 TILE_SIZE = 8
@@ -100,6 +101,30 @@ def band_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(TILE_SIZE).alias("width"), "dtype", "pixels"))
 
 
+def raster_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The band tiles in their own dtypes: a raster instead of an array."""
+    return RA.pack(band_tiles(spark, sf_dir))
+
+
+def copied_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The band tiles, with a second copy of every band of each seventh patch
+    number and a third of its VV band."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    k, b = idiv("vec_id", BANDS_PER_PATCH), F.pmod(F.col("vec_id"), F.lit(BANDS_PER_PATCH))
+    n = F.when(F.pmod(k, F.lit(7)) != 0, 1).when(b == 0, 3).otherwise(2)
+    return emb.select(patch_id_for(k).alias("patch_id"), F.get(F.array(*[F.lit(x) for x in TESTBED_BANDS]), b.cast("int")).alias("band"),
+                      "embedding", F.explode(F.sequence(F.lit(1), n)).alias("copy"))
+
+
+def class_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, label, probability) from ``embeddings``: the softmax of a
+    row's first ten values (times ten) are the probabilities of classes 0 to 9."""
+    scores = F.transform(F.slice("embedding", 1, 10), lambda v: F.exp(v.cast("double") * 10))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("bigint").alias("label"), scores.alias("s"))
+    total = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
+    return rows.withColumn("total", total).select("vec_id", "label", F.transform("s", lambda x: x / F.col("total")).alias("probability"))
+
+
 def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight raw metadata columns of FX1 (plus ``root``), from ``documents``.
 

@@ -19,19 +19,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import batches as BA
 from tessera.operators import labels as L
 from tessera.operators import metrics as M
 from tessera.operators import models as MO
+from tessera.operators import rasters as RA
 from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
 from tessera.operators.indexing import default_buckets
 from tessera.operators.transformers import PixelExtractor
 from tessera.plans.runs import StageTimer
 from tessera.schemas import RESIZE_TARGET
+from tessera.sources.bandsource import Decoder, decode_npy, ingest_rasters
 from tessera.sources.sinks import write_patches
 
 SPLITS = ("train", "test")
@@ -72,6 +74,15 @@ def classify_pixels(meta: DataFrame, tiles: DataFrame, fraction: float | Mapping
     return Classification(model, acc, counts.get("train", 0), counts.get("test", 0), preds, timer)
 
 
+def classify_files(spark: SparkSession, roots: str | Sequence[str], meta: DataFrame, fraction: float | Mapping[str, float] = 1.0,
+                   seed: int = 42, decoder: Decoder = decode_npy, **kw) -> Classification:
+    """The same from band files: the metadata (patch_id, s1_name, split) is
+    sampled first, and only the files of the sample are opened."""
+    fr = dict(fraction) if isinstance(fraction, Mapping) else {s: float(fraction) for s in SPLITS}
+    chosen = S.stratified_sample(S.filter_isin(meta, "split", SPLITS), "split", fr, ["patch_id"], seed=seed)
+    return classify_pixels(chosen, ingest_rasters(spark, roots, chosen, decoder), fraction=1.0, seed=seed, **kw)
+
+
 def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: int,
                         output_path: str | None = None) -> DataFrame:
     """Per patch: ``bands`` (S1 then S2 stack, bytes), ``label_map`` (bytes),
@@ -80,6 +91,8 @@ def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: i
     wrong-size band gives NULL bytes and is listed in ``missing_bands``."""
     wanted = S.filter_isin(meta.select("patch_id", "split"), "split", SPLITS)
     tl = tiles.join(wanted.select("patch_id"), "patch_id", "left_semi")
+    if "raster" in tiles.columns:
+        return _materialize_rasters(wanted, tl, height, width, output_path)
     # one pivot (one shuffle of the tiles); everything else is narrow
     patches = (TL.pivot_bands(tl).join(wanted, "patch_id", "right")
                .withColumn("missing_bands", TL.missing_from_arrays(size=height * width)))
@@ -91,6 +104,21 @@ def materialize_patches(meta: DataFrame, tiles: DataFrame, height: int, width: i
     return out
 
 
+def _materialize_rasters(wanted: DataFrame, tiles: DataFrame, height: int, width: int, output_path: str | None) -> DataFrame:
+    """The same from typed rasters: stack and label map in the rasters' own
+    dtypes, both from one pass, and the reason where a patch is rejected."""
+    patches = RA.assemble_rasters(tiles).join(wanted, "patch_id", "right")
+    fields = [TL.PIXEL_FIELD[b] for b in TL.DEFAULT_BANDS]
+    absent = F.array_compact(F.array(*[
+        F.when(F.col(f).isNull() | (F.col(f)["planes"] != 1) | (F.col(f)["height"] != height) | (F.col(f)["width"] != width), F.lit(b))
+        for b, f in zip(TL.DEFAULT_BANDS, fields)]))
+    out = RA.stack(patches.withColumn("missing_bands", absent), height=height, width=width, keep=("split", "missing_bands", "n_copies"),
+                   also={"label_map": ("label",)})
+    if output_path:
+        write_patches(out, output_path)
+    return out
+
+
 def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_size: int = RESIZE_TARGET,
                          *, n_workers: int, local_batch_size: int, repeats: int = 2,
                          fraction: float | None = None, seed: int = 42,
