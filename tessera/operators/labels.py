@@ -1,7 +1,7 @@
 """Land-cover label dictionary, recoding and audits.
 
-The dictionary has 45 rows, a fixed size that does not grow with the
-data, so joining against it is always a broadcast hash join.
+The built-in dictionary is a local relation of 45 rows: its plan proves the
+size, so joining against it is a broadcast hash join. Dictionaries from files get no hint.
 """
 
 from __future__ import annotations
@@ -26,25 +26,36 @@ def label_dictionary(spark: SparkSession) -> DataFrame:
 
 def read_label_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Typed read of the dictionary CSV (header, UTF-8 BOM and CRLF tolerated).
-    Adds the dense CLASS id (0..n-1 in file order of codes)."""
-    df = spark.read.schema(LABEL_DICT_CSV).option("header", True).option("encoding", "UTF-8").csv(path)
-    dense = F.create_map(*[x for c, i in DENSE_IDS.items() for x in (F.lit(c), F.lit(i))])
-    return df.withColumn("CLASS", F.try_element_at(dense, F.col("ID")))
+    Adds the dense CLASS id: 0..n-1 in file order, whatever the codes are. A
+    dictionary is one small file; more than ``MAX_DICTIONARY_ROWS`` raise when it is used."""
+    df = spark.read.schema(LABEL_DICT_CSV).option("header", True).option("encoding", "UTF-8").csv(path).coalesce(1)
+    place = F.monotonically_increasing_id()
+    checked = df.withColumn("CLASS", place).filter(F.col("ID").isNotNull())
+    fits = F.assert_true(F.col("CLASS") < MAX_DICTIONARY_ROWS, F.lit(f"dictionary of over {MAX_DICTIONARY_ROWS} rows"))
+    return checked.filter(fits.isNull()).withColumn("CLASS", F.col("CLASS").cast("int"))
+
+
+def proven_rows(df: DataFrame) -> int | None:
+    """The most rows that the plan itself proves (a local relation, a limit,
+    a range...), without running anything; None if it proves none."""
+    most = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(most.get()) if most.isDefined() else None
 
 
 def _guarded_broadcast(dictionary: DataFrame, checked_rows: int | None) -> DataFrame:
-    """Broadcast the dictionary. Built-in dictionaries have a known size;
-    a caller-supplied one must state its row count (checked against the
-    guard) or it is joined without the hint and Spark decides from stats."""
-    if checked_rows is None:
+    """Broadcast the dictionary only where its size is proven: by its plan, or
+    by ``checked_rows`` that the caller counted. Otherwise no hint is given and Spark decides from
+    its statistics. A proof of too many rows raises."""
+    rows = proven_rows(dictionary) if checked_rows is None else checked_rows
+    if rows is None:
         return dictionary
-    if checked_rows > MAX_DICTIONARY_ROWS:
-        raise ValueError(f"dictionary of {checked_rows} rows is too large to broadcast")
+    if rows > MAX_DICTIONARY_ROWS:
+        raise ValueError(f"dictionary of {rows} rows is too large to broadcast")
     return F.broadcast(dictionary)
 
 
 def recode_labels(pixels: DataFrame, dictionary: DataFrame, label_col: str = "label",
-                  target: str = "ID_NEW", dictionary_rows: int | None = len(LABEL_DICTIONARY)) -> DataFrame:
+                  target: str = "ID_NEW", dictionary_rows: int | None = None) -> DataFrame:
     """Inner equi-join pixel.label = dictionary.ID; the label becomes the
     dictionary's ``target`` id as bigint. Pixels with unknown codes are
     dropped (see :func:`unmatched_labels` for the audit)."""
@@ -58,7 +69,7 @@ def recode_labels(pixels: DataFrame, dictionary: DataFrame, label_col: str = "la
 
 def unmatched_labels(pixels: DataFrame, dictionary: DataFrame, label_col: str = "label",
                      key: str = "patch_id",
-                     dictionary_rows: int | None = len(LABEL_DICTIONARY)) -> DataFrame:
+                     dictionary_rows: int | None = None) -> DataFrame:
     """Audit of the rows the recode join drops: per unknown code, the number
     of pixels and patches (left-anti join, then one aggregation)."""
     d = _guarded_broadcast(dictionary.select(F.col("ID").cast("bigint").alias("_code")), dictionary_rows)
@@ -81,7 +92,7 @@ def encode_dense_array(codes: str | Column) -> Column:
 
 def encode_dense(pixels: DataFrame, dictionary: DataFrame, label_col: str = "label",
                  out_col: str = "class_id",
-                 dictionary_rows: int | None = len(LABEL_DICTIONARY)) -> DataFrame:
+                 dictionary_rows: int | None = None) -> DataFrame:
     """Relational form: broadcast LEFT join keeps every pixel; an unknown
     code gives a NULL class id."""
     d = _guarded_broadcast(dictionary.select(F.col("ID").cast("bigint").alias("_code"),

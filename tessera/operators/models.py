@@ -33,19 +33,32 @@ def build_pipeline(extractor: PixelExtractor, key: str = "patch_id", label_targe
     return Pipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, train: DataFrame, persist: bool = True) -> PipelineModel:
+def pixel_pipeline(label_target: str = "CLASS", num_trees: int = 20, max_depth: int = 5, max_bins: int = 32, seed: int = 42,
+                   keep_cols: tuple[str, ...] = ("patch_id", "pos")) -> Pipeline:
+    """The same from a pixel table: indices -> recode -> assemble -> forest."""
+    forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, seed=seed)
+    return Pipeline(stages=[IndexCalculator(), LabelRecoder(target=label_target), FeatureAssembler(keepCols=list(keep_cols)), forest])
+
+
+def fit(pipeline: Pipeline, train: DataFrame, persist: bool = True, layout: int | None = None,
+        layout_keys: tuple[str, ...] = ("patch_id", "pos")) -> PipelineModel:
     """Fit the pipeline. With ``persist`` the feature stages run once, their
     output (the forest's input, which it scans several times) is kept in
     memory and disk for the fit only and released afterwards. The result has
-    the same stages as ``pipeline.fit``'s; forest bagging depends on the
-    physical layout of its input, so individual trees may differ."""
+    the same stages as ``pipeline.fit``'s. Forest bagging depends on the
+    physical layout of its input: ``layout`` deals the features into that many partitions by
+    the first of ``layout_keys``, sorted by all, so that the same rows give the same
+    trees whatever the cluster. Without it individual trees may differ."""
     *prep, last = pipeline.getStages()
     if not persist or not all(isinstance(s, Transformer) for s in prep):
         return pipeline.fit(train)
     feats = train
     for s in prep:
         feats = s.transform(feats)
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    if layout:
+        feats = feats.repartition(layout, layout_keys[0]).sortWithinPartitions(*layout_keys)
+    # The forest reads features and labels alone; keys are for the layout.
+    feats = feats.select(last.getFeaturesCol(), last.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = last.fit(feats)
     finally:

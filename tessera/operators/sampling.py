@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import HASH_SPACE, hash32
-from tessera.operators.indexing import hash_order_index
+from tessera.operators.indexing import MAX_OFFSET_ROWS
 
 
 def filter_isin(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
@@ -51,26 +51,53 @@ def stratified_sample_parity(df: DataFrame, strata_col: str, fractions: Mapping[
     return df.sampleBy(strata_col, dict(fractions), seed)
 
 
+HALF = 1 << 16  # a 32-bit hash is looked at in two halves
+
+
+def _cut(counts: DataFrame, strata_col: str, part: str, need: Column) -> DataFrame:
+    """Per stratum the value of ``part`` in which the running count reaches
+    ``need``, and how many rows are still wanted from it."""
+    w = Window.partitionBy(strata_col)
+    run = counts.withColumn("_cum", F.sum("_n").over(w.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)))
+    run = run.withColumn("_want", need)
+    hit = (F.col("_cum") >= F.col("_want")) & (F.col("_cum") - F.col("_n") < F.col("_want"))
+    return run.filter(hit).withColumn("_need", F.col("_want") - (F.col("_cum") - F.col("_n")))
+
+
 def exact_sample(df: DataFrame, strata_col: str, fraction: float | Mapping[str, float],
                  key_cols: Sequence[str], seed: int = 42, n_buckets: int = 1024,
                  n_strata_bound: int | None = None) -> DataFrame:
     """Without-replacement sample of exactly n = round_half_even(f * N) rows
     per stratum: the n rows with the smallest (hash32(seed, key), key).
 
-    Ranks come from the distributed global index, so a stratum holding most
-    of the rows is still ranked by many tasks; N is read off the index's
-    small per-bucket count table (no extra pass over the data). Pass
-    ``n_strata_bound`` only when the plan proves it (e.g. after an ``isin``
-    filter); otherwise AQE sizes the small tables at run time.
-    ``fraction=None``-style "take all" is ``fraction=1.0``.
+    Found by selection, not by ranking: counts per (stratum, upper half of the hash)
+    give the half in which the n-th row lies, counts of the lower halves there
+    its exact hash value. Rows below that value are kept by a filter and are never
+    shuffled; only the rows that have just that hash (one, or a few that clash) are ranked by key.
+    Both count tables have at most 2^16 rows a stratum. Pass ``n_strata_bound`` only when the
+    plan proves it (e.g. after an ``isin`` filter): the cuts, one row a stratum, are then broadcast;
+    otherwise AQE sizes them at run time. ``fraction=None``-style "take all" is
+    ``fraction=1.0``. ``n_buckets`` is no longer used.
     """
     fractions = fraction if isinstance(fraction, Mapping) else None
-    hashed = df.withColumn("_h", hash32(*key_cols, seed=seed))
-    ranked = hash_order_index(hashed, [strata_col], "_h", list(key_cols), n_buckets, "_rank",
-                              n_groups_bound=n_strata_bound, total_out="_N")
     f = _fraction_of(strata_col, fractions) if fractions is not None else F.lit(float(fraction))
-    keep = F.col("_rank") < F.bround(F.col("_N") * f, 0).cast("bigint")
-    return ranked.filter(keep).drop("_h", "_N", "_rank")
+    small = F.broadcast if n_strata_bound is not None and n_strata_bound <= MAX_OFFSET_ROWS else (lambda d: d)
+    hashed = df.withColumn("_h", hash32(*key_cols, seed=seed))
+    upper, lower = F.shiftright("_h", 16), F.col("_h").bitwiseAND(HALF - 1)
+
+    counts = hashed.groupBy(strata_col, upper.alias("_up")).agg(F.count(F.lit(1)).alias("_n"))
+    want = F.bround(F.sum("_n").over(Window.partitionBy(strata_col)) * f, 0).cast("bigint")
+    first = _cut(counts, strata_col, "_up", want).select(strata_col, F.col("_up").alias("_cut_up"), F.col("_need").alias("_left"))
+    inside = hashed.select(strata_col, "_h").join(small(first), strata_col).filter(upper == F.col("_cut_up"))
+    counts = inside.groupBy(strata_col, "_cut_up", "_left", lower.alias("_low")).agg(F.count(F.lit(1)).alias("_n"))
+    cut = _cut(counts, strata_col, "_low", F.col("_left")).select(
+        strata_col, (F.shiftleft("_cut_up", 16) + F.col("_low")).alias("_cut"), F.col("_need").alias("_take"))
+
+    met = hashed.join(small(cut), strata_col)
+    below = met.filter(F.col("_h") < F.col("_cut")).select(*df.columns)
+    edge = met.filter(F.col("_h") == F.col("_cut"))
+    rank = F.row_number().over(Window.partitionBy(strata_col).orderBy(*key_cols))
+    return below.unionByName(edge.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_take")).select(*df.columns))
 
 
 def limit_k(df: DataFrame, k: int, order_cols: Sequence[str]) -> DataFrame:

@@ -119,16 +119,8 @@ class LabelRecoder(_Base):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         spark = dataset.sparkSession
-        if self.isDefined("dictionaryPath"):
-            # Size unknown up front: no hint, Spark broadcasts it from the
-            # file-size statistics (a small CSV) or shuffles otherwise.
-            d = L.read_label_dictionary(spark, self.getOrDefault("dictionaryPath"))
-            rows = None
-        else:
-            d = L.label_dictionary(spark)
-            rows = len(L.LABEL_DICTIONARY)
-        return L.recode_labels(dataset, d, self.getOrDefault("labelCol"), self.getOrDefault("target"),
-                               dictionary_rows=rows)
+        d = L.read_label_dictionary(spark, self.getOrDefault("dictionaryPath")) if self.isDefined("dictionaryPath") else L.label_dictionary(spark)
+        return L.recode_labels(dataset, d, self.getOrDefault("labelCol"), self.getOrDefault("target"))
 
 
 class FeatureAssembler(_Base):

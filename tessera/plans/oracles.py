@@ -387,6 +387,31 @@ iou AS (
     q["iou_mean"] = f"WITH {iou} SELECT count(*) AS n_classes, avg(iou) AS iou_score FROM iou"
     q["jaccard_loss"] = f"WITH {iou} SELECT count(*) AS n_classes, 1.0 - avg(iou) AS jaccard_loss FROM iou"
 
+    soft = f"""prob AS (
+  SELECT vec_id, CAST(label AS BIGINT) AS label, list_transform(embedding[1:10], lambda v: exp(CAST(v AS DOUBLE) * 10)) AS s FROM embeddings),
+cells AS (
+  SELECT label, unnest(range(0, 10)) AS class_id, unnest(list_transform(s, lambda x: x / list_sum(s))) AS p FROM prob)"""
+    soft_per = """SELECT class_id, sum(CASE WHEN label = class_id THEN p ELSE 0 END) AS i,
+  count(*) FILTER (WHERE label = class_id) + sum(p) - sum(CASE WHEN label = class_id THEN p ELSE 0 END) AS u FROM cells"""
+    q["soft_iou"] = f"""WITH {soft}, per AS ({soft_per} GROUP BY class_id)
+SELECT class_id, round(i, 6) AS intersection, round(u, 6) AS "union", round((i + {P.SMOOTH!r}) / (u + {P.SMOOTH!r}), 6) AS iou FROM per"""
+    q["soft_jaccard"] = f"""WITH {soft},
+per AS ({soft_per} WHERE label <> {P.SOFT_IGNORE} AND class_id <> {P.SOFT_IGNORE} GROUP BY class_id)
+SELECT count(*) AS n_classes, round(avg((i + {P.SMOOTH!r}) / (u + {P.SMOOTH!r})), 6) AS iou_score,
+  round(1 - avg((i + {P.SMOOTH!r}) / (u + {P.SMOOTH!r})), 6) AS jaccard_loss FROM per"""
+    feats = ["NDVI", "EVI", "NDWI", "BVI", "RRadio", "RDiff", "RSum", "RVI"]
+    valid = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in ["VV", "VH", *feats])
+    split_idx = f"""{IDX}, {META},
+sx AS (SELECT idx.*, meta.split FROM idx JOIN meta ON meta.patch_id = idx.patch_id WHERE split IN ('train', 'test'))"""
+    q["pixel_counts"] = f"""WITH {split_idx}, {DICT}
+SELECT split, count(DISTINCT patch_id) AS n_patches, count(*) AS n_pixels, count(*) FILTER (WHERE label IN (SELECT ID FROM dict)) AS n_known,
+  count(*) FILTER (WHERE label IN (SELECT ID FROM dict) AND {valid}) AS n_valid
+FROM sx GROUP BY split"""
+    q["forest_checked"] = f"""WITH {split_idx}
+SELECT labels, count(*) AS n_test, labels = 'determined' AS passes
+FROM sx, (VALUES ('determined'), ('scrambled')) AS t(labels) WHERE split = 'test' AND {valid} GROUP BY labels"""
+    q["scan_pushed"] = f"SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN {P.ORDER_STATUS!r}"
+
     q["best_epoch"] = """WITH h AS (
   SELECT event_type AS run, value AS loss,
     CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS INTEGER) AS epoch
@@ -403,6 +428,25 @@ FROM h GROUP BY run"""
   round(avg(value), 6) AS mean_loss, min(value) AS min_loss
 FROM events GROUP BY event_type"""
 
+    q["run_speed_ups"] = f"""WITH s AS (SELECT event_type AS run, {secs} AS seconds FROM events GROUP BY event_type)
+SELECT run, seconds, round((SELECT CAST(seconds AS DOUBLE) FROM s WHERE run = '{P.BASELINE_RUN}') / nullif(seconds, 0), 6) AS speed_up FROM s"""
+    q["run_logs"] = f"""WITH r AS (
+  SELECT event_type AS run, count(*) AS n, count(*) FILTER (WHERE value > 0.5) AS m, count(DISTINCT date_trunc('hour', ts)) * 60 + 7 AS fit
+  FROM events GROUP BY event_type)
+SELECT run, n AS train_rows, m AS test_rows, fit AS fit_seconds, CAST(123 AS BIGINT) AS evaluation_seconds, CAST(NULL AS BIGINT) AS main_seconds,
+  round(CAST(m AS DOUBLE) / n, 4) AS accuracy, round((SELECT CAST(fit AS DOUBLE) FROM r WHERE run = '{P.BASELINE_RUN}') / fit, 6) AS speed_up
+FROM r"""
+    resized = q["resize_bilinear"].rsplit("SELECT", 1)
+    image = resized[0].removeprefix("WITH ") + f""",
+image AS (SELECT {_patch_id('k')} AS patch_id, 'image' AS kind, CAST(o * 6 + b AS INTEGER) AS pos, round(CAST(top + (bottom - top) * yl AS DOUBLE), 4) AS value FROM w),
+label AS ({q["resize_nearest"].replace("WITH " + EMB + ", " + DICT + ",", "WITH lab_" + DICT + ",").replace("JOIN dict", "JOIN lab_dict")})"""
+    q["training_values"] = f"""WITH {ELEMS}, {image},
+whole AS (SELECT {_patch_id('k')} AS patch_id FROM emb GROUP BY k HAVING count(DISTINCT b) = 6),
+vals AS (SELECT * FROM image UNION ALL SELECT patch_id, 'label', pos, CAST(value AS DOUBLE) FROM label),
+sides AS (SELECT e.*, w.patch_id IS NOT NULL AS complete, kind FROM elems e LEFT JOIN whole w USING (patch_id), (VALUES ('image'), ('label')) AS t(kind))
+SELECT s.patch_id, s.split, s.shard, s.idx, s.complete, s.kind, v.pos, v.value
+FROM sides s LEFT JOIN vals v ON s.complete AND v.patch_id = s.patch_id AND v.kind = s.kind"""
+
     q["shards"] = f"WITH {ELEMS} SELECT patch_id, split, idx, shard, shard_pos FROM elems"
     q["repeat"] = f"WITH {ELEMS} SELECT patch_id, split, shard, CAST(rep AS INTEGER) AS rep, pos FROM rep"
     q["batches"] = f"""WITH {ELEMS}

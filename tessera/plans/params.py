@@ -19,3 +19,14 @@ RESIZE_OUT = 12
 SMOOTH = 1e-5
 # Bucket count of the distributed global index (hash / time buckets).
 INDEX_BUCKETS = 1024
+# Class left out of the second soft metric.
+SOFT_IGNORE = 9
+# Forest whose label the features determine: thresholds of the red band, the
+# accuracy it must reach, and the one that scrambled labels must not reach.
+RED_STEPS = (1920, 2080)
+FOREST_BOUND = 0.9
+SCRAMBLED_BOUND = 0.6
+FOREST_LAYOUT = 8
+# Pushed filter on a given table, and the run that others are compared with.
+ORDER_STATUS = ("F", "O")
+BASELINE_RUN = "click"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions import indices as I
 from tessera.functions import paths as PA
 from tessera.operators import batches as BA
+from tessera.operators import funnel as FU
 from tessera.operators import labels as L
 from tessera.operators import metrics as M
 from tessera.operators import models as MO
@@ -25,7 +26,8 @@ from tessera.operators.transformers import FeatureAssembler, PixelExtractor
 from tessera.plans import params as P
 from tessera.plans import runs as RU
 from tessera.plans import testbed as TB
-from tessera.schemas import FEATURE_COLUMNS, INDEX_COLUMNS, S2_ALL_BANDS
+from tessera.schemas import CODES, FEATURE_COLUMNS, INDEX_COLUMNS, S2_ALL_BANDS
+from tessera.sources import metadata as MD
 
 Query = Callable[[SparkSession, str], DataFrame]
 TILE = TB.TILE_SIZE
@@ -287,9 +289,8 @@ def q_resize_nearest(spark, sf_dir):
 
 
 def q_resize_bilinear(spark, sf_dir):
-    t = TB.band_tiles(spark, sf_dir).filter(F.col("band") != "reference_map")
-    r = t.select("patch_id", "band", TL.resize_bilinear("pixels", TILE, TILE, P.RESIZE_OUT, P.RESIZE_OUT)
-                 .alias("r"))
+    t = TB.band_tiles(spark, sf_dir).filter(F.col("band") != "reference_map").select("patch_id", "band", F.col("pixels").alias("r"))
+    r = TL.resize_frame(t, {"r": "bilinear"}, TILE, TILE, P.RESIZE_OUT, P.RESIZE_OUT)
     return r.select("patch_id", "band", F.posexplode("r").alias("pos", "v")).select(
         "patch_id", "band", F.col("pos").cast("int").alias("pos"),
         F.round(F.col("v").cast("double"), 4).alias("value"))
@@ -328,6 +329,22 @@ def q_jaccard_loss(spark, sf_dir):
     return M.jaccard_loss(TB.predictions(spark, sf_dir), smooth=P.SMOOTH)
 
 
+def q_soft_iou(spark, sf_dir):
+    per = M.soft_iou_per_class(TB.class_probabilities(spark, sf_dir), smooth=P.SMOOTH)
+    return per.select("class_id", *[F.round(c, 6).alias(c) for c in ("intersection", "union", "iou")])
+
+
+def q_soft_jaccard(spark, sf_dir):
+    loss = M.soft_jaccard_loss(TB.class_probabilities(spark, sf_dir), smooth=P.SMOOTH, ignore_index=P.SOFT_IGNORE)
+    return loss.select("n_classes", F.round("iou_score", 6).alias("iou_score"), F.round("jaccard_loss", 6).alias("jaccard_loss"))
+
+
+def q_pixel_counts(spark, sf_dir):
+    """Pixels before the recode, after it and after the assembly, per split."""
+    px = I.with_indices(pixels(spark, sf_dir))
+    return FU.pixel_counts(px.join(train_test_meta(spark, sf_dir).select("patch_id", "split"), "patch_id"), L.label_dictionary(spark))
+
+
 def q_best_epoch(spark, sf_dir):
     # the number of runs is data, not a proven bound: no broadcast hint, AQE
     # broadcasts the per-run winners from their measured size
@@ -339,6 +356,19 @@ def q_run_metrics(spark, sf_dir):
     return s.withColumn("mean_loss", F.round("mean_loss", 6))
 
 
+def q_run_speed_ups(spark, sf_dir):
+    s = RU.speed_ups(RU.run_summary(TB.run_history(spark, sf_dir)), P.BASELINE_RUN)
+    return s.select("run", "seconds", F.round("speed_up", 6).alias("speed_up"))
+
+
+def q_run_logs(spark, sf_dir):
+    """What the parser reads from the runs' logs, with the ratio of fit times."""
+    parsed = RU.parse_run_log(TB.run_log(spark, sf_dir))
+    ratio = RU.speed_ups(parsed.withColumnRenamed("fit_seconds", "seconds"), P.BASELINE_RUN)
+    return ratio.select("run", "train_rows", "test_rows", F.col("seconds").alias("fit_seconds"), "evaluation_seconds", "main_seconds",
+                        "accuracy", F.round("speed_up", 6).alias("speed_up"))
+
+
 # ---------------------------------------------------------------------------
 # Training-set preparation
 # ---------------------------------------------------------------------------
@@ -380,6 +410,14 @@ def q_training_samples(spark, sf_dir):
                         F.lit(out).alias("height"), F.lit(out).alias("width"), F.lit(6).alias("channels"))
 
 
+def q_training_values(spark, sf_dir):
+    """The training samples' values, one row each; a row without a value for an incomplete sample."""
+    t = q_training_samples(spark, sf_dir)
+    ids = ["patch_id", "split", "shard", "idx", "complete"]
+    parts = [t.select(*ids, F.lit(kind).alias("kind"), F.posexplode_outer(kind).alias("pos", "value")) for kind in ("image", "label")]
+    return parts[0].unionByName(parts[1]).select(*ids, "kind", F.col("pos").cast("int").alias("pos"), F.round(F.col("value").cast("double"), 4).alias("value"))
+
+
 # ---------------------------------------------------------------------------
 # Pixel classification pipeline
 # ---------------------------------------------------------------------------
@@ -394,6 +432,30 @@ def q_rf_pipeline(spark, sf_dir):
     return MO.predict(model, meta.filter(F.col("split") == "test"))
 
 
+def q_forest_checked(spark, sf_dir):
+    """The forest on labels that a feature determines must pass a bound that it
+    fails on labels drawn by hash; its input has a fixed layout."""
+    px = pixels(spark, sf_dir).join(train_test_meta(spark, sf_dir).select("patch_id", "split"), "patch_id")
+    low, high = P.RED_STEPS
+    by_red = F.when(F.col("R") < low, 0).when(F.col("R") < high, 1).otherwise(2)
+    by_hash = F.pmod(F.crc32(F.concat_ws(":", "patch_id", F.col("pos").cast("string")).cast("binary")), F.lit(3))
+    codes = F.array(*[F.lit(c) for c in CODES[:3]])
+    out = None
+    for kind, cls, bound in (("determined", by_red, P.FOREST_BOUND), ("scrambled", by_hash, P.SCRAMBLED_BOUND)):
+        labelled = px.withColumn("label", F.get(codes, cls.cast("int")).cast("bigint"))
+        model = MO.fit(MO.pixel_pipeline(seed=P.SEED), labelled.filter("split = 'train'"), layout=P.FOREST_LAYOUT)
+        found = M.accuracy(MO.predict(model, labelled.filter("split = 'test'")))
+        row = found.select(F.lit(kind).alias("labels"), F.col("n").alias("n_test"), (F.col("accuracy") > bound).alias("passes"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_scan_pushed(spark, sf_dir):
+    """A pruned Parquet scan with its filter pushed into the reader."""
+    schema = "o_orderkey long, o_orderstatus string, o_totalprice double"
+    return MD.read_metadata(spark, f"{sf_dir.rstrip('/')}/orders.parquet", schema, P.ORDER_STATUS, "o_orderstatus")
+
+
 QUERIES: dict[str, Query] = {
     "scan_pruned": q_scan_pruned,
     "filter_isin": q_filter_isin,
@@ -441,4 +503,12 @@ QUERIES: dict[str, Query] = {
     "run_metrics": q_run_metrics,
     "training_samples": q_training_samples,
     "rf_pipeline": q_rf_pipeline,
+    "soft_iou": q_soft_iou,
+    "soft_jaccard": q_soft_jaccard,
+    "pixel_counts": q_pixel_counts,
+    "run_speed_ups": q_run_speed_ups,
+    "run_logs": q_run_logs,
+    "training_values": q_training_values,
+    "forest_checked": q_forest_checked,
+    "scan_pushed": q_scan_pushed,
 }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.common import epoch_micros, idiv, wall_clock
-from tessera.schemas import ACCURACY_LINE, COUNT_LINE, RUNTIME_LINE, STAGE_TIMING
+from tessera.schemas import ACCURACY_LINE, COUNT_LINE, EPOCH_HISTORY, RUNTIME_LINE, STAGE_TIMING
 
 
 def hms(seconds: float) -> str:
@@ -49,6 +49,24 @@ class StageTimer:
 
 
 
+@dataclass
+class EpochLog:
+    """Records an epoch's metrics and duration, as rows of EPOCH_HISTORY."""
+
+    run: str
+    rows: list[tuple] = field(default_factory=list)
+
+    @contextmanager
+    def epoch(self, **start: float) -> Iterator[dict[str, float]]:
+        """Fill the yielded dict with loss, iou_score, val_loss, val_iou_score."""
+        found, t0 = dict(start), time.time()
+        yield found  # an epoch that fails leaves no row
+        self.rows.append((self.run, len(self.rows) + 1, *[found.get(c) for c in EPOCH_HISTORY.fieldNames()[2:-1]], time.time() - t0))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows, EPOCH_HISTORY)
+
+
 def parse_run_log(lines: DataFrame, run_col: str = "run", value_col: str = "value") -> DataFrame:
     """Log lines (run, value) -> one row per run: seconds of each timed task
     (``fit``, ``evaluation``, ``main``), train/test counts and accuracy.

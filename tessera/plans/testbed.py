@@ -170,3 +170,17 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("run"), "event_id", F.col("ts").alias("started"),
         F.col("value").alias("loss"))
 
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, value): a log of each run of ``events``, as the jobs print it. Each
+    hour of the run is a minute of its fit; counts and accuracy are the run's own."""
+    per = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("run")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") > 0.5).alias("m"),
+        F.count_distinct(F.date_trunc("hour", "ts")).alias("hours"))
+    clock = F.concat(F.lpad(idiv("hours", 60).cast("string"), 2, "0"), F.lit(":"), F.lpad(F.pmod("hours", F.lit(60)).cast("string"), 2, "0"), F.lit(":07"))
+    lines = F.array(
+        F.concat(F.lit("Main started at "), clock), F.concat(F.lit("Number of rows in train split: "), F.col("n").cast("string")),
+        F.concat(F.lit("Number of rows in test split: "), F.col("m").cast("string")), F.concat(F.lit("Runtime of task Fit pipeline: "), clock),
+        F.concat(F.lit("Evaluation done: Accuracy: "), F.round(F.col("m") / F.col("n"), 4).cast("string")), F.lit("Runtime of task Evaluation: 00:02:03"))
+    return per.select("run", F.explode(lines).alias("value"))

@@ -29,6 +29,7 @@ from tessera.operators import models as MO
 from tessera.operators import rasters as RA
 from tessera.operators import sampling as S
 from tessera.operators import tiles as TL
+from tessera.operators.funnel import evaluate_both
 from tessera.operators.indexing import default_buckets
 from tessera.operators.transformers import PixelExtractor
 from tessera.plans.runs import StageTimer
@@ -43,6 +44,8 @@ SPLITS = ("train", "test")
 class Classification:
     model: PipelineModel
     accuracy: float
+    accuracy_all: float | None
+    counts: dict
     train_patches: int
     test_patches: int
     predictions: DataFrame
@@ -57,7 +60,8 @@ def classify_pixels(meta: DataFrame, tiles: DataFrame, fraction: float | Mapping
     Sampling is the layout-independent hash sampler (same rows on any
     cluster size); the split counts are one aggregation; the forest's input
     is cached for the fit only; evaluation is one pass over the test
-    pixels."""
+    pixels, which also counts what each stage leaves (``counts``) and so gives accuracy over
+    the pixels that survive and over all of them."""
     timer = StageTimer(run)
     fr = dict(fraction) if isinstance(fraction, Mapping) else {s: float(fraction) for s in SPLITS}
     chosen = S.stratified_sample(S.filter_isin(meta.select("patch_id", "split"), "split", SPLITS),
@@ -70,8 +74,8 @@ def classify_pixels(meta: DataFrame, tiles: DataFrame, fraction: float | Mapping
         model = MO.fit(pipeline, chosen.filter(F.col("split") == "train"))
     preds = MO.predict(model, chosen.filter(F.col("split") == "test"))
     with timer.stage("evaluation"):
-        acc = MO.evaluate_accuracy(preds)
-    return Classification(model, acc, counts.get("train", 0), counts.get("test", 0), preds, timer)
+        found = evaluate_both(model, chosen.filter(F.col("split") == "test"))
+    return Classification(model, found["accuracy"] or 0.0, found["accuracy_all"], found, counts.get("train", 0), counts.get("test", 0), preds, timer)
 
 
 def classify_files(spark: SparkSession, roots: str | Sequence[str], meta: DataFrame, fraction: float | Mapping[str, float] = 1.0,
@@ -123,7 +127,7 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
                          *, n_workers: int, local_batch_size: int, repeats: int = 2,
                          fraction: float | None = None, seed: int = 42,
                          channels: Sequence[str] = ("VV", "VH", "B", "G", "R", "NIR"),
-                         resize_engine: str = "auto", check_workers: bool = False) -> DataFrame:
+                         resize_engine: str = "arrow", check_workers: bool = False) -> DataFrame:
     """Dense samples per train/test patch: image (out x out x C, bilinear,
     channels last, float), label map (out x out, nearest, dense class ids),
     plus shard / repeat / batch ids for ``n_workers`` workers. The batch is
@@ -141,16 +145,16 @@ def prepare_training_set(meta: DataFrame, tiles: DataFrame, in_size: int, out_si
                                         n_groups_bound=len(SPLITS)), n_workers)
     if check_workers:
         BA.check_shards(ordered, n_workers, "split")
-    seq = BA.batch(BA.repeat(ordered, repeats, group_cols=("split", "shard")),
-                   BA.global_batch_size(local_batch_size, n_workers))
-    patches = TL.pivot_bands(tiles.join(wanted.select("patch_id"), "patch_id", "left_semi"))
-    src = patches.select("patch_id", *channels, L.encode_dense_array("label").cast("array<float>").alias("label_map"))
+    # ids meet the raw arrays; a repeat is a copy of the resized row in the same task
+    patches = TL.pivot_bands(tiles.join(wanted.select("patch_id"), "patch_id", "left_semi")).join(ordered, "patch_id", "right")
+    ids = [c for c in ordered.columns if c != "patch_id"]
+    src = patches.select("patch_id", *ids, *channels, L.encode_dense_array("label").cast("array<float>").alias("label_map"))
     # one Arrow pass: bilinear for the image bands, nearest for class ids
     resized = TL.resize_frame(src, {**{c: "bilinear" for c in channels}, "label_map": "nearest"},
                               in_size, in_size, out_size, out_size, engine=resize_engine)
-    dense = resized.select("patch_id", TL.interleave(tuple(channels)).alias("image"),
-                           F.col("label_map").alias("label"))
-    return seq.join(dense, "patch_id", "left").select(
+    dense = resized.select("patch_id", *ids, TL.interleave(tuple(channels)).alias("image"), F.col("label_map").alias("label"))
+    seq = BA.batch(BA.repeat(dense, repeats, group_cols=("split", "shard")), BA.global_batch_size(local_batch_size, n_workers))
+    return seq.select(
         "patch_id", "split", "shard", "rep", "pos", "batch_id", "slot", "image", "label",
         (F.col("image").isNotNull() & F.col("label").isNotNull()).alias("complete"),
         F.lit(out_size).alias("height"), F.lit(out_size).alias("width"), F.lit(len(channels)).alias("channels"))

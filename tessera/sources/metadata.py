@@ -13,14 +13,14 @@ from tessera.schemas import METADATA, METADATA_M1, METADATA_M2
 
 
 def read_metadata(spark: SparkSession, path: str, schema: T.StructType = METADATA_M1,
-                  splits: Sequence[str] | None = ("train", "test")) -> DataFrame:
+                  splits: Sequence[str] | None = ("train", "test"), split_col: str = "split") -> DataFrame:
     """Parquet scan that reads only the columns of ``schema`` (ReadSchema)
     and, when ``splits`` is given, keeps those splits; the ``In`` filter is
     pushed into the Parquet reader (row-group skipping, and partition
     pruning when the table is partitioned by ``split``)."""
     df = spark.read.schema(schema).parquet(path)
     if splits is not None:
-        df = df.filter(F.col("split").isin(list(splits)))
+        df = df.filter(F.col(split_col).isin(list(splits)))
     return df
 
 
