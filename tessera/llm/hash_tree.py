@@ -1,13 +1,13 @@
 """Sharding by a hierarchical weighted hash tree.
 
-Shards are the leaves of a tree region -> rack -> shard. A row descends it:
-at each level every child draws ``-ln(u) / weight``, with ``u`` a hash of the
-row's key and the child's name, and the least draw wins, so a child is chosen
-in proportion to its weight. A draw depends on its own child alone: when
-weights change, rows move only into subtrees whose weight grew or out of those
-whose weight fell. Under the layout used here a shard count that is a multiple
-of ``SHARDS_PER_REGION`` is a set of full regions, and one more shard opens a
-region of its own, so it takes rows only into itself and no other row moves.
+Shards are the leaves of a tree region -> rack -> shard. For a row every leaf draws
+``-ln(u) / weight``, with ``u`` a hash of the row's key and the leaf's name. The draw of a
+rack or region is the least of its leaves' draws, which is again a weighted draw, with
+the sum of their weights. The row descends to the region, then the rack, then the
+shard of least draw, so each is chosen in proportion to its weight. A draw depends on its own subtree alone: when
+weights change, rows move only into leaves whose weight grew or out of those
+whose weight fell, and other subtrees keep theirs. One more shard, wherever it is placed and whatever the
+count, takes rows only into itself.
 
 ``assign_shards`` keeps the law ``key``: id and shard count alone decide.
 Slots number the rows of a shard from 0 without gaps. Equal rows are counted
@@ -35,48 +35,26 @@ SLOT_BUCKETS = 512
 # 13 hex digits of an MD5 as a number in (0, 1).
 HASH_SPAN = float(2**52)
 
-Tree = dict[int, dict[int, dict[int, float]]]
+def _digits(value: Column) -> Column:
+    return F.conv(F.substring(F.md5(value.cast("binary")), 1, 13), 16, 10)
 
 
-def shard_tree(weights: Sequence[float], per_rack: int = SHARDS_PER_RACK, per_region: int = SHARDS_PER_REGION) -> Tree:
-    """region -> rack -> shard -> weight, shards numbered in layout order."""
-    tree: Tree = {}
-    for shard, weight in enumerate(weights):
-        tree.setdefault(shard // per_region, {}).setdefault(shard // per_rack, {})[shard] = float(weight)
-    return tree
-
-
-def _draw(key: Column, name: Column, weight: Column) -> Column:
-    digits = F.substring(F.md5(F.concat(key, name).cast("binary")), 1, 13)
-    u = (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(HASH_SPAN)
+def _draw(key: Column, leaf: Column, weight: Column) -> Column:
+    u = (_digits(F.concat(key, F.lit("/shard/"), leaf.cast("string"))).cast("double") + 0.5) / F.lit(HASH_SPAN)
     return -F.log(u) / weight
 
 
-def _pick(key: Column, level: str, children: Column) -> Column:
-    """Id of the child with the least draw; ``children``: array of (id, weight)."""
-    draws = F.transform(children, lambda c: F.struct(
-        _draw(key, F.concat(F.lit(f"/{level}/"), c["id"].cast("string")), c["weight"]).alias("draw"), c["id"].alias("id")))
-    return F.array_min(draws)["id"]
-
-
-def _children(groups: dict[int, dict[int, float]]) -> Column:
-    """Map from a node to its children with positive weight, as a literal."""
-    entries = []
-    for node, kids in groups.items():
-        live = [(k, w) for k, w in kids.items() if w > 0]
-        if live:
-            entries += [F.lit(node), F.array(*[F.struct(F.lit(k).alias("id"), F.lit(w).alias("weight")) for k, w in live])]
-    return F.create_map(*entries)
+def leaf_draws(key: Column, weights: Sequence[float]) -> Column:
+    """Array of (draw, shard) of the shards with positive weight; others get no rows."""
+    leaves = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(float(w)).alias("weight")) for i, w in enumerate(weights) if w > 0])
+    return F.transform(leaves, lambda c: F.struct(_draw(key, c["id"], c["weight"]).alias("draw"), c["id"].alias("shard")))
 
 
-def descend(key: Column, tree: Tree) -> tuple[Column, Column, Column]:
-    """(region, rack, shard) of a string key; zero-weight nodes get no rows."""
-    shards = {rack: kids for racks in tree.values() for rack, kids in racks.items()}
-    racks = {region: {rack: sum(shards[rack].values()) for rack in own} for region, own in tree.items()}
-    regions = {-1: {region: sum(own.values()) for region, own in racks.items()}}
-    region = _pick(key, "region", F.element_at(_children(regions), F.lit(-1)))
-    rack = _pick(key, "rack", F.element_at(_children(racks), region))
-    return region, rack, _pick(key, "shard", F.element_at(_children(shards), rack))
+def descend(draws: Column, per_rack: int = SHARDS_PER_RACK, per_region: int = SHARDS_PER_REGION) -> tuple[Column, Column, Column]:
+    """(region, rack, shard) by the least draw on each level. The region of
+    least draw holds the leaf of least draw, and so does its rack; shards are numbered in layout order."""
+    shard = F.array_min(draws)["shard"]
+    return F.floor(shard / per_region).cast("int"), F.floor(shard / per_rack).cast("int"), shard
 
 
 def assign_shards(docs: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
@@ -84,16 +62,19 @@ def assign_shards(docs: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id
     """doc_id, size, text_crc32, law, region, rack, shard, slot, grown_shard
     (the shard under one more shard of weight 1)."""
     weights = list(weights or [1.0] * n_shards)
+    if len(weights) != n_shards or max(weights) <= 0:
+        raise ValueError("one weight for each shard, and one at least above 0")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        (F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"))
     rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    region, rack, shard = descend(key, shard_tree(weights))
-    rows = rows.select("*", region.alias("region"), rack.alias("rack"), shard.alias("shard"),
-                       descend(key, shard_tree([*weights, 1.0]))[2].alias("grown_shard"),
-                       F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(SLOT_BUCKETS)).alias("bucket"))
+    rows = rows.withColumn("draws", leaf_draws(key, [*weights, 1.0]))
+    region, rack, shard = descend(F.filter("draws", lambda d: d["shard"] < n_shards))
+    rows = rows.select("doc_id", "size", "text_crc32", "copies", region.alias("region"), rack.alias("rack"), shard.alias("shard"),
+                       descend(F.col("draws"))[2].alias("grown_shard"),
+                       F.pmod(_digits(F.concat(key, F.lit("/slot"))).cast("long"), F.lit(SLOT_BUCKETS)).cast("int").alias("bucket"))
     counts = rows.groupBy("shard", "bucket").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

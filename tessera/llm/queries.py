@@ -15,6 +15,7 @@ from tessera.llm import (
     language_codes,
     line_templates,
     near_dedup,
+    oracle_sql,
     pairwise_quality,
     periodic_runs,
     prefix_trie,
@@ -128,6 +129,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": oracle_sql.OP1,
+    "op3_hash_tree_sharding": oracle_sql.OP3,
+    "op4_warc_segments": oracle_sql.OP4,
     "op5_winnowing_decontamination": winnowing_sql.OP5,
     "op8_line_templates": line_templates.OP8,
     "op13_prefix_trie": trie_sql.OP13,

@@ -37,6 +37,7 @@ RECORDS_PER_FILE = 2048
 # The page tables have no fetch time.
 RECORD_DATE = "2020-01-01T00:00:00Z"
 SEPARATOR = "\r\n\r\n"
+HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 PARSED = ("record_id string, page_id long, url string, record_type string, refers_to long, payload_digest string, "
           "payload_bytes long, segment long, total long, origin string, block binary")
@@ -99,8 +100,7 @@ def _write_responses(segment_bytes: int):
             out = []
             for i in range(batch.num_rows):
                 key, url, digest, copies, payload = (batch.column(j)[i].as_py() for j in range(5))
-                block = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-                         + chunked(payload))
+                block = HTTP_HEAD + chunked(payload)
                 cuts = [block[j : j + segment_bytes] for j in range(0, len(block), segment_bytes)]
                 for copy in range(copies):
                     origin = f"{key}:{copy}"
