@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()  # of the tables written here
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,7 +41,27 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     ends there, and a lost executor costs only the tasks it was running."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[back] = path
+    return back
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the table that :func:`cut` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(df))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever its case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, doc_hash
+from tessera.llm.common import cut, doc_hash, fresh
 
 BUCKETS = 1 << 14
 EXHAUSTIVE = 5
@@ -231,7 +231,9 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
 
 def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without texts that have no language or an ambiguous one."""
+    """``docs`` without texts that have no language or an ambiguous one (and
+    so without NULL and empty texts); all columns stay as they are."""
     found = predictions(F.col(text_col).cast("string"), fit(docs, id_col, text_col, lang_col))
-    marked = docs.withColumn("_lang", found)
-    return marked.filter((F.col("_lang.lang_pred") != UNDETERMINED) & ~F.col("_lang.ambiguous")).drop("_lang")
+    [mark] = fresh(docs, "found")
+    marked = docs.withColumn(mark, found)
+    return marked.filter((F.col(mark)["lang_pred"] != UNDETERMINED) & ~F.col(mark)["ambiguous"]).drop(mark)

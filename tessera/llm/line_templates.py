@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, let
+from tessera.llm.common import cut, fresh, let
 
 MIN_TEXTS = 5
 LONG_TOKENS, LONG_TEXTS = 50, 2
@@ -51,7 +51,8 @@ FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def _key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
+    """128 bits of a document's id and text: they decide whose lines are dropped."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.col(text_col).cast("string")).cast("binary")))
 
 
 def _parsed(line: Column) -> Column:
@@ -141,22 +142,22 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_recurring_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
-    """``docs`` with its texts less the dropped lines; with ``counts`` also
-    n_lines and n_dropped."""
-    drops = dropped_lines(docs, id_col, text_col).select(F.col("key").alias("_key"), F.col("dropped").alias("_dropped"))
-    keyed = docs.withColumn("_doc_key", _key(id_col, text_col))
-    joined = keyed.join(drops, F.col("_doc_key") == F.col("_key"), "left")
+    """``docs`` with its texts less the dropped lines; other columns stay as
+    they are. With ``counts`` also n_lines and n_dropped, in place of columns of these names."""
+    doc, key, gone = fresh(docs, "doc_key", "drop_key", "gone")
+    drops = dropped_lines(docs, id_col, text_col).select(F.col("key").alias(key), F.col("dropped").alias(gone))
+    joined = docs.withColumn(doc, _key(id_col, text_col)).join(drops, F.col(doc) == F.col(key), "left")
     text = F.col(text_col).cast("string")
 
     def without(lines: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
         return F.array_join(F.transform(F.sort_array(left), lambda i: F.get(lines, i)), "\n")
 
-    cleaned = F.when(F.col("_dropped").isNull(), text).otherwise(let(F.split(text, "\n"), without))
+    cleaned = F.when(F.col(gone).isNull(), text).otherwise(let(F.split(text, "\n"), without))
     more = {"n_lines": F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long"),
-            "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long")} if counts else {}
+            "n_dropped": F.coalesce(F.size(gone), F.lit(0)).cast("long")} if counts else {}
     more = {k: F.when(text.isNull(), F.lit(0).cast("long")).otherwise(F.greatest(v, F.lit(0).cast("long"))) for k, v in more.items()}
-    return joined.withColumns(more | {text_col: cleaned}).drop("_doc_key", "_key", "_dropped")
+    return joined.withColumns(more | {text_col: cleaned}).drop(doc, key, gone)
 
 
 OP8 = r"""

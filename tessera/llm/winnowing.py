@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, let, not_in, sliding
+from tessera.llm.common import cut, fresh, let, not_in, sliding
 
 SPAN = 13
 GRAM = 5
@@ -135,9 +135,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the contaminated ones."""
-    bad = contamination(docs, benchmark, id_col, text_col).filter("contaminated").select("k1", "k2").distinct()
+    """``docs`` without the contaminated ones; all columns stay as they are.
+    With an empty benchmark, or one without words, every document stays."""
+    a1, a2, b1, b2 = fresh(docs, "k1", "k2", "bad1", "bad2")
+    bad = contamination(docs, benchmark, id_col, text_col).filter("contaminated").select(F.col("k1").alias(b1), F.col("k2").alias(b2)).distinct()
     text = F.col(text_col).cast("string")
-    keyed = docs.withColumns({"_k1": F.xxhash64(id_col, text), "_k2": F.hash(text)})
-    bad = bad.select(F.col("k1").alias("_b1"), F.col("k2").alias("_b2"))
-    return keyed.join(bad, (F.col("_k1") == F.col("_b1")) & (F.col("_k2") == F.col("_b2")), "left_anti").drop("_k1", "_k2")
+    keyed = docs.withColumns({a1: F.xxhash64(id_col, text), a2: F.hash(text)})
+    return keyed.join(bad, (F.col(a1) == F.col(b1)) & (F.col(a2) == F.col(b2)), "left_anti").drop(a1, a2)
