@@ -5,7 +5,14 @@ inside one, outside. A tag's potential adds weights for the token's shape, the
 shapes of its two neighbours and a feature of the file (its share of
 assignment-like tokens), and a weight for each pair of successive tags. The
 weights maximise the conditional likelihood of windows around tokens that the
-base patterns tag, and of windows without any (forward-backward, seeded Adam).
+base patterns tag, of such windows with the base form hidden, and of windows without any (forward-backward, seeded Adam).
+
+A field fitted to the base patterns alone would only repeat them. So each tagged
+token also gives windows in which the pattern no longer matches: cue and value
+stand apart, with other words or signs between them, the cue is another word, the value
+is cut, mixed in case or has another prefix. Tags then have to come from the
+neighbours: a cue begins the secret, what links it to the value and the value are inside. Windows with
+a cue and no value, or a value-like token and no cue, are all outside.
 
 Decoding is exact Viterbi over whole texts. A token whose O potential exceeds
 the others by more than the transitions could ever give back is O on every
@@ -28,6 +35,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,9 +72,11 @@ SHAPES: list[tuple[str, re.Pattern]] = [
     ("caps_digits", re.compile(r"(?=.*\d)(?=.*[A-Z])[A-Z0-9]{12,}")),
     ("hex_long", re.compile(r"(?=.*\d)[0-9a-f]{20,}")),
     ("hex_mid", re.compile(r"(?=.*\d)(?=.*[a-f])[0-9a-f]{8,19}")),
-    ("prefixed", re.compile(r"[a-z]{2,4}_[A-Za-z0-9]{16,}")),
+    ("prefixed", re.compile(r"(?=.*\d)([a-z]{2,5}[_-]){1,3}[A-Za-z0-9-]{12,}")),
     ("mixed_long", re.compile(r"(?=.*\d)(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")),
     ("mixed_mid", re.compile(r"(?=.*\d)(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{6,15}")),
+    ("hint", re.compile(r"(?i)[\"']?(credentials?|passphrase|auth|authorization|private|access|key|pin|login)[\"']?[:=]?", re.ASCII)),
+    ("link", re.compile(r"is|was|set|to|value|equals|=|:|->|=>|:=")),
     ("mail", re.compile(r"[^@]+@[^@]+\.[a-z]+")),
     ("address", re.compile(r"(https?://|www\.).+|\d+\.\d+\.\d+\.\d+")),
     ("number", re.compile(r"[-+()0-9.,/:]+")),
@@ -82,8 +92,8 @@ FILE_BANDS = 3
 
 
 def shape(token: str) -> int:
-    core = token.strip(_EDGES) or token
-    if core.islower() and core.isalpha() and not _CUE.search(core):
+    core = token.strip(_EDGES) or token  # a token of edge signs alone stands for itself
+    if core.islower() and core.isalpha() and core not in _LINKS and core not in _HINTS and not _CUE.search(core):
         return _LOWER
     for n, (_, pattern) in enumerate(SHAPES):
         if pattern.fullmatch(core):
@@ -92,6 +102,8 @@ def shape(token: str) -> int:
 
 
 _LOWER = [name for name, _ in SHAPES].index("lower")
+_LINKS = frozenset("is was set to value equals".split())
+_HINTS = frozenset("credential credentials passphrase auth authorization private access key pin login".split())
 _FILE_SHAPES = np.array([n < 9 for n in range(N_SHAPES)])
 
 
@@ -202,6 +214,41 @@ def _tags(text: str) -> tuple[list[str], list[int]]:
     return tokens, tags
 
 
+#: How the base form is hidden: cue words, what links cue and value, what the value becomes.
+CUES = ("credential", "password", "secret", "token", "api_key", "passphrase", "auth key", "private key", "access token", "login")
+LINKS = ("is", "", ":\n", "->", "value", "was set to", "=\n", "equals")
+PREFIXES = ("sk_live_", "xoxb-", "ghp_", "key-", "pat_")
+
+
+def _mixed(value: str) -> str:
+    """Letters in either case, digits among them."""
+    return "".join(c.upper() if i % 3 == 0 else c for i, c in enumerate(value)) + "7" * (not any(c.isdigit() for c in value))
+
+
+def hidden_forms(value: str, turn: int) -> list[tuple[str, bool]]:
+    """(text, whether it is a secret): forms of ``value`` that no base pattern matches, by turn."""
+    core = re.sub("[^A-Za-z0-9]", "", value) or "x7"
+    core = (core * (1 + 40 // len(core)))[:40]
+    short = ("k" + _mixed(core).lower()[:5 + turn % 11]) + "3"
+    values = (_mixed(core)[: 10 + turn % 24], core.lower()[: 12 + turn % 11], short, PREFIXES[turn % len(PREFIXES)] + _mixed(core)[: 16 + turn % 9])
+    at = lambda way, n: way[(turn // n) % len(way)]
+    alone = ("ASIA" + _mixed(core).upper()[:16], PREFIXES[(turn // 3) % len(PREFIXES)] + _mixed(core)[: 20 + turn % 9])[turn % 2]
+    return [*[(" ".join(x for x in (CUES[(turn + 3 * k) % len(CUES)], LINKS[(turn // 2 + k) % len(LINKS)], v) if x), True) for k, v in enumerate(values)],
+            (alone, True), (f"{at(CUES, 2)} {at(LINKS, 3)}".strip(), False), (short, False), (f"{at(CUES, 5)}s and {at(CUES, 3)}", False)]
+
+
+def _hidden(tokens: list[str], k: int, turn: int) -> Iterator[tuple[list[str], list[int]]]:
+    """Windows around token k, of a base span, with it replaced by each hidden form."""
+    value = max(re.findall(r"[A-Za-z0-9+/_.=-]+", tokens[k] + " " + " ".join(tokens[k + 1 : k + 3])), key=len)
+    end = k + 1
+    while end < len(tokens) and end < k + 4 and (tokens[end] in ("=", ":") or base_spans(" ".join(tokens[k : end + 1])) and value in tokens[end]):
+        end += 1
+    before, after = tokens[max(0, k - REACH) : k], tokens[end : end + REACH]
+    for text, secret in hidden_forms(value, turn):
+        own = text.split()
+        yield before + own + after, [O] * len(before) + ([B] + [I] * (len(own) - 1) if secret else [O] * len(own)) + [O] * len(after)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Shapes()
     for batch in batches:
@@ -218,6 +265,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lo, hi = max(0, k - REACH), min(len(tokens), k + REACH + 1)
                 out.append((batch.column(0)[i].as_py(), n, band, any(t != O for t in tags[lo:hi]),
                             padded[lo : hi + 2].tolist(), tags[lo:hi]))
+                if tags[k] != B:
+                    continue
+                for form, (own, marked) in enumerate(_hidden(tokens, k, zlib.crc32(f"{batch.column(0)[i].as_py()}:{n}".encode()))):
+                    seen = [known[t] for t in own]
+                    out.append((batch.column(0)[i].as_py(), MAX_MARKS * (form + 1) + n, band, any(t != O for t in marked), [EDGE, *seen, EDGE], marked))
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         yield pa.record_batch([pa.array([r[j] for r in out], kinds[j]) for j in range(6)],
                               names=["id", "n", "band", "has", "shapes", "tags"])
@@ -284,6 +336,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fiel
         _windows, "id long, n int, band int, has boolean, shapes array<long>, tags array<long>")
     windows = cut(windows, "windows")
     order = (F.xxhash64("id", "n"), "id", "n", "shapes")
+    # Both kinds in the order of a hash, base and hidden forms alike.
     some, none = (windows.filter(c).orderBy(*order).limit(MAX_WINDOWS).collect() for c in (F.col("has"), ~F.col("has")))
     half = MAX_WINDOWS // 2
     got = some[: max(half, MAX_WINDOWS - len(none))] + none[: max(half, MAX_WINDOWS - len(some))]

@@ -79,6 +79,23 @@ def test_near_duplicates_defined_cases(docs):
     assert kept.columns == docs([]).columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 7, 8, 9]
 
 
+def test_stages_keep_columns_whatever_their_names(spark):
+    names = ["_lang", "_key", "_id", "_b1", "_k1", "_hash", "_doc_key", "_dropped", "_row_hash", "found", "k1", "k2", "bad1", "own_id", "text_key", "row", "gone", "drop_key"]
+    text = " ".join(f"w{i} and" for i in range(40))
+    rows = [(i, text if i % 2 else f"{text} {i} other words", "en", *[f"{i}.{n}" for n in names]) for i in range(12)] + [(3, text, "en", *["twin" for _ in names])]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", "lang string", *[f"{n} string" for n in names]]))
+    bench = spark.createDataFrame([(1, " ".join(f"z{i}" for i in range(30)))], "item_id long, text string")
+    own = {tuple(r) for r in docs.drop("text").collect()}
+    for out in (language_codes.drop_undetermined(docs), line_templates.drop_recurring_templates(docs), near_dedup.drop_near_duplicates(docs),
+                winnowing.drop_contaminated(docs, bench)):
+        assert out.columns == docs.columns
+        got = [tuple(r) for r in out.drop("text").collect()]
+        assert got and set(got) <= own
+    once = [sorted(map(tuple, near_dedup.drop_near_duplicates(docs.repartition(n)).collect())) for n in (1, 5)]
+    assert once[0] == once[1] and len({r[0] for r in once[0]}) == len(once[0])
+    assert winnowing.drop_contaminated(docs, bench.filter("false")).count() == 13
+
+
 def test_language_codes(docs):
     rng = random.Random(1)
     sounds = {"aa": "bado kemu".split(), "bb": "xyz qwrt".split(), "cc": "ñolé çure".split()}
@@ -119,6 +136,20 @@ def test_hash_tree(docs):
     assert hash_tree.assign_shards(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 7, 39, 41, 44])
+def test_one_more_shard_takes_rows_only_into_itself(docs, n):
+    rows = [(i, "x") for i in range(1500)]
+    now = {r["doc_id"]: r for r in hash_tree.assign_shards(docs(rows), n).collect()}
+    more = {r["doc_id"]: r["shard"] for r in hash_tree.assign_shards(docs(rows), n + 1).collect()}
+    assert all(more[i] == r["grown_shard"] and more[i] in (r["shard"], n) for i, r in now.items())
+    assert all((r["region"], r["rack"]) == (r["shard"] // 8, r["shard"] // 4) for r in now.values())
+    moved = sum(more[i] == n for i in now)
+    assert abs(moved - 1500 / (n + 1)) < 5 * (1500 / (n + 1)) ** 0.5 + 5
+    if n == 41:  # a subtree's weight grows: rows move into it alone
+        heavy = {r["doc_id"]: r["shard"] for r in hash_tree.assign_shards(docs(rows), n, weights=[1.0] * 20 + [4.0] + [1.0] * 20).collect()}
+        assert {s for i, s in heavy.items() if s != now[i]["shard"]} == {20}
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "é<p>\r\n\r\nWARC/1.1\r\n" * 4000
     rows = [(3, "u3", big), (1, "u\r\n1", "same"), (2, "u2", "same"), (2, "u2", "same"), (1, "u\r\n1", "same"), (None, None, None), (9, "u9", ""), (None, "x", "only")]
@@ -265,6 +296,35 @@ def test_secret_crf(docs):
     assert secret_crf.scan(docs([])).count() == 0
 
 
+def test_secret_crf_finds_what_the_base_patterns_miss(spark):
+    learn = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 2 = 0")
+    field = secret_crf.fit(learn)
+    clean = [t for (t,) in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 2 = 1").select("text").collect() if t]
+    known = secret_crf._Shapes()
+    rng = random.Random(3)
+    letters = "abcdefghijkmnpqrstuvwxyz"
+    some = lambda chars, n: "".join(rng.choice(chars) for _ in range(n - 1)) + rng.choice("23456789")
+    plants = []
+    for _ in range(25):
+        mixed = some(letters + letters.upper() + "23456789", rng.randrange(12, 30))
+        plants += [("credential is ", mixed), ("api token ", f"xoxb-{some('0123456789', 8)}-{some(letters, 12)}"), ("secret value ", some("0123456789abcdef", 20)),
+                   ("password is ", f"{some(letters, 7)}{some(letters, 7)}"), ("", "sk_live_" + some(letters + letters.upper() + "2345", 24)),
+                   ("", "ASIA" + some("ABCDEFGHJKLMNP23456789", 16)), ("token :\n", some(letters, 12)), ("the passphrase was set to ", mixed)]
+    caught = 0
+    for cue, value in plants:
+        words = clean[rng.randrange(len(clean))].split()[:60]
+        at = rng.randrange(len(words) + 1)
+        text = " ".join(words[:at]) + f" {cue}{value} " + " ".join(words[at:])
+        lo = text.index(value)
+        assert not any(s < lo + len(value) and lo < e for s, _, e in secret_crf.base_spans(text))
+        caught += any(k == 3 and s <= lo and e >= lo + len(value) - 1 for s, k, e in field.spans(text, known))
+    assert caught >= 0.9 * len(plants), caught / len(plants)
+    extra = [text[s:e] for text in clean for s, k, e in field.spans(text, known) if k == 3]
+    assert not extra, extra[:10]
+    for text in ("the password is required here", "each token counts as one word", "a key to success was set to music", "version 2.0 of model7b has 12 layers", "the secret garden is open"):
+        assert not field.spans(text, known), text
+
+
 def test_crf_decoding_in_runs_equals_plain_viterbi():
     import numpy as np
 

@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert {"op5_winnowing_decontamination", "op8_line_templates"} <= set(oracle_sql())
 
 
