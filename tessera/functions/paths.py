@@ -100,16 +100,22 @@ def band_files(paths: str | Column) -> Column:
 
 
 def band_file_rows(df: DataFrame, paths_col: str = "paths", keep: list[str] | None = None) -> DataFrame:
-    """One row per (patch, band): band name, sensor group and file path."""
+    """One row per (patch, band): band name, sensor group and file path. The
+    string is split once and each directory's last name taken once; its files are
+    that directory, name and band put together, as in :func:`band_file`."""
     keep = keep or []
-    entries = ([F.struct(F.lit("s1").alias("sensor"), F.lit(b).alias("band"),
-                         F.get(F.col("_f.s1"), i).alias("path")) for i, b in enumerate(S1_BANDS)]
-               + [F.struct(F.lit("s2").alias("sensor"), F.lit(b).alias("band"),
-                           F.get(F.col("_f.s2"), i).alias("path")) for i, b in enumerate(S2_BANDS)]
-               + [F.struct(F.lit("label").alias("sensor"), F.lit(LABEL_BAND).alias("band"),
-                           F.get(F.col("_f.label"), 0).alias("path"))])
-    return (df.select(*keep, band_files(paths_col).alias("_f"))
-            .select(*keep, F.inline(F.array(*entries))))
+    groups = (("s1", S1_BANDS), ("s2", S2_BANDS), ("label", [LABEL_BAND]))
+    split = df.select(*keep, split_paths_string(paths_col).alias("_d"))
+    named = split.select(*keep, *[F.col(f"_d.{g}").alias(f"_{g}") for g, _ in groups],
+                         *[F.regexp_extract(F.col(f"_d.{g}"), LAST_DIR_REGEX, 1).alias(f"_{g}_last") for g, _ in groups])
+
+    def path(g: str, band: str) -> Column:
+        d, last = F.col(f"_{g}"), F.col(f"_{g}_last")
+        tail = BAND_FILE_TEMPLATE.format(band=band).split("/$1", 1)[1]
+        return F.when(last != "", F.concat(d, last, F.lit(tail))).when(d.endswith("/"), d)
+
+    entries = [F.struct(F.lit(g).alias("sensor"), F.lit(b).alias("band"), path(g, b).alias("path")) for g, bands in groups for b in bands]
+    return named.select(*keep, F.inline(F.array(*entries)))
 
 
 def is_s2_band_file(path: str | Column, pattern: str = S2_BAND_FILE_REGEX) -> Column:
