@@ -63,9 +63,10 @@ def _letters() -> np.ndarray:
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket of every n-gram, text it is from, letters of each text)."""
-    lows = [t.lower() for t in texts]
-    lens = np.fromiter(map(len, lows), np.int64, len(lows)) + 1
-    cp = np.frombuffer((" ".join(lows) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    # Blanks around each text: no n-gram reaches into a neighbour, whatever texts share a chunk.
+    lows = [f" {t.lower()}  " for t in texts]
+    lens = np.fromiter(map(len, lows), np.int64, len(lows))
+    cp = np.frombuffer("".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[cp]
     owner = np.repeat(np.arange(len(lows), dtype=np.int32), lens)
     c = np.where(letter, cp, np.uint32(32))
