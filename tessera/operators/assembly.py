@@ -87,19 +87,23 @@ def _one_row(key: str, band_col: str, value_col: str, bands: Sequence[str], keep
 
 def assemble(tiles: DataFrame, value_col: str, bands: Sequence[str], names: Sequence[str] | None = None,
              key: str = "patch_id", band_col: str = "band", tie: str | Column | None = None,
-             keep: Sequence[str] = (), reduce_copies: bool = True) -> DataFrame:
+             keep: Sequence[str] = (), reduce_copies: bool = True, partitions: int | None = None) -> DataFrame:
     """One row per patch: key, ``keep`` (one value a patch), a column per band
     (``names``) with that band's value or NULL, and ``n_copies``: rows with a
     value beyond the first of their band. Of copies the one with the smallest
     ``tie`` stays (default: the smallest value), whatever the order of rows.
     A patch whose rows have no value keeps its row. ``reduce_copies=False``
-    leaves out the pass before the exchange, for tables known to have few copies."""
+    leaves out the pass before the exchange, for tables known to have few copies.
+    ``partitions`` fixes the width of the exchange: small bands that become many
+    pixels are then not coalesced into few tasks by their bytes."""
     names = list(names or bands)
     value = F.when(F.col(band_col).isin(list(bands)), F.col(value_col))
     order = [] if tie is None else [(F.col(tie) if isinstance(tie, str) else tie).alias(TIE)]
     rows = tiles.select(key, *keep, band_col, value.alias(value_col), *order, F.lit(1).cast("long").alias(COPIES))
     if reduce_copies:
         rows = rows.mapInArrow(_first_copies(key, band_col, value_col), rows.schema)
+    if partitions:
+        rows = rows.repartition(partitions, key)
     field = rows.schema[value_col].dataType
     schema = T.StructType([rows.schema[c] for c in (key, *keep)] + [T.StructField(n, field) for n in names] + [T.StructField("n_copies", T.LongType())])
     return rows.groupBy(key).applyInArrow(_one_row(key, band_col, value_col, list(bands), list(keep), names), schema)

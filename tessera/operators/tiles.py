@@ -25,6 +25,13 @@ PIXEL_FIELD = {"VV": "VV", "VH": "VH", **S2_SHORT, LABEL_BAND: "label"}
 DEFAULT_BANDS = S1_BANDS + S2_BANDS + [LABEL_BAND]
 
 
+def patch_partitions(df: DataFrame) -> int:
+    """Width of an exchange whose rows become pixels: no fewer partitions than
+    shuffles have, and three for each core."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 3 * spark.sparkContext.defaultParallelism)
+
+
 def repartition_by_patch(df: DataFrame, n: int | None = None, key: str = "patch_id") -> DataFrame:
     """Hash-partition on the patch key (one exchange) so later per-patch
     work is co-located; default 3 x the default parallelism."""
@@ -34,7 +41,7 @@ def repartition_by_patch(df: DataFrame, n: int | None = None, key: str = "patch_
 
 def pivot_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band",
                 pixels_col: str = "pixels", bands: Sequence[str] = DEFAULT_BANDS,
-                keep: Sequence[str] = (), reduce_copies: bool = True) -> DataFrame:
+                keep: Sequence[str] = (), reduce_copies: bool = True, partitions: int | None = None) -> DataFrame:
     """Long band tiles (one row per patch x band) -> one row per patch with
     the FX5 arrays: VV, VH as array<double>; B, G, R, NIR, label as
     array<bigint>. A band that is absent stays NULL.
@@ -45,7 +52,7 @@ def pivot_bands(tiles: DataFrame, key: str = "patch_id", band_col: str = "band",
     before the exchange, for tables known to have few copies.
     """
     wide = assemble(tiles, pixels_col, bands, [f"_b{i}" for i in range(len(bands))], key=key, band_col=band_col, keep=keep,
-                    reduce_copies=reduce_copies)
+                    reduce_copies=reduce_copies, partitions=partitions)
     cols = []
     for i, band in enumerate(bands):
         target = T.ArrayType(T.DoubleType()) if band in S1_BANDS else T.ArrayType(T.LongType())

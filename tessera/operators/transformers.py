@@ -61,8 +61,8 @@ class PixelExtractor(_Base):
         wanted = tiles.join(dataset.select(key, *keep), key, "left_semi") if not keep else \
             tiles.join(dataset.select(key, *keep), key, "inner")
         if "raster" in tiles.columns:  # typed tiles stay typed
-            return RA.assemble_rasters(wanted, key=key, keep=keep)
-        return TL.pivot_bands(wanted, key=key, keep=keep)
+            return RA.assemble_rasters(wanted, key=key, keep=keep, partitions=TL.patch_partitions(tiles))
+        return TL.pivot_bands(wanted, key=key, keep=keep, partitions=TL.patch_partitions(tiles))
 
     def write(self):
         if self._tiles is not None and not self.isDefined("tilesPath"):

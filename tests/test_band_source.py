@@ -135,6 +135,8 @@ def test_assembly_plan_and_copies(spark):
     assert got["p"]["VV"] == [0.0] * 4 and got["p"]["B03"] is None and got["p"]["n_copies"] == 30 and got["q"]["VV"] is None and got["q"]["n_copies"] == 0
     plan = pivot_bands(tiles)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    fixed = pivot_bands(tiles, partitions=7)
+    assert fixed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1 and fixed.rdd.getNumPartitions() == 7
     for n in (1, 3):
         last = assemble(tiles.repartition(n), "pixels", ["VV", "VH", "B02", "B03"], tie=-F.col("copy"), reduce_copies=n == 1)
         assert {r["patch_id"]: (r["VV"], r["n_copies"]) for r in last.collect()}["p"] == ([9.0] * 4, 30)
