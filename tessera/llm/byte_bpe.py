@@ -45,8 +45,8 @@ LATIN = {
 # that one call of it may produce, pieces remembered by a task, and the memory of its DuckDB.
 CHUNK_CHARS = 1_000_000
 WORDS_AT_ONCE = 20_000
-ROWS_AT_ONCE = 1_000_000
-REMEMBERED = 100_000
+ROWS_AT_ONCE = 3_000_000
+REMEMBERED = 400_000
 DUCKDB_MEMORY = "150MB"
 
 _STEPS = """
@@ -202,7 +202,7 @@ class BytePairs:
             rows = out.filter(more).select(["word", "pos", "tok"])
         return pa.concat_tables(done)
 
-    def _finish(self, words: list[bytes], final: pa.Table, into: dict) -> None:
+    def _finish(self, words: list[bytes], final: pa.Table, into: dict[bytes, bytes]) -> None:
         self.db.register("final", final)
         out = self.db.sql(_COLLECT).to_arrow_table()
         self.db.unregister("final")
@@ -214,11 +214,11 @@ class BytePairs:
             word, decoded = words[at], bytes.fromhex(hexes[n])
             if decoded != word:
                 raise ValueError(f"ids of {word!r} decode to {decoded!r}")
-            into[word] = (packed[ends[n] : ends[n + 1]], decoded)
+            into[word] = packed[ends[n] : ends[n + 1]]
 
-    def encode(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """piece -> (its ids as little-endian int32, the bytes they decode to)."""
-        found: dict[bytes, tuple[bytes, bytes]] = {}
+    def encode(self, pieces: list[str]) -> dict[str, bytes]:
+        """piece -> its ids as little-endian int32, which decode to the piece's bytes."""
+        found: dict[bytes, bytes] = {}
         whole, short, long = [], [], []
         for piece in pieces:
             raw = piece.encode()
@@ -254,7 +254,7 @@ def _encoder(path: str, pattern: str):
 
     def encoded(bpe: BytePairs, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = bpe.split
-        known: dict[str, tuple[bytes, bytes]] = {}
+        known: dict[str, bytes] = {}
         for batch in batches:
             at = 0
             while at < batch.num_rows:
@@ -269,9 +269,9 @@ def _encoder(path: str, pattern: str):
                 known |= bpe.encode(list(set().union(*pieces) - known.keys()))
                 ids, decoded, lens = [], [], []
                 for doc in pieces:
-                    both = [known[p] for p in doc]
-                    ids.append(b"".join([x[0] for x in both]))
-                    decoded.append(b"".join([x[1] for x in both]))
+                    ids.append(b"".join([known[p] for p in doc]))
+                    # Each piece's ids were decoded and are its bytes, no more and no less.
+                    decoded.append("".join(doc).encode())
                     lens.append(len(ids[-1]) // 4)
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32))
