@@ -15,7 +15,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroupsInPandas",
-            "PythonMapInArrow")
+            "PythonMapInArrow", "FlatMapGroupsInArrow")
 
 
 def summarize(plan: str) -> dict:
@@ -35,20 +35,20 @@ def summarize(plan: str) -> dict:
 
 
 def main() -> None:
-    from __spark_entry__ import queries
+    from tessera.plans.queries import QUERIES
     from tessera.session import local_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan
-    skip = {"rf_pipeline"}  # fits a model while being built; its plan is the forest's predict
+    skip = {"rf_pipeline", "forest_checked"}  # fit a model while being built; the plan is the forest's predict
     print("# Physical plans of the registered queries\n")
     print("Generated by `tools/plan_report.py` (static plans, AQE off; at run time AQE may coalesce")
     print("partitions or turn a shuffle join into a broadcast). `shuffles` counts hash/range exchanges;")
     print("`single` counts exchanges to one partition; `python` lists Python evaluation nodes.\n")
     print("| query | shuffles (keys) | broadcasts | single | python | codegen stages | scans (ReadSchema) |")
     print("|---|---|---|---|---|---|---|")
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         if name in skip:
             continue
         plan = q(spark, sf)._jdf.queryExecution().executedPlan().toString()
