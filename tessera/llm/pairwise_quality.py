@@ -3,15 +3,22 @@
 A document's strength is a linear function of text features; the chance that
 one document is preferred to another is the logistic function of the
 difference of their strengths. Preference pairs set a training document of
-quality 1 against one of quality 0; the weights minimise the mean logistic
-loss of the feature differences plus a small ridge (Newton steps). Documents
-are then accepted by a quantile of the training strengths, the share of
-quality 0: the score is a logistic scale on which that quantile is
-``ACCEPT``.
+quality 1 against one of quality 0, every one against every other; the weights
+minimise the mean logistic loss of the feature differences plus a small ridge
+(Newton steps). Documents are then accepted by a quantile of the training
+strengths, the share of quality 0: the score is a logistic scale on which that
+quantile is ``ACCEPT``.
 
-Training uses at most ``MAX_LABELLED`` labelled rows (least id hashes) and
-``MAX_PAIRS`` pairs, so the fit is bounded; features and scores of all
-documents are computed in tasks, one pass without a shuffle.
+Training uses all labelled rows and all pairs. Their features are written once
+as a narrow table; each Newton step is one pass over it. The loss of a pair
+depends on its two strengths by a smooth function alone, so a row is spread
+over ``NODES`` Chebyshev nodes of the unit interval that its strength is in,
+with interpolation weights, and tasks add up these weights times 1, features
+and products of features. Sums over all pairs of rows are then sums over pairs
+of nodes, alike to about 1e-10 of their size. The driver holds sums per node, never rows.
+The quantile is exact: each pass counts bins and keeps the one with the rank
+asked for. Features and scores of all documents are computed in tasks, without
+shuffling a text.
 
 Defined cases: NULL and empty texts have zero features and get a score like any
 other; labels that are NULL, repeated for an id with different values, or held
@@ -21,20 +28,28 @@ give a row each; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import doc_hash
+from tessera.llm.common import cut, doc_hash, remove
 
-MAX_LABELLED = 20_000
-MAX_PAIRS = 100_000
+MAX_PAIRS = 100_000  # of fit_pairs alone
 RIDGE = 1e-3
 STEPS = 25
+MAX_PASSES = 200
+SMALL_STEP = 1e-6  # what then remains is about its square
+NODES = 10
+BLOCK = 1_000_000
+BINS = 1000
 ACCEPT = 0.3
 FOLDS, HELD_OUT = 5, 0
 SYMBOLS = "#*$%&|<>!"
@@ -88,7 +103,8 @@ class Model:
 
 
 def fit_pairs(x: np.ndarray, quality: np.ndarray, seed: int = 3) -> Model:
-    """Bradley-Terry weights of rows ``x`` from pairs of quality 1 against 0."""
+    """Bradley-Terry weights of rows ``x`` at hand, from at most ``MAX_PAIRS`` drawn
+    pairs of quality 1 against 0. :func:`fit` is the fit to all pairs."""
     mean, scale = (x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)) if len(x) else (np.zeros(len(NAMES)), np.ones(len(NAMES)))
     z = (x - mean) / scale
     good, bad = z[quality == 1], z[quality == 0]
@@ -117,16 +133,123 @@ def text_features(texts: pd.Series) -> pd.Series:
     return texts.map(features)
 
 
+def spread(strengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit interval of each strength, and weights of its nodes: for a smooth
+    f the weighted sum of f over the nodes is f(strength)."""
+    interval = np.floor(strengths)
+    basis = np.polynomial.chebyshev.chebvander(2 * (strengths - interval) - 1, NODES - 1)
+    at_nodes = np.polynomial.chebyshev.chebvander(np.polynomial.chebyshev.chebpts1(NODES), NODES - 1)
+    at_nodes[:, 0] /= 2
+    return interval.astype(np.int64), basis @ at_nodes.T * (2 / NODES)
+
+
+def _node_sums(mean: np.ndarray, scale: np.ndarray, weights: np.ndarray):
+    """Per quality, interval and node: sums of node weights times 1, z and the upper half of zz'."""
+    above = np.triu_indices(len(mean))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            z = (batch.column(1).flatten().to_numpy().reshape(-1, len(mean)) - mean) / scale
+            quality = batch.column(0).to_numpy()
+            interval, shares = spread(z @ weights)
+            values = np.hstack([np.ones((len(z), 1)), z, z[:, above[0]] * z[:, above[1]]])
+            for q, i in {*zip(quality.tolist(), interval.tolist())}:
+                rows = (quality == q) & (interval == i)
+                sums[q, i] = sums.get((q, i), 0) + shares[rows].T @ values[rows]
+        keys = [(q, i, k) for q, i in sums for k in range(NODES)]
+        for part in range(0, len(keys), BLOCK // 100):
+            some = keys[part : part + BLOCK // 100]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key[0] for key in some], pa.int32()), pa.array([key[1] for key in some], pa.int64()), pa.array([key[2] for key in some], pa.int32()),
+                 pa.array([sums[q, i][k] for q, i, k in some], pa.list_(pa.float64()))], names=["quality", "interval", "node", "v"])
+
+    return run
+
+
+def _newton_step(good: tuple[np.ndarray, np.ndarray], bad: tuple[np.ndarray, np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """Newton step of the mean loss over all pairs, from places and sums of the nodes of either quality."""
+    d = len(weights)
+    above = np.triu_indices(d)
+
+    def matrix(upper: np.ndarray) -> np.ndarray:
+        m = np.zeros((d, d))
+        m[above] = upper
+        return m + np.triu(m, 1).T
+
+    (at_good, of_good), (at_bad, of_bad) = good, bad
+    pairs = of_good[:, 0].sum() * of_bad[:, 0].sum()
+    gradient, curvature = RIDGE * weights, RIDGE * np.eye(d)
+    size = max(1, BLOCK // len(at_bad))
+    for part in range(0, len(at_good), size):
+        g = of_good[part : part + size]
+        p = 1 / (1 + np.exp(-np.clip(at_good[part : part + size, None] - at_bad, -40, 40)))
+        slope, bend = p - 1, p * (1 - p)
+        gradient += (g[:, 1 : d + 1].T @ (slope @ of_bad[:, 0]) - of_bad[:, 1 : d + 1].T @ (slope.T @ g[:, 0])) / pairs
+        cross = g[:, 1 : d + 1].T @ bend @ of_bad[:, 1 : d + 1]
+        curvature += (matrix(g[:, d + 1 :].T @ (bend @ of_bad[:, 0])) + matrix(of_bad[:, d + 1 :].T @ (bend.T @ g[:, 0])) - cross - cross.T) / pairs
+    return np.linalg.solve(curvature, gradient)
+
+
+def order_statistic(values: DataFrame, rank: int) -> float:
+    """The value of this rank, from 0, in the column ``s``, which has no NULL."""
+    lo, hi = values.agg(F.min("s"), F.max("s")).first()
+    while lo < hi:
+        place = F.least(F.floor((F.col("s") - lo) / (hi - lo) * BINS), F.lit(BINS - 1))
+        counted = values.filter(F.col("s").between(lo, hi)).groupBy(place.alias("place")).agg(F.count("s").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"))
+        for r in sorted(counted.collect()):
+            if rank < r["n"]:
+                lo, hi = r["lo"], r["hi"]
+                break
+            rank -= r["n"]
+    return lo
+
+
+def quantile(values: DataFrame, n: int, share: float) -> float:
+    """Quantile of the ``n`` values in ``s``, between ranks by straight line."""
+    rank, part = divmod(share * (n - 1), 1)
+    low = order_statistic(values, int(rank))
+    upto, high = values.agg(F.count_if(F.col("s") <= low), F.min(F.when(F.col("s") > low, F.col("s")))).first()
+    return low + part * (high - low) if part and upto < rank + 2 else low
+
+
+def fit_table(rows: DataFrame) -> Model:
+    """Model of all rows of a table (quality 0 or 1, x), all pairs counted."""
+    d = len(NAMES)
+    got = rows.agg(F.count("x"), F.sum("quality"), *[f(F.col("x")[k]) for f in (F.avg, F.stddev_pop) for k in range(d)]).first()
+    n, n_good = got[0], got[1] or 0
+    # Rounded, so that the order in which tasks add does not show.
+    mean, scale = (np.round(got[2 : d + 2], 9), np.maximum(np.round(got[d + 2 :], 9), 1e-6)) if n else (np.zeros(d), np.ones(d))
+    weights = np.zeros(d)
+    if not 0 < n_good < n:
+        return Model(weights, mean, scale, 0.0, 1.0)
+    nodes = (np.polynomial.chebyshev.chebpts1(NODES) + 1) / 2
+    for done in range(MAX_PASSES):
+        parts = rows.select("quality", "x").mapInArrow(_node_sums(mean, scale, weights), "quality int, interval long, node int, v array<double>")
+        sums = parts.groupBy("quality", "interval", "node").agg(*[F.sum(F.col("v")[k]) for k in range(1 + d + d * (d + 1) // 2)]).toPandas().to_numpy(float)
+        good, bad = ((of[:, 1] + nodes[of[:, 2].astype(int)], of[:, 3:]) for of in (sums[sums[:, 0] == 1], sums[sums[:, 0] == 0]))
+        step = _newton_step(good, bad, weights)
+        weights = weights - step / max(1.0, np.abs(step).max() * max(1.0, done / STEPS))
+        if np.abs(step).max() < SMALL_STEP:
+            break
+    else:
+        raise RuntimeError(f"the weights still move after {MAX_PASSES} Newton steps")
+    weights = np.round(weights, 8)
+    s = rows.select(reduce(add, [(F.col("x")[k] - float(mean[k])) / float(scale[k]) * float(weights[k]) for k in range(d)]).alias("s"))
+    return Model(weights, mean, scale, quantile(s, n, (n - n_good) / n), 1.0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     known = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"))
              .filter(F.col("quality").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
-             .groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
-             .orderBy(F.xxhash64("id"), "id").limit(MAX_LABELLED).select("id", "quality"))
-    # At most MAX_LABELLED rows of two numbers.
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id")
-    got = rows.select("id", "quality", text_features(F.coalesce("text", F.lit(""))).alias("x")).orderBy("id", "x").limit(2 * MAX_LABELLED).collect()
-    x = np.array([r["x"] for r in got]).reshape(-1, len(NAMES))
-    return fit_pairs(x, np.array([r["quality"] for r in got]))
+             .groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most").select("id", "quality"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.col("id").isNotNull() & ~held_out("id"))
+    # Features before the join: it then moves 12 numbers a row, never a text.
+    table = cut(rows.select("id", text_features(F.coalesce("text", F.lit(""))).alias("x")).join(known, "id").select("quality", "x"), "quality_features")
+    try:
+        return fit_table(table)
+    finally:
+        remove(table)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,11 +2,13 @@
 
 import math
 import unicodedata
+import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import language_codes, pairwise_quality, quality_rules
 from tests.llm.conftest import EDGE_ROWS
@@ -108,6 +110,53 @@ def test_pairwise_scores_are_at_the_likelihoods_optimum():
     assert ((scores >= pairwise_quality.ACCEPT) == (z @ model.weights >= cut)).mean() > 0.99
 
 
+def all_pairs_weights(z, quality):
+    d = (z[quality == 1][:, None] - z[quality == 0][None]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(d @ w)))
+        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + pairwise_quality.RIDGE * np.eye(len(w)), d.T @ (p - 1) / len(d) + pairwise_quality.RIDGE * w)
+        w -= step / max(1.0, np.abs(step).max())
+    return w
+
+
+@pytest.mark.parametrize("apart", [1, 30])
+def test_pairwise_fit_counts_every_pair(spark, apart):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, len(pairwise_quality.NAMES)))
+    quality = (x[:, 0] - 0.5 * x[:, 3] + rng.normal(size=300) / apart > 0.4).astype(int)
+    x[:, 5] *= 100
+    x[7, 6] = 1000.0  # a strength far from all others
+    rows = spark.createDataFrame([(int(q), r.tolist()) for q, r in zip(quality, x)], "quality int, x array<double>").repartition(5)
+    model = pairwise_quality.fit_table(rows)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    w = all_pairs_weights(z, quality)
+    assert np.allclose(model.weights, w, atol=1e-6)
+    assert math.isclose(model.cut, np.quantile(z @ w, (quality == 0).mean()), abs_tol=1e-5)
+
+
+def test_pairwise_fit_uses_every_labelled_row(spark):
+    n = 30_000  # more labelled rows than any earlier limit took
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("concat('a', repeat(' b1', cast(id % 7 as int)), repeat(' #', cast(id % 5 as int)))").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("cast(id % 7 + id * 7919 % 4 > 4 as int)").alias("quality"))
+    model = pairwise_quality.fit(docs, labels)
+    rows = [(i, "a" + " b1" * (i % 7) + " #" * (i % 5), int(i % 7 + i * 7919 % 4 > 4)) for i in range(n) if zlib.crc32(str(i).encode()) % 5]
+    of = {t: pairwise_quality.features(t) for t in {t for _, t, _ in rows}}
+    x = np.array([of[t] for _, t, _ in rows])
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-8) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-6), atol=1e-8)
+    bad = sum(q == 0 for *_, q in rows) / len(rows)
+    assert math.isclose(model.cut, np.quantile((x - model.mean) / model.scale @ model.weights, bad), abs_tol=1e-6)
+
+
+def test_order_statistics_are_exact(spark):
+    rng = np.random.default_rng(6)
+    for values in (np.concatenate([rng.normal(size=900), [1e9, -1e9], np.full(300, 0.25)]), np.full(7, -2.5), rng.normal(size=2)):
+        df = spark.createDataFrame([(float(v),) for v in values], "s double")
+        for rank in {0, len(values) // 2, len(values) - 1}:
+            assert pairwise_quality.order_statistic(df, rank) == np.sort(values)[rank]
+        assert math.isclose(pairwise_quality.quantile(df, len(values), 0.3), np.quantile(values, 0.3))
+
+
 @pytest.mark.parametrize("benchmark_rows", [0, 2])
 def test_pipeline_defined_cases(spark, tmp_path, benchmark_rows):
     passage = " ".join(f"bench{i} word" for i in range(40))
