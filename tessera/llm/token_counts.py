@@ -4,13 +4,16 @@ return lengths only.
 Spark deals out the documents. A task loads the tokenizer once and encodes
 parts of its texts in batches of about ``BATCH_BYTES``: short texts share a
 batch, a text of over ``PART_BYTES`` is cut into parts first, so a batch never
-grows with a text. Ids are never turned into Python lists nor sent to Spark;
-a document's count is the sum over its parts.
+grows with a text. Parts are cut further at white space, where that is safe,
+and a batch encodes every different unit once; the counts of units up to
+``SHORT`` characters are remembered for the next batches, up to ``REMEMBERED``
+of them. Ids are never turned into Python lists nor sent to Spark; a
+document's count is the sum over its units.
 
 A cut is safe where the tokenizer's own split pattern always ends a piece.
 With the byte-level pattern no piece holds white space after another
-character, nor a letter beside a digit, so a cut before a space or line end
-that follows other text, or between an ASCII letter and an ASCII digit,
+character, nor a letter beside a digit, so a cut before ASCII white space that
+follows other text, or between an ASCII letter and an ASCII digit,
 changes no piece on either side; nor does one between a Han or kana letter
 and the full stops and commas written with these. Tokenizers with another
 splitter, with a normalizer or with an added token that holds such a place are
@@ -37,7 +40,12 @@ from pyspark.sql import functions as F
 
 BATCH_BYTES = 1_000_000
 PART_BYTES = 200_000
-SAFE = re.compile(r"(?<=\S)(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[ぁ-ゖァ-ヺ一-鿿])(?=[、。！，？])")
+SHORT = 40
+REMEMBERED = 400_000
+SAFE = re.compile(r"(?<=\S)(?=[ \t-\r])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[ぁ-ゖァ-ヺ一-鿿])(?=[、。！，？])")
+
+# White space with what follows it, up to the next ASCII white space after another character.
+UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+(?:(?<=\s)[ \t-\r]+[^ \t-\r]*)*|[ \t-\r]+")
 
 
 def may_cut(tokenizer_json: str) -> bool:
@@ -61,7 +69,7 @@ def cut_text(text: str, size: int) -> Iterator[str]:
     yield text[at:]
 
 
-def _counter(path: str, batch_bytes: int, part_bytes: int):
+def _counter(path: str, batch_bytes: int, part_bytes: int, remembered: int = REMEMBERED):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -71,6 +79,7 @@ def _counter(path: str, batch_bytes: int, part_bytes: int):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_padding()
         tokenizer.no_truncation()
+        known: dict[str, int] = {}
 
         for batch in batches:
             n_tokens = np.zeros(batch.num_rows, np.int64)
@@ -79,8 +88,15 @@ def _counter(path: str, batch_bytes: int, part_bytes: int):
             held = 0
 
             def encode():
-                lengths = [len(e) for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-                np.add.at(n_tokens, owners, lengths)
+                units = [UNIT.findall(part) if cut else [part] for part in parts]
+                new = list(set().union(*units) - known.keys())
+                known.update(zip(new, map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+                np.add.at(n_tokens, owners, [sum(map(known.__getitem__, u)) for u in units])
+                for unit in new:
+                    if len(unit) > SHORT:
+                        del known[unit]
+                if len(known) > remembered:
+                    known.clear()
                 parts.clear()
                 owners.clear()
 

@@ -133,6 +133,40 @@ def test_token_counts_equal_the_library(docs):
     assert token_counts.count_tokens(docs([]), path).count() == 0
 
 
+def test_each_different_unit_is_encoded_once(monkeypatch):
+    import pyarrow as pa
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, given = tokenizers.Tokenizer.from_file(path), []
+
+    class Watched:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    class Files:
+        from_file = staticmethod(lambda p: Watched(whole))
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Files)
+    rng = random.Random(8)
+    spaces = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u00a0 ", " \u3000\t ", "\x1c", "!\x1c ", "\x85\n", "\u2028 ", "\x0b\x0c"]
+    odd = ["".join(rng.choice(["word", "!", "12", "<|endoftext|>", "é", "漢", *spaces]) for _ in range(rng.randrange(60))) for _ in range(400)]
+    plain = [" ".join(rng.choice(["one", "two", "three"]) for _ in range(500)) for _ in range(50)]
+    for texts, remembered in ((odd, 10**6), (odd, 5), (plain, 10**6)):
+        given.clear()
+        batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts), pa.array([0] * len(texts))], names=["doc_id", "text", "n_bytes"])
+        (out,) = token_counts._counter(path, 3000, 1000, remembered)(iter([batch]))
+        assert out.column(2).to_pylist() == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert len(given) == len(set(given)) <= 6
+
+
 def test_parts_are_whole_and_other_tokenizers_are_not_cut():
     text = "one two  three\n four5six " * 50
     parts = list(token_counts.cut_text(text, 30))
